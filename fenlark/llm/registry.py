@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import minhash, suffix_dedup
+from . import minhash, pieces, suffix_dedup
 
-QUERIES = {f.__name__: f for f in (suffix_dedup.op4_suffix_array_dedup, minhash.op5_minhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (pieces.op3_sentencepiece, suffix_dedup.op4_suffix_array_dedup, minhash.op5_minhash_near_dedup)}
 
 ORACLES: dict[str, str] = {}
