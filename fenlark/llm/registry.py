@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
-from . import minhash, pieces, suffix_dedup
+from . import minhash, pieces, suffix_dedup, warc
 
-QUERIES = {f.__name__: f for f in (pieces.op3_sentencepiece, suffix_dedup.op4_suffix_array_dedup, minhash.op5_minhash_near_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        pieces.op3_sentencepiece,
+        suffix_dedup.op4_suffix_array_dedup,
+        minhash.op5_minhash_near_dedup,
+        warc.op7_warc,
+    )
+}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_warc": warc.SQL}
