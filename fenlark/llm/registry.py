@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import minhash, pieces, suffix_dedup, warc
+from . import ann, minhash, pieces, suffix_dedup, warc
 
 QUERIES = {
     f.__name__: f
@@ -11,6 +11,7 @@ QUERIES = {
         suffix_dedup.op4_suffix_array_dedup,
         minhash.op5_minhash_near_dedup,
         warc.op7_warc,
+        ann.op10_cross_polytope_ann,
     )
 }
 
