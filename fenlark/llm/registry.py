@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, minhash, pieces, suffix_dedup, warc
+from . import ann, minhash, pieces, secrets, suffix_dedup, warc
 
 QUERIES = {
     f.__name__: f
@@ -10,6 +10,7 @@ QUERIES = {
         pieces.op3_sentencepiece,
         suffix_dedup.op4_suffix_array_dedup,
         minhash.op5_minhash_near_dedup,
+        secrets.op6_secret_scan,
         warc.op7_warc,
         ann.op10_cross_polytope_ann,
     )
