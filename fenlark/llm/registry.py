@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import ann, minhash, pieces, secrets, suffix_dedup, warc
+from . import ann, minhash, pieces, pii, secrets, suffix_dedup, warc
 
 QUERIES = {
     f.__name__: f
     for f in (
+        pii.op2_pii_weak_supervision,
         pieces.op3_sentencepiece,
         suffix_dedup.op4_suffix_array_dedup,
         minhash.op5_minhash_near_dedup,
