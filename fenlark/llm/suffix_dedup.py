@@ -26,16 +26,16 @@ def _flat(texts: list[bytes]):
     return np.frombuffer(b"".join(texts), np.uint8), bounds
 
 
-def anchors(data: np.ndarray, bounds: np.ndarray, sums: np.ndarray) -> np.ndarray:
-    """Positions of the suffixes that are sorted: each 100-byte window's leftmost least 32-byte hash.
+def anchors(data: np.ndarray, bounds: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Suffixes to sort, and of each the first and last start of the 100-byte windows that chose it.
 
-    Equal windows choose equal places, so repeated windows meet at suffixes of equal leading bytes,
-    while only about one suffix in 35 has to move.
+    A window chooses its leftmost least 32-byte hash. Equal windows choose equal places, so repeated
+    windows meet at suffixes of equal leading bytes, while only about one suffix in 35 has to move.
     """
-    n = len(data)
-    if n < SPAN:
-        return np.zeros(0, np.int64)
-    at = np.arange(n - LEAD + 1)
+    none = np.zeros(0, np.int64)
+    if len(data) < SPAN:
+        return none, none, none
+    at = np.arange(len(data) - LEAD + 1)
     key = (span_hash(sums, at, at + LEAD) >> U(32) << U(32)) | at.astype(U)
     width, least = 1, key
     while 2 * width <= REACH + 1:
@@ -43,15 +43,20 @@ def anchors(data: np.ndarray, bounds: np.ndarray, sums: np.ndarray) -> np.ndarra
         width *= 2
     rest = REACH + 1 - width
     least = np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
-    long = np.diff(bounds)
-    ends = np.repeat(bounds[1:], long)[: len(least)]
-    chosen = least[np.arange(len(least)) + SPAN <= ends]
-    chosen = chosen[np.concatenate(([True], chosen[1:] != chosen[:-1]))] if len(chosen) else chosen
-    return np.unique(chosen & U(0xFFFFFFFF)).astype(np.int64)
+    ends = np.repeat(bounds[1:], np.diff(bounds))[: len(least)]
+    start = np.flatnonzero(np.arange(len(least)) + SPAN <= ends)
+    if not len(start):
+        return none, none, none
+    p = (least[start] & U(0xFFFFFFFF)).astype(np.int64)
+    new = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1])))
+    return p[new], start[new], start[np.append(new[1:], len(p)) - 1]
 
 
 _ROW = pa.schema([("g", pa.int64()), ("c", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int64())])
 _SQL = "g long, c long, doc_id long, at long"
+_WITH = _ROW.append(pa.field("near", pa.binary()))
+_WITH_SQL = _SQL + ", near binary"
+CROWD = 20_000  # suffixes of equal leading bytes that one task compares in memory; more are compared window by window
 
 
 def _once(g, c, doc, at):
@@ -85,16 +90,16 @@ def _rows(g, c, doc, at) -> pa.RecordBatch:
 
 
 def _suffixes(batches):
-    """Anchored suffixes: g = 3 leading bytes and a hash of 32, c = hash of all windows at the anchor, at = position, left and right reach."""
+    """Anchored suffixes: g = 3 leading bytes and a hash of 32, c = hash of the windows that chose it, at = position, left and right reach."""
     for batch in chunks(batches, "text", CHUNK):
         texts = texts_of(batch)
         data, bounds = _flat(texts)
         sums = prefix_sums(data)
-        p = anchors(data, bounds, sums)
+        p, low, high = anchors(data, bounds, sums)
         if not len(p):
             continue
         row = np.searchsorted(bounds, p, "right") - 1
-        left, right = np.minimum(REACH, p - bounds[row]), np.minimum(SPAN, bounds[row + 1] - p)
+        left, right = p - low, high + SPAN - p
         lead = (data[p].astype(U) << U(16)) | (data[p + 1].astype(U) << U(8)) | data[p + 2].astype(U)
         g = ((lead << U(40)) | (span_hash(sums, p, p + LEAD) & U((1 << 40) - 1))).view(np.int64)
         c = mix(span_hash(sums, p - left, p + right) + left.astype(U) * _A + right.astype(U) * _B).view(np.int64)
@@ -148,39 +153,76 @@ def _classes(batches):
         group = g[-1]
 
 
-def _windows(batches):
-    """For documents with listed anchors, every 100-byte window around them: g = anchor and offset, c = its hash, at = start."""
+def _spread(h, p, at, sums):
+    """The windows of anchors at p: which anchor, start, g (anchor and offset), c (hash)."""
+    left, size = at >> 7 & 127, (at >> 7 & 127) + (at & 127) - SPAN + 1
+    which = np.repeat(np.arange(len(p)), size)
+    s = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size) + (p - left)[which]
+    return which, s, mix(h[which].view(U) + (p[which] - s).astype(U) * _A).view(np.int64), span_hash(sums, s, s + SPAN).view(np.int64)
+
+
+def _plus(rows: pa.RecordBatch, near=None) -> pa.RecordBatch:
+    near = pa.nulls(rows.num_rows, pa.binary()) if near is None else pa.array(near, pa.binary())
+    return pa.RecordBatch.from_arrays([*rows.columns, near], schema=_WITH)
+
+
+def _surroundings(batches):
+    """For documents with listed anchors: the bytes of the windows at each (near), or, where very many
+    suffixes share their leading bytes, a row a window: g = anchor and offset, c = its hash, at = start."""
     for batch in chunks(batches, "text", CHUNK):
         texts = texts_of(batch)
         data, bounds = _flat(texts)
-        sums = prefix_sums(data)
         lists = batch.column("listed")
         counts = np.diff(lists.offsets.to_numpy())
         flat = lists.flatten()
-        h, at = flat.field("g").to_numpy(zero_copy_only=False), flat.field("at").to_numpy(zero_copy_only=False)
+        h, at, crowded = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("g", "at", "crowded"))
+        crowded = crowded.astype(bool)
         row = np.repeat(np.arange(len(texts)), counts)
-        left, right = at >> 7 & 127, at & 127
-        p = (at >> 14) + bounds[row]
-        low, high = p - left, np.minimum(p, p + right - SPAN)
-        size = np.maximum(0, high - low + 1)
-        which = np.repeat(np.arange(len(p)), size)
-        s = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size) + low[which]
-        g = mix(h[which].view(U) + (p[which] - s).astype(U) * _A).view(np.int64)
-        c = span_hash(sums, s, s + SPAN).view(np.int64)
-        doc = batch.column("doc_id").to_numpy(zero_copy_only=False)[row[which]]
-        g, c, doc, at, new, later = _once(g, c, doc, s - bounds[row[which]])
-        yield _rows(g[new], c[new], doc[new], at[new])
-        yield _runs(doc[later], at[later], at[later] + SPAN)
+        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+        few = np.flatnonzero(~crowded)
+        if len(few):
+            low, high = _reach(at[few])
+            near = [texts[i][a:b] for i, a, b in zip(row[few].tolist(), low.tolist(), high.tolist(), strict=True)]
+            yield _plus(_rows(h[few], np.zeros(len(few), np.int64), ids[row[few]], at[few]), near)
+        many = np.flatnonzero(crowded)
+        if len(many):
+            row = row[many]
+            which, s, g, c = _spread(h[many], (at[many] >> 14) + bounds[row], at[many], prefix_sums(data))
+            g, c, doc, at, new, later = _once(g, c, ids[row[which]], s - bounds[row[which]])
+            yield _plus(_rows(g[new], c[new], doc[new], at[new]))
+            yield _plus(_runs(doc[later], at[later], at[later] + SPAN))
+
+
+def _compared(rows: pa.Table) -> pa.RecordBatch:
+    """Whole groups of anchors with their bytes in; the runs that earlier equal windows cover out."""
+    g, _, doc, at = (rows.column(i).to_numpy() for i in range(4))
+    near = rows.column(4).to_pylist()
+    data, bounds = _flat(near)
+    which, s, g, c = _spread(g, bounds[:-1] + (at >> 7 & 127), at, prefix_sums(data))
+    start = (at >> 14) - (at >> 7 & 127)
+    _, _, doc, at, _, later = _once(g, c, doc[which], s - bounds[which] + start[which])
+    return _runs(doc[later], at[later], at[later] + SPAN)
 
 
 def _repeats(batches):
-    """Sorted windows in, the runs that earlier equal windows cover out, beside the runs known before."""
-    first = None
+    """Rows sorted by g, c, document and place in, the runs that earlier equal windows cover out."""
+    first, held = None, []
     for batch in batches:
         known = pc.is_null(batch.column("g"))
         if pc.any(known).as_py():
-            yield batch.filter(known)
+            yield batch.filter(known).select(["g", "c", "doc_id", "at"])
             batch = batch.filter(pc.invert(known))
+        listed = pc.is_valid(batch.column("near"))
+        groups = batch.filter(listed)
+        if groups.num_rows:
+            held.append(groups)
+            if sum(b.num_rows for b in held) >= CROWD:
+                rows = pa.Table.from_batches(held)
+                whole = rows.filter(pc.not_equal(rows["g"], rows["g"][-1]))
+                held = rows.filter(pc.equal(rows["g"], rows["g"][-1])).to_batches()
+                if whole.num_rows:
+                    yield _compared(whole)
+        batch = batch.filter(pc.invert(listed))
         g, c, doc, at = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
         n = len(g)
         if not n:
@@ -196,6 +238,8 @@ def _repeats(batches):
         if new.any():
             i = np.flatnonzero(new)[-1]
             first = (g[i], c[i], doc[i], at[i])
+    if held:
+        yield _compared(pa.Table.from_batches(held))
 
 
 def _kept(keep_text: bool):
@@ -233,7 +277,8 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     the same document), judged on the input. Suffixes at content-chosen anchors are range-partitioned by
     sampled splitters of their leading bytes and sorted within partitions; suffixes of equal leading
     bytes and equal surroundings repeat the earliest one wholly. Where surroundings differ, the 100-byte
-    windows around the anchor are compared in a second sort. Rows with equal keys collapse within each
+    windows around the anchor are compared in a second sort, as a group in one task or, for crowded
+    leading bytes, a row a window. Rows with equal keys collapse within each
     chunk of input first, so that copies don't pile up in one task, and sorted streams need no group in
     memory.
 
@@ -251,10 +296,12 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     # rows without g are runs found so far
     second = written(suffixes.where("g is null").unionByName(ranged.mapInArrow(_classes, _SQL)))
     dropped(spark, suffixes)
-    listed = second.where("g is not null").groupBy("doc_id").agg(F.collect_list(F.struct("g", "at")).alias("listed"))
-    windows = live.join(listed, "doc_id").mapInArrow(_windows, _SQL)
-    # hash partitions here: the windows are not stored, and splitters would need them twice
-    later = windows.repartition("g", "c").sortWithinPartitions("g", "c", "doc_id", "at").mapInArrow(_repeats, _SQL)
+    listed = second.where("g is not null")
+    crowds = listed.groupBy("g").count().where(F.col("count") > CROWD).select("g", F.lit(True).alias("crowded"))
+    listed = listed.join(crowds, "g", "left").groupBy("doc_id").agg(F.collect_list(F.struct("g", "at", F.coalesce("crowded", F.lit(False)).alias("crowded"))).alias("listed"))
+    near = live.join(listed, "doc_id").mapInArrow(_surroundings, _WITH_SQL)
+    # hash partitions here: these rows are not stored, and splitters would need them twice
+    later = near.repartition("g", "c").sortWithinPartitions("g", "c", "doc_id", "at").mapInArrow(_repeats, _SQL)
     runs = second.where("g is null").unionByName(later)
     runs = runs.groupBy("doc_id").agg(F.collect_list(F.struct("at", "c")).alias("runs"))
     run, schema = _kept(keep_text)
