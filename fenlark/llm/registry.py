@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, minhash, pieces, pii, secrets, suffix_dedup, warc
+from . import ann, licenses, minhash, pieces, pii, secrets, suffix_dedup, warc
 
 QUERIES = {
     f.__name__: f
@@ -13,6 +13,7 @@ QUERIES = {
         minhash.op5_minhash_near_dedup,
         secrets.op6_secret_scan,
         warc.op7_warc,
+        licenses.op9_license_diagonals,
         ann.op10_cross_polytope_ann,
     )
 }
