@@ -12,7 +12,7 @@ from .common import table
 
 K = 3
 NEAR = 2  # diagonals so close belong to one place: a word more or less in between
-COVER = 0.75  # share of a template's words that a verified span holds
+COVER = 0.9  # share of a template's words that a verified span holds
 LONG = 24  # or so many of its words, for long templates
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # Phrase and label.
