@@ -104,14 +104,17 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+MARKS = np.array([not (48 <= i <= 57 or 97 <= i <= 122 or i >= 128) for i in range(256)])
+
+
+def words(texts: list[bytes], breaks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, and where each text's words begin (one more entry at the end).
 
-    A-Z is lower-cased; words are runs of bytes other than space and \\x09-\\x0D.
+    A-Z is lower-cased; words are runs of bytes outside `breaks`: by default, space and \\x09-\\x0D.
     """
     joined = b"\n".join(texts).lower() + b"\n"
     data = np.frombuffer(joined, np.uint8)
-    space = _SPACE[data]
+    space = breaks[data]
     start = np.flatnonzero(~space & np.concatenate(([True], space[:-1])))
     end = np.flatnonzero(space & np.concatenate(([False], ~space[:-1])))
     offsets = np.zeros(len(texts) + 1, np.int64)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import ann, licenses, minhash, pieces, pii, secrets, suffix_dedup, warc
+from . import ann, decontaminate, licenses, minhash, pieces, pii, secrets, suffix_dedup, warc
 
 QUERIES = {
     f.__name__: f
     for f in (
+        decontaminate.op1_decontaminate,
         pii.op2_pii_weak_supervision,
         pieces.op3_sentencepiece,
         suffix_dedup.op4_suffix_array_dedup,
