@@ -1,12 +1,51 @@
-"""The corpus pipeline: each stage works on all that its predecessor kept."""
+"""The corpus pipeline: each stage works on all that its predecessor kept.
+
+Documents go in and come out as (doc_id, text, lang, source, n_chars); the last stage adds the tokens.
+run() applies the stages one after the other; what a stage returns is written to the shared folder
+and read again, so that a lost executor costs a task and not the pipeline.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from fenlark.llm import decontaminate, minhash, pieces, pii, quality
 from fenlark.llm.common import table, written
 
-STAGES: list = []
+
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier keeps; it is fitted on these documents."""
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs, model).where("kept").select(docs.columns)
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates (Jaccard of five-word shingles 0.8 or more), that of the smallest doc_id."""
+    gone = minhash.near_duplicates(docs, percent=80).where("not kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no test item."""
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind in brackets; n_chars counts the new text."""
+    found = pii.find_personal(docs, pii.train(docs))
+    text = found.withColumn("text", pii.redacted(F.col("text"), F.col("pii_spans")))
+    return text.withColumn("n_chars", F.when(F.size("pii_spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with token_ids, n_tokens and whether decoding gives back the text."""
+    return pieces.encoded(docs)
+
+
+STAGES = [("quality", classify), ("near_dedup", deduplicate), ("decontaminate", decontaminated), ("pii", redact), ("sentencepiece", encode)]
+
+#: SQL can't express the sketches, the fitted models or the segmentation; tests compare with brute force.
 ORACLE_SQL = None
 
 
@@ -14,5 +53,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
-        docs = written(docs) if i < len(STAGES) - 1 else docs
+        if i < len(STAGES) - 1:
+            docs = written(docs)
     return docs

@@ -107,8 +107,9 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 MARKS = np.array([not (48 <= i <= 57 or 97 <= i <= 122 or i >= 128) for i in range(256)])
 
 
-def words(texts: list[bytes], breaks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+def words(texts: list[bytes], breaks: np.ndarray = _SPACE, heads: int = 0) -> tuple[np.ndarray, ...]:
     """Hashes of all words, and where each text's words begin (one more entry at the end).
+    With heads, hashes of the words' first so many bytes as well.
 
     A-Z is lower-cased; words are runs of bytes outside `breaks`: by default, space and \\x09-\\x0D.
     """
@@ -119,7 +120,10 @@ def words(texts: list[bytes], breaks: np.ndarray = _SPACE) -> tuple[np.ndarray,
     end = np.flatnonzero(space & np.concatenate(([False], ~space[:-1])))
     offsets = np.zeros(len(texts) + 1, np.int64)
     np.cumsum([len(t) + 1 for t in texts], out=offsets[1:])
-    return span_hash(prefix_sums(data), start, end), np.searchsorted(start, offsets)
+    sums, bounds = prefix_sums(data), np.searchsorted(start, offsets)
+    if heads:
+        return span_hash(sums, start, end), bounds, span_hash(sums, start, np.minimum(start + heads, end))
+    return span_hash(sums, start, end), bounds
 
 
 def shingles(texts: list[bytes], k: int = 5) -> list[np.ndarray]:

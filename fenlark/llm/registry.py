@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, decontaminate, licenses, minhash, pieces, pii, secrets, suffix_dedup, warc
+from . import ann, decontaminate, licenses, minhash, pieces, pii, quality, secrets, suffix_dedup, warc
 
 QUERIES = {
     f.__name__: f
@@ -14,6 +14,7 @@ QUERIES = {
         minhash.op5_minhash_near_dedup,
         secrets.op6_secret_scan,
         warc.op7_warc,
+        quality.op8_quality_classifier,
         licenses.op9_license_diagonals,
         ann.op10_cross_polytope_ann,
     )
