@@ -1,40 +1,8 @@
-"""The registered queries and, where SQL can express them, the SQL that gives the same rows."""
+"""All registered queries and, where SQL can express them, the SQL that gives the same rows."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import analytics, documents, state  # noqa: F401  they register their queries
+from .base import ORACLES, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Registers a function (spark, sf_dir) under its name, with its SQL."""
-
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-@query("""
-SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users,
-       round(100.0 * count(CASE WHEN value > 50 THEN 1 END) / count(*), 2) AS high_pct
-FROM events GROUP BY event_type
-""")
-def failure_breakdown(spark, sf_dir):
-    return (
-        _read(spark, sf_dir, "events")
-        .groupBy("event_type")
-        .agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users"), F.round(100.0 * F.count_if(F.col("value") > 50) / F.count("*"), 2).alias("high_pct"))
-    )
+__all__ = ["ORACLES", "QUERIES"]
