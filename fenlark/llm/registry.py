@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, decontaminate, licenses, minhash, pieces, pii, quality, secrets, suffix_dedup, warc
+from . import ann, decontaminate, licenses, minhash, pieces, pii, quality, secrets, sql, suffix_dedup, warc
 
 QUERIES = {
     f.__name__: f
@@ -20,4 +20,4 @@ QUERIES = {
     )
 }
 
-ORACLES: dict[str, str] = {"op7_warc": warc.SQL}
+ORACLES: dict[str, str] = {"op5_minhash_near_dedup": sql.NEAR_DUPLICATES, "op7_warc": warc.SQL}
