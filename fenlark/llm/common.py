@@ -130,7 +130,7 @@ def shingles(texts: list[bytes], k: int = 5) -> list[np.ndarray]:
     """Each text's sorted distinct k-word shingle hashes; under k words, the whole sequence as one; none without words."""
     w, first = words(texts)
     grams = w.copy()
-    for j in range(1, k):
+    for j in range(1, min(k, len(w))):
         grams[: len(w) - j] = mix(grams[: len(w) - j] * U(0xD6E8FEB86659FD93) + w[j:])
     out = []
     for a, b in zip(first[:-1], first[1:], strict=True):
