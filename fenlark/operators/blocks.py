@@ -37,18 +37,24 @@ def islands(rows: DataFrame, key: str, flag: Column) -> DataFrame:
     return hit.groupBy(key, "g").agg(F.min("i").alias("first"), F.count("*").alias("n")).drop("g")
 
 
-def overlap(units: DataFrame, key: str, unit: str, least: float, most: int | None = None) -> DataFrame:
-    """(a, b, common, ratio): pairs a < b that share least of the smaller one's distinct units.
+def overlap(units: DataFrame, key: str, unit: str, least: float) -> DataFrame:
+    """(a, b, common, ratio): pairs a < b that share `least` of the smaller one's distinct units.
 
-    An equi-join on the unit's hash and counts, no comparison of all pairs. A unit that very many
-    documents hold makes many pairs; most, when given, names the largest number of documents for which
-    a unit counts as evidence (the reference's rule has none).
+    Such a pair shares one of the smaller document's rarest units: with n units, one of the
+    n - ceil(least * n) + 1 that the fewest documents hold. Only those are looked up among the units of
+    other documents, so that frequent lines form candidates only where a document has nothing rarer;
+    the candidates' common units are counted by equi-joins.
     """
-    u = units.select(F.col(key), F.xxhash64(unit).alias("h")).distinct()
-    sizes = u.groupBy(key).agg(F.count("*").alias("size"))
-    if most:
-        u = u.join(u.groupBy("h").count().where(F.col("count") <= most).select("h"), "h", "left_semi")
-    pairs = u.withColumnRenamed(key, "a").join(u.withColumnRenamed(key, "b"), "h").where("a < b").groupBy("a", "b").agg(F.count("*").alias("common"))
-    j = pairs.join(sizes.select(F.col(key).alias("a"), F.col("size").alias("sa")), "a").join(sizes.select(F.col(key).alias("b"), F.col("size").alias("sb")), "b")
-    ratio = F.col("common") / F.greatest(F.lit(1), F.least("sa", "sb"))
-    return j.withColumn("ratio", ratio).where(F.col("ratio") >= least).select("a", "b", "common", F.round("ratio", 6).alias("ratio"))
+    u = units.select(F.col(key).alias("k"), F.xxhash64(unit).alias("h")).distinct()
+    sizes = u.groupBy("k").agg(F.count("*").alias("n"))
+    held = u.groupBy("h").agg(F.count("*").alias("df"))
+    full = u.join(held, "h").join(sizes, "k")
+    first = F.row_number().over(Window.partitionBy("k").orderBy("df", "h"))
+    rare = full.withColumn("rn", first).where((F.col("rn") <= F.col("n") - F.ceil(F.lit(least) * F.col("n")) + 1) & (F.col("df") > 1))
+    x = rare.select("h", F.col("k").alias("x"), F.col("n").alias("nx"))
+    y = full.where("df > 1").select("h", F.col("k").alias("y"), F.col("n").alias("ny"))
+    smaller = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))
+    pairs = x.join(y, "h").where(smaller).select("x", "y", "nx").distinct()
+    both = pairs.join(u.withColumnRenamed("k", "x"), "x").join(u.withColumnRenamed("k", "y"), ["y", "h"])
+    common = both.groupBy("x", "y", "nx").agg(F.count("*").alias("common")).withColumn("ratio", F.col("common") / F.col("nx"))
+    return common.where(F.col("ratio") >= least).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "common", F.round("ratio", 6).alias("ratio"))
