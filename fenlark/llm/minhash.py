@@ -81,14 +81,35 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", (1 - F.col("both") / union).alias("d"), (100 * F.col("both") >= percent * union).alias("linked"))
 
 
+def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """The members, with component c, of the buckets (key) in which components differ."""
+    at = members.join(found.select(F.col("node").alias("id"), F.col("component").alias("c")), "id", "left").withColumn("c", F.coalesce("c", "id"))
+    mixed = at.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
+    return at.join(mixed, "key", "left_semi")
+
+
+def _tokens(batches):
+    for batch in chunks(batches, "items", 1 << 20):
+        sets = [np.frombuffer(x, U) for x in batch.column("items").to_pylist()]
+        ids = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), [len(x) for x in sets])
+        yield pa.RecordBatch.from_arrays([pa.array((np.concatenate(sets) >> U(32)).astype(np.uint32).view(np.int32)), pa.array(ids)], names=["token", "id"])
+
+
+def _own(sets: DataFrame) -> DataFrame:
+    """(id, u): at least u shingles of the set are in no other of these sets. Tokens of 32 bits can only lower u."""
+    return sets.mapInArrow(_tokens, "token int, id long").groupBy("token").agg(F.min("id").alias("id"), F.count("*").alias("n")).where("n = 1").groupBy("id").agg(F.count("*").alias("u"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): classes of documents linked by Jaccard >= percent / 100.
 
     docs needs doc_id and text; further columns are ignored. Equal shingle sets form one class, whose
     smallest doc_id stands for it, so copies never meet pairwise. Classes that share a band of their
-    sketches are compared with the smallest class of that bucket; those of different components after
-    that are compared with each other, unless their distances to it prove that they can't be linked
-    (Jaccard distance is a metric). Every link is confirmed on full sets.
+    sketches are compared with the smallest class of that bucket, and where components differ after
+    that, with the class that has the fewest shingles of its own. Those still outside its component are
+    compared with every other class of the bucket for which a link isn't ruled out: by their distances
+    to it (Jaccard distance is a metric) or by the shingles that no other class has, which bound an
+    intersection. Every link is confirmed on full sets.
 
     Null or wordless texts have n_shingles 0 and no links. Rows without doc_id have no component and
     are kept. Rows that repeat a doc_id share its component. An empty table gives an empty result.
@@ -113,15 +134,30 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame
     first = written(_compared(stars, sets, percent))
     links = first.where("linked").select("a", "b")
     found = written(components(links))
-    # what isn't in its leader's component: compare the rest of the bucket, where the metric allows a link
-    at = members.join(first.select(F.col("a").alias("lead"), F.col("b").alias("id"), "d"), ["lead", "id"], "left").join(found.withColumnRenamed("node", "id"), "id", "left")
-    at = at.join(classes.select(F.col("rep").alias("id"), F.col("n_shingles").alias("n")), "id").select("key", "id", F.coalesce("d", F.lit(0.0)).alias("d"), F.coalesce("component", "id").alias("c"), "n")
-    mixed = at.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    at = written(at.join(mixed, "key", "left_semi"))
-    x = at.select("key", F.col("id").alias("a"), F.col("d").alias("da"), F.col("c").alias("ca"), F.col("n").alias("na"))
-    y = at.select("key", F.col("id").alias("b"), F.col("d").alias("db"), F.col("c").alias("cb"), F.col("n").alias("nb"))
-    near = (F.abs(F.col("da") - F.col("db")) <= 1 - percent / 100 + 1e-9) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    rest = x.join(y, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (F.col("da") > 0) & near).select("a", "b").distinct()
+    # buckets that still hold several components: a second leader, then the rest
+    sizes = classes.select(F.col("rep").alias("id"), F.col("n_shingles").alias("n"))
+    at = written(_mixed(members.select("key", "id"), found).join(sizes, "id"))
+    own = _own(sets.join(at.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"))
+    at = at.join(own, "id", "left").withColumn("u", F.coalesce("u", F.lit(0)))
+    # what has more shingles of its own than a link allows has no further link
+    at = at.where(100 * (F.col("n") - F.col("u")) >= percent * F.col("n"))
+    leads = at.groupBy("key").agg(F.min(F.struct((F.col("u") / F.col("n")).alias("s"), "id", "n", "u")).alias("l"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key", "l")
+    at = written(at.join(leads, "key").select("key", "id", "c", "n", "u", F.col("l.id").alias("lead"), F.col("l.u").alias("lu"), F.col("l.n").alias("ln")))
+    pairs = at.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+    second = written(_compared(pairs, sets, percent))
+    links = written(links.unionByName(second.where("linked").select("a", "b")))
+    found = written(components(links))
+    at = _mixed(at.drop("c"), found).join(second.select(F.col("a").alias("lead"), F.col("b").alias("id"), "d"), ["lead", "id"], "left")
+    at = at.join(found.select(F.col("node").alias("lead"), F.col("component").alias("lc")), "lead", "left")
+    at = at.join(classes.select(F.col("rep").alias("id"), "bands"), "id")
+    at = written(at.select("key", "id", "c", "n", "u", F.coalesce("d", F.lit(0.0)).alias("d"), (F.col("c") != F.coalesce("lc", "lead")).alias("out"), "bands"))
+    x = at.where("out").select("key", *(F.col(k).alias(k + "a") for k in ("id", "c", "n", "u", "d", "bands")))
+    y = at.select("key", *(F.col(k).alias(k + "b") for k in ("id", "c", "n", "u", "d", "bands", "out")))
+    shared = [F.col("na") - F.col("ua"), F.col("nb") - F.col("ub")]
+    near = (F.abs(F.col("da") - F.col("db")) <= 1 - percent / 100 + 1e-9) & (100 * F.least(*shared) >= percent * (F.col("ua") + F.col("ub") + F.greatest(*shared)))
+    # a pair of several buckets is taken once: in that of the least key
+    once = (~F.col("outb") | (F.col("ida") < F.col("idb"))) & (F.array_min(F.array_intersect("bandsa", "bandsb")) == F.col("key"))
+    rest = x.join(y, "key").where((F.col("ca") != F.col("cb")) & near & once).select(F.least("ida", "idb").alias("a"), F.greatest("ida", "idb").alias("b")).distinct()
     rest = _compared(rest, sets, percent).where("linked").select("a", "b")
     # a doc_id with several texts joins their classes
     shared = live.join(classes.drop("bands"), ["n_shingles", "f1", "f2"]).groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("c")).where("b < c")
@@ -129,7 +165,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame
     ends = written(components(links.unionByName(rest).unionByName(again)))
     of = classes.drop("bands").join(ends.withColumnRenamed("node", "rep"), "rep", "left").select("n_shingles", "f1", "f2", F.coalesce("component", "rep").alias("c"))
     out = signed.drop("bands").join(of, ["n_shingles", "f1", "f2"], "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id")).alias("component_id"))
-    dropped(spark, members, first, found, at, sets)
+    dropped(spark, members, at, sets)
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
