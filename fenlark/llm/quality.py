@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from .common import MARKS, U, chunks, mix, table, texts_of, words
 
-SAMPLE = 6000  # documents, those of smallest hash, on which the scorers are fitted
+SAMPLE = 4000  # documents, those of smallest hash, on which the scorers are fitted
 SIZE = 1 << 17  # hashed features of each family
 HEAD = 4  # bytes of a word's beginning
 # Words that insult.
@@ -77,6 +77,11 @@ def toxic_votes(m: np.ndarray, terms: np.ndarray, bounds: np.ndarray, heads: np.
 HEADS = {"quality": quality_votes, "toxic": toxic_votes}
 
 
+def value_of(column: np.ndarray) -> np.ndarray:
+    """Words and beginnings weigh half as much as bins."""
+    return np.where(column < 2 * SIZE, 0.5, 1.0)
+
+
 def hashed(m: np.ndarray, terms: np.ndarray, bounds: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sparse features: (row, column, value). Presence of each hashed word and beginning, and hashed bins of the measures."""
     row = np.repeat(np.arange(len(m)), np.diff(bounds))
@@ -87,7 +92,8 @@ def hashed(m: np.ndarray, terms: np.ndarray, bounds: np.ndarray, heads: np.ndarr
     code = mix((bins + 64 * np.arange(m.shape[1])).astype(U) + U(1 << 40))
     rows = np.repeat(np.arange(len(m)), m.shape[1])
     columns = 2 * SIZE + (code % U(SIZE)).astype(np.int64).ravel()
-    return np.concatenate((key, rows)), np.concatenate((named, columns)), np.concatenate((np.full(len(key), 0.5), np.ones(len(rows))))
+    column = np.concatenate((named, columns))
+    return np.concatenate((key, rows)), column, value_of(column)
 
 
 def estimate(counts: dict[tuple[int, ...], float], rounds: int = 60) -> tuple[np.ndarray, dict[tuple[int, ...], float]]:
@@ -108,35 +114,39 @@ def estimate(counts: dict[tuple[int, ...], float], rounds: int = 60) -> tuple[np
     return like, {tuple(map(int, k)): float(g) for k, g in zip(patterns, good, strict=True)}
 
 
-def _selected(rows, labels: np.ndarray, least: float = 20.0):
-    """The rows without columns that don't tell the classes apart: log-likelihood ratio of their counts under `least`."""
-    row = np.repeat(np.arange(len(rows)), [len(c) for c, _ in rows])
-    column = np.concatenate([c for c, _ in rows])
-    good, size = np.bincount(column, labels[row], 3 * SIZE), np.bincount(column, minlength=3 * SIZE)
-    share, ratio = labels.mean().clip(1e-6, 1 - 1e-6), np.zeros(3 * SIZE)
-    for seen, expected in ((good, size * share), (size - good, size * (1 - share))):
-        ratio += 2 * seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9))
-    told = ratio >= least
-    return [(c[told[c]], v[told[c]]) for c, v in rows]
-
+def fit(rows: list[np.ndarray], labels: np.ndarray, steps: int = 300, least: float = 20.0) -> np.ndarray:
+    """Weights of logistic regression on soft labels (the last one is the bias).
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps: int = 300) -> np.ndarray:
-    """Weights of logistic regression on soft labels (the last one is the bias), both classes weighing alike."""
+    rows holds each document's columns. Columns that don't tell the classes apart (log-likelihood ratio
+    of their counts under `least`) keep weight 0; the others are few and form a dense matrix.
+    """
     w = np.zeros(3 * SIZE + 1)
     if not len(rows):
         return w
-    rows = _selected(rows, labels)
-    row = np.repeat(np.arange(len(rows)), [len(c) for c, _ in rows])
-    column, value = np.concatenate([c for c, _ in rows]), np.concatenate([v for _, v in rows])
-    n = len(rows)
-    weight = np.where(labels > 0.5, 1 / max(1, (labels > 0.5).sum()), 1 / max(1, (labels <= 0.5).sum())) / 2
-    speed, square = np.zeros_like(w), np.zeros_like(w)
+    good, size = np.zeros(3 * SIZE), np.zeros(3 * SIZE)
+    for c, y in zip(rows, labels, strict=True):  # a row has a column once at most
+        good[c] += y
+        size[c] += 1
+    share, ratio = labels.mean().clip(1e-6, 1 - 1e-6), np.zeros(3 * SIZE)
+    for seen, expected in ((good, size * share), (size - good, size * (1 - share))):
+        ratio += 2 * seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9))
+    told = np.flatnonzero(ratio >= least)
+    told = told[np.argsort(-ratio[told], kind="stable")[:4000]]  # bounds the matrix; weaker columns add nothing
+    place = np.full(3 * SIZE, -1, np.int32)
+    place[told] = np.arange(len(told))
+    x = np.zeros((len(rows), len(told) + 1), np.float32)
+    x[:, -1] = 1
+    for i, c in enumerate(rows):
+        c = c[place[c] >= 0]
+        x[i, place[c]] = value_of(c)
+    weight = np.float32(1 / len(rows))
+    v, speed, square = (np.zeros(x.shape[1], np.float32) for _ in range(3))
     for step in range(1, steps + 1):
-        z = np.bincount(row, w[column] * value, n) + w[-1]
-        error = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels)
-        g = np.append(np.bincount(column, error[row] * value, 3 * SIZE), error.sum()) + 1e-5 * w
+        error = weight * (1 / (1 + np.exp(-np.clip(x @ v, -30, 30))) - labels.astype(np.float32))
+        g = error @ x + 1e-5 * v
         speed, square = 0.9 * speed + 0.1 * g, 0.99 * square + 0.01 * g * g
-        w -= 0.05 * (speed / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
+        v -= 0.05 * (speed / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
+    w[told], w[-1] = v[:-1], v[-1]
     return w
 
 
@@ -167,13 +177,12 @@ def train(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE
     def features(batches):
         for batch in chunks(batches, "text"):
             m = measures(texts_of(batch))
-            row, column, value = hashed(*m)
+            row, column, _ = hashed(*m)
             order = np.argsort(row, kind="stable")
             cut = np.searchsorted(row[order], np.arange(batch.num_rows + 1))
             out = {name: ["".join(map(str, x)) for x in f(*m)] for name, f in HEADS.items()}
             out["truth"] = batch.column("truth")
-            out["columns"] = [column[order[a:b]].tolist() for a, b in zip(cut[:-1], cut[1:], strict=True)]
-            out["values"] = [value[order[a:b]].tolist() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+            out["columns"] = pa.array([np.unique(column[order[a:b]]).astype(np.int32).tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())
             yield pa.RecordBatch.from_pydict(out)
 
     counts: dict[str, dict] = {name: {} for name in HEADS}
@@ -185,8 +194,8 @@ def train(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE
         known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # bounded, so that it can be broadcast
         marked = docs.join(F.broadcast(known), "doc_id")
         some = marked if not known.isEmpty() else some
-    rows = some.mapInArrow(features, ", ".join(f"{name} string" for name in HEADS) + ", truth int, columns array<long>, values array<double>").collect()
-    sparse = [(np.array(r["columns"], np.int64), np.array(r["values"])) for r in rows]
+    rows = some.mapInArrow(features, ", ".join(f"{name} string" for name in HEADS) + ", truth int, columns binary").collect()
+    sparse = [np.frombuffer(r["columns"], np.int32) for r in rows]
     model = Model({}, {})
     for name in HEADS:
         model.labellers[name], posterior = estimate(counts[name])
