@@ -78,7 +78,7 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # sets of clearly different sizes can't be linked, and their distance isn't needed beyond that
     both = pairs.join(sb, "b").join(sa, "a").mapInArrow(_common, "a long, b long, na long, nb long, both long")
     union = F.col("na") + F.col("nb") - F.col("both")
-    return both.select("a", "b", (1 - F.col("both") / union).alias("d"), (100 * F.col("both") >= percent * union).alias("linked"))
+    return both.select("a", "b", "both", (1 - F.col("both") / union).alias("d"), (100 * F.col("both") >= percent * union).alias("linked"))
 
 
 def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
@@ -147,14 +147,16 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame
     second = written(_compared(pairs, sets, percent))
     links = written(links.unionByName(second.where("linked").select("a", "b")))
     found = written(components(links))
-    at = _mixed(at.drop("c"), found).join(second.select(F.col("a").alias("lead"), F.col("b").alias("id"), "d"), ["lead", "id"], "left")
+    at = _mixed(at.drop("c"), found).join(second.select(F.col("a").alias("lead"), F.col("b").alias("id"), "d", "both"), ["lead", "id"], "left")
     at = at.join(found.select(F.col("node").alias("lead"), F.col("component").alias("lc")), "lead", "left")
     at = at.join(classes.select(F.col("rep").alias("id"), "bands"), "id")
-    at = written(at.select("key", "id", "c", "n", "u", F.coalesce("d", F.lit(0.0)).alias("d"), (F.col("c") != F.coalesce("lc", "lead")).alias("out"), "bands"))
-    x = at.where("out").select("key", *(F.col(k).alias(k + "a") for k in ("id", "c", "n", "u", "d", "bands")))
-    y = at.select("key", *(F.col(k).alias(k + "b") for k in ("id", "c", "n", "u", "d", "bands", "out")))
-    shared = [F.col("na") - F.col("ua"), F.col("nb") - F.col("ub")]
-    near = (F.abs(F.col("da") - F.col("db")) <= 1 - percent / 100 + 1e-9) & (100 * F.least(*shared) >= percent * (F.col("ua") + F.col("ub") + F.greatest(*shared)))
+    at = written(at.select("key", "id", "c", "n", "u", F.coalesce("both", "n").alias("i"), F.coalesce("d", F.lit(0.0)).alias("d"), (F.col("c") != F.coalesce("lc", "lead")).alias("out"), "bands"))
+    x = at.where("out").select("key", *(F.col(k).alias(k + "a") for k in ("id", "c", "n", "u", "i", "d", "bands")))
+    y = at.select("key", *(F.col(k).alias(k + "b") for k in ("id", "c", "n", "u", "i", "d", "bands", "out")))
+    # at most so many shingles in common: of those in the leader, and of the others that aren't one's own
+    other = [F.greatest(F.lit(0), F.col("n" + k) - F.col("i" + k) - F.col("u" + k)) for k in "ab"]
+    most = F.least("ia", "ib") + F.least(*other)
+    near = (F.abs(F.col("da") - F.col("db")) <= 1 - percent / 100 + 1e-9) & (100 * most >= percent * (F.col("na") + F.col("nb") - most))
     # a pair of several buckets is taken once: in that of the least key
     once = (~F.col("outb") | (F.col("ida") < F.col("idb"))) & (F.array_min(F.array_intersect("bandsa", "bandsb")) == F.col("key"))
     rest = x.join(y, "key").where((F.col("ca") != F.col("cb")) & near & once).select(F.least("ida", "idb").alias("a"), F.greatest("ida", "idb").alias("b")).distinct()
