@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+HEAD = 5  # leading lines that stand for a block whose signature is not found
+PARTS = 64  # rows at most to which equal keys collapse before a join
+
 
 def lines(docs: DataFrame, key: str, text: Column) -> DataFrame:
     """(key, i, line): lines from 0, split at \\n or \\r\\n."""
@@ -58,3 +61,32 @@ def overlap(units: DataFrame, key: str, unit: str, least: float) -> DataFrame:
     both = pairs.join(u.withColumnRenamed("k", "x"), "x").join(u.withColumnRenamed("k", "y"), ["y", "h"])
     common = both.groupBy("x", "y", "nx").agg(F.count("*").alias("common")).withColumn("ratio", F.col("common") / F.col("nx"))
     return common.where(F.col("ratio") >= least).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "common", F.round("ratio", 6).alias("ratio"))
+
+
+def head(text: Column) -> Column:
+    """Hash of the first five lines, stripped, in lower case and without closing semicolons; blank ones drop, and null if none is left."""
+    some = F.slice(F.split(text, "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]", HEAD + 1), 1, HEAD)
+    kept = F.transform(F.filter(some, lambda s: _bare(s) != ""), lambda s: F.rtrim(F.lower(_bare(s)), F.lit(";")))
+    return F.when(F.size(kept) > 0, F.unhex(F.sha2(F.array_join(kept, "\n"), 256)))
+
+
+def _bare(text: Column) -> Column:
+    """functions.text.stripped without a regular expression, which is slow on whole documents."""
+    return F.btrim(text, F.lit(" \t\n\x0b\f\r"))
+
+
+def _held(rows: DataFrame, blocks: DataFrame, key: str) -> DataFrame:
+    """rows with n, the number of blocks with the same key. Rows of a hot key collapse to PARTS at most before they are joined."""
+    others = [c for c in rows.columns if c != key]
+    groups = rows.groupBy(key, F.pmod(F.xxhash64(*others), F.lit(PARTS)).alias("part")).agg(F.collect_list(F.struct(*others)).alias("members"))
+    n = blocks.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    return groups.join(n, key, "left").select(F.coalesce("n", F.lit(0)).alias("n"), F.inline("members"))
+
+
+def resolve(targets: DataFrame, blocks: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, n): how many blocks a target may mean. Those with its whole text's signature; only where there is none, those with its head."""
+    keys = [F.unhex(F.sha2(F.replace(_bare(F.col(text)), F.lit("\r\n"), F.lit("\n")), 256)).alias("signature"), head(F.col(text)).alias("head")]
+    blocks = blocks.select(*keys)
+    first = _held(targets.select(key, *keys), blocks, "signature")
+    second = _held(first.where("n = 0").select(key, "head"), blocks, "head")
+    return first.where("n > 0").select(key, "n").unionByName(second.select(key, "n"))

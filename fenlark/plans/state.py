@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import blocks
 from ..operators import tabular as t
 from ..streaming import windows
 from .base import query, read
@@ -48,13 +49,19 @@ def cascade_resolve(spark, sf_dir):
     return j.select("c_custkey", F.coalesce("s_name", "n_name", F.lit("none")).alias("resolved"), F.when(F.col("s_name").isNotNull(), "exact").when(F.col("n_name").isNotNull(), "family").otherwise("missing").alias("tier"))
 
 
-@query("""
-WITH h AS (SELECT substr(text, 1, 40) AS head, count(*) AS n FROM documents GROUP BY 1)
-SELECT doc_id, CASE WHEN n = 1 THEN 'unique' WHEN n <= 3 THEN 'ambiguous' ELSE 'rejected' END AS resolution FROM documents JOIN h ON head = substr(text, 1, 40)
+@query(r"""
+WITH l AS (SELECT doc_id, text, list_filter(regexp_split_to_array(text, '\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]')[1:5], lambda z: regexp_replace(z, '^\s+|\s+$', '', 'g') <> '') AS h FROM documents),
+d AS (SELECT doc_id, sha256(regexp_replace(regexp_replace(text, '^\s+|\s+$', '', 'g'), '\r\n', chr(10), 'g')) AS signature,
+ CASE WHEN len(h) > 0 THEN list_transform(h, lambda z: regexp_replace(lower(regexp_replace(z, '^\s+|\s+$', '', 'g')), ';+$', '')) END AS head FROM l),
+s AS (SELECT signature, count(*) AS n FROM d GROUP BY 1), t AS (SELECT head, count(*) AS n FROM d GROUP BY 1),
+r AS (SELECT doc_id, coalesce(s.n, t.n, 0) AS n FROM d LEFT JOIN s ON s.signature = d.signature LEFT JOIN t ON t.head = d.head)
+SELECT doc_id, CASE WHEN n = 0 THEN 'missing' WHEN n = 1 THEN 'unique' WHEN n <= 3 THEN 'ambiguous' ELSE 'rejected' END AS resolution FROM r
 """)
 def block_resolution(spark, sf_dir):
-    d = read(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 40).alias("head"))
-    return d.join(d.groupBy("head").agg(F.count("*").alias("n")), "head").select("doc_id", F.when(F.col("n") == 1, "unique").when(F.col("n") <= 3, "ambiguous").otherwise("rejected").alias("resolution"))
+    """Whole texts are compared first, the first five lines only where no whole text matches; a null text is missing."""
+    d = read(spark, sf_dir, "documents").select("doc_id", "text")
+    n = F.col("n")
+    return blocks.resolve(d, d, "doc_id", "text").select("doc_id", F.when(n == 0, "missing").when(n == 1, "unique").when(n <= 3, "ambiguous").otherwise("rejected").alias("resolution"))
 
 
 @query("""
