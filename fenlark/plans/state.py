@@ -131,7 +131,12 @@ def tumbling_counts(spark, sf_dir):
     return windows.tumbling(read(spark, sf_dir, "events"), "1 hour").select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
 
 
-@query()
+@query("""
+WITH v AS (SELECT coalesce(max(event_id), 0) AS version FROM events)
+SELECT event_type, version, count(*) AS n FROM events, v WHERE event_id <= version GROUP BY 1, 2
+""")
 def pattern_snapshot(spark, sf_dir):
-    """What a reader pinned to a version sees: rows up to an id."""
-    return read(spark, sf_dir, "events").where("event_id <= 500").groupBy("event_type").agg(F.max("event_id").alias("version"), F.count("*").alias("n"))
+    """What a reader pinned to a version sees: rows up to the highest id at the moment of capture."""
+    e = read(spark, sf_dir, "events")
+    v = e.agg(F.coalesce(F.max("event_id"), F.lit(0)).alias("version"))
+    return e.crossJoin(F.broadcast(v)).where("event_id <= version").groupBy("event_type", "version").agg(F.count("*").alias("n"))

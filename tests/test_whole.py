@@ -24,3 +24,8 @@ def test_heads_count_only_where_no_text_matches(spark):
     assert dict(map(tuple, blocks.resolve(asked, there, "k", "t").collect())) == {0: 2, 1: 1, 2: 0, 3: 0, 4: 0, 5: 0}
     asked = spark.createDataFrame([(6, "alone ;;\nLAST;")], "k int, t string")
     assert [r["n"] for r in blocks.resolve(asked, there, "k", "t").collect()] == [1]
+
+
+def test_snapshot_holds_every_row_present(spark, tmp_path):
+    sf = save(spark, tmp_path, "events", [(i, "a" if i % 2 else "b") for i in range(1, 1201)], "event_id long, event_type string")
+    assert sorted(map(tuple, catalog.QUERIES["pattern_snapshot"](spark, sf).collect())) == [("a", 1200, 600), ("b", 1200, 600)]
