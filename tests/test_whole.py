@@ -1,6 +1,8 @@
 """Operators that once did a part of their job: what the part left out."""
 
-from fenlark.operators import blocks
+import numpy as np
+
+from fenlark.operators import blocks, nearest
 from fenlark.plans import catalog
 
 
@@ -29,3 +31,26 @@ def test_heads_count_only_where_no_text_matches(spark):
 def test_snapshot_holds_every_row_present(spark, tmp_path):
     sf = save(spark, tmp_path, "events", [(i, "a" if i % 2 else "b") for i in range(1, 1201)], "event_id long, event_type string")
     assert sorted(map(tuple, catalog.QUERIES["pattern_snapshot"](spark, sf).collect())) == [("a", 1200, 600), ("b", 1200, 600)]
+
+
+def _brute(rows, every, k):
+    unit = {i: v / n if (n := np.linalg.norm(v)) else v for i, _, v in rows}
+    out = set()
+    for q in unit:
+        if q % every == 0:
+            near = sorted((-round(float(unit[q] @ unit[i]), 6), label, i) for i, label, _ in rows if i != q)
+            out |= {(q, i, label, -s) for s, label, i in near[:k]}
+    return out
+
+
+def test_every_hundredth_row_asks(spark, tmp_path, monkeypatch):
+    r = np.random.default_rng(3)
+    v = r.standard_normal((730, 8)).astype(np.float32)
+    v[40:120], v[500] = v[300], 0
+    rows = [(i, int(i % 7), v[i].astype(float)) for i in range(len(v)) if i != 7]
+    spark.createDataFrame([(i, b, a.tolist()) for i, b, a in rows], "vec_id long, label int, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    expected = _brute(rows, 100, 10)
+    assert {(r["query_id"], r["vec_id"], r["label"], r["similarity"]) for r in catalog.QUERIES["knn_topk"](spark, str(tmp_path)).collect()} == expected
+    monkeypatch.setattr(nearest, "LIMIT", 64)
+    monkeypatch.setattr(nearest, "ROWS", 50)
+    assert {(r["query_id"], r["vec_id"], r["label"], r["similarity"]) for r in catalog.QUERIES["knn_topk"](spark, str(tmp_path)).collect()} == expected
