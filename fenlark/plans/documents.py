@@ -177,10 +177,16 @@ def drift_score(spark, sf_dir):
 
 
 @query("""
-SELECT label, CASE WHEN label % 3 = 0 THEN 'fixed_examples' ELSE 'original_examples' END AS collection, count(*) AS n FROM embeddings WHERE vec_id % 10 < 7 GROUP BY 1, 2
+WITH c AS (SELECT a.label, b.vec_id IS NULL AS alone, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS c FROM embeddings a LEFT JOIN embeddings b ON b.vec_id = a.vec_id + 1),
+d AS (SELECT label, alone, 1 - CASE WHEN c IS NULL OR isnan(c) THEN 0.0 ELSE greatest(0.0, least(1.0, c)) END AS drift FROM c)
+SELECT label, CASE WHEN label % 3 = 0 THEN 'fixed_examples' ELSE 'original_examples' END AS collection, count(*) AS n FROM d WHERE alone OR drift < 0.9 GROUP BY 1, 2
 """)
 def vector_admission(spark, sf_dir):
-    e = read(spark, sf_dir, "embeddings").where(F.col("vec_id") % 10 < 7)
+    """Vectors whose drift to the next one is under the threshold of drift_score; one without a next has no drift and is admitted."""
+    e = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    after = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("after"), F.lit(True).alias("paired"))
+    drift = 1 - x.cosine(F.col("embedding"), F.col("after"))
+    e = e.join(after, "vec_id", "left").where(F.col("paired").isNull() | (drift < 0.9))
     return e.groupBy("label", F.when(F.col("label") % 3 == 0, "fixed_examples").otherwise("original_examples").alias("collection")).agg(F.count("*").alias("n"))
 
 

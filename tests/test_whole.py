@@ -54,3 +54,11 @@ def test_every_hundredth_row_asks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(nearest, "LIMIT", 64)
     monkeypatch.setattr(nearest, "ROWS", 50)
     assert {(r["query_id"], r["vec_id"], r["label"], r["similarity"]) for r in catalog.QUERIES["knn_topk"](spark, str(tmp_path)).collect()} == expected
+
+
+def test_admission_goes_by_drift(spark, tmp_path):
+    near, far = [1.0, 0.0], [0.0, 1.0]
+    rows = [(8, 1, near), (9, 1, near), (10, 2, near), (11, 2, far), (12, 3, [0.0, 0.0]), (13, 3, far), (20, 4, far)]
+    sf = save(spark, tmp_path, "embeddings", rows, "vec_id long, label int, embedding array<float>")
+    # 8 and 9 resemble the next; 10 and 11 don't, 12 has no direction; 13 and 20 have no next
+    assert sorted(map(tuple, catalog.QUERIES["vector_admission"](spark, sf).collect())) == [(1, "original_examples", 2), (3, "fixed_examples", 1), (4, "original_examples", 1)]
