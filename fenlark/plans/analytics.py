@@ -266,10 +266,10 @@ def retire_patterns(spark, sf_dir):
     return g.withColumn("reason", reason).where("reason is not null").select("user_id", "n", "reason")
 
 
-@query("SELECT user_id, n, s FROM (SELECT user_id, count(*) AS n, avg(CASE WHEN value > 20 THEN 1.0 ELSE 0.0 END) AS r FROM events GROUP BY 1), LATERAL (SELECT round(-(r * log10(n + 1)), 9) AS s) ORDER BY s, user_id LIMIT 25")
+@query("SELECT user_id, n, s FROM (SELECT user_id, count(*) AS n, avg(CASE WHEN value > 20 THEN 1.0 ELSE 0.0 END) AS r FROM events GROUP BY 1), LATERAL (SELECT round(-(r * log10(n + 1)), 9) AS s) ORDER BY s, user_id")
 def history_boost(spark, sf_dir):
     g = read(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("n"), F.avg((F.col("value") > 20).cast("double")).alias("r"))
-    return g.select("user_id", "n", F.round(-(F.col("r") * F.log10(F.col("n") + 1)), 9).alias("s")).orderBy("s", "user_id").limit(25)
+    return g.select("user_id", "n", F.round(-(F.col("r") * F.log10(F.col("n") + 1)), 9).alias("s")).orderBy("s", "user_id")
 
 
 @query("SELECT sha256(string_agg(CAST(o_orderkey AS VARCHAR), chr(10) ORDER BY CAST(o_orderkey AS VARCHAR))) AS selection_hash, count(*) AS n FROM orders WHERE o_orderstatus = 'P'")

@@ -62,3 +62,10 @@ def test_admission_goes_by_drift(spark, tmp_path):
     sf = save(spark, tmp_path, "embeddings", rows, "vec_id long, label int, embedding array<float>")
     # 8 and 9 resemble the next; 10 and 11 don't, 12 has no direction; 13 and 20 have no next
     assert sorted(map(tuple, catalog.QUERIES["vector_admission"](spark, sf).collect())) == [(1, "original_examples", 2), (3, "fixed_examples", 1), (4, "original_examples", 1)]
+
+
+def test_boost_keeps_every_row(spark, tmp_path):
+    rows = [(u, 30.0 if i <= u % 3 else 1.0) for u in range(60) for i in range(3)]
+    sf = save(spark, tmp_path, "events", rows, "user_id long, value double")
+    found = catalog.QUERIES["history_boost"](spark, sf).collect()
+    assert [r["user_id"] for r in found] == sorted(range(60), key=lambda u: (-(u % 3), u))
