@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -41,22 +42,40 @@ def _grams(w: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+@dataclass(frozen=True)
+class Statistics:
+    """Of all items, whatever part of them an index holds: how many, their words and the longest one's; terms and the number of items with each."""
+
+    n: int
+    words: int
+    longest: int
+    terms: np.ndarray
+    df: np.ndarray
+
+
 class Index:
-    """BM25 postings of the items, with impacts as shares of the item's score with itself, and block maxima."""
+    """BM25 postings of the items, with impacts as shares of the item's score with itself, and block maxima.
+
+    Without statistics, the items given are all there are.
+    """
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], known: Statistics | None = None):
         terms, first = words([t.encode() for _, t in items], MARKS)
         bags = [Counter(terms[a:b].tolist()) for a, b in zip(first[:-1], first[1:], strict=True)]
         self.ids = [i for i, _ in items]
-        n, mean = len(bags), max(1.0, len(terms) / max(1, len(bags)))
-        df = Counter(t for b in bags for t in b)
-        self.vocabulary = np.array(sorted(df), U)
+        n = len(bags)
+        if known is None:
+            terms_of, df_of = np.unique(np.array([t for b in bags for t in b], U), return_counts=True)
+            known = Statistics(n, len(terms), max([0, *(sum(b.values()) for b in bags)]), terms_of, df_of)
+        mean = max(1.0, known.words / max(1, known.n))
+        df = dict(zip(known.terms.tolist(), known.df.tolist(), strict=True))
+        self.vocabulary = np.array(sorted({t for b in bags for t in b}), U)
         number = {t: j for j, t in enumerate(self.vocabulary.tolist())}
         lists: list[list[tuple[int, float]]] = [[] for _ in number]
-        self.longest = max([1, *(sum(b.values()) for b in bags)])
+        self.longest = max(1, known.longest)
         for i, bag in enumerate(bags):
             size = sum(bag.values())
-            raw = {t: math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * f * (K1 + 1) / (f + K1 * (1 - B + B * size / mean)) for t, f in bag.items()}
+            raw = {t: math.log(1 + (known.n - df[t] + 0.5) / (df[t] + 0.5)) * f * (K1 + 1) / (f + K1 * (1 - B + B * size / mean)) for t, f in bag.items()}
             whole = sum(raw.values())
             for t, x in raw.items():
                 lists[number[t]].append((i, x / whole))
@@ -194,21 +213,44 @@ class Index:
 _READY: dict[str, Index] = {}
 
 
+def _counted(batches):
+    """Of each item, its distinct terms; in a first row without a term, all its words."""
+    for batch in chunks(batches, "text", 1 << 20):
+        w, first = words(texts_of(batch), MARKS)
+        for part, a, b in zip(batch.column("part").to_pylist(), first[:-1], first[1:], strict=True):
+            t = np.unique(w[a:b]).view(np.int64)
+            rows = [pa.array([part] * (len(t) + 1), pa.int32()), pa.array([None, *t.tolist()], pa.int64()), pa.array([int(b - a)] + [0] * len(t), pa.int64())]
+            yield pa.RecordBatch.from_arrays(rows, names=["part", "term", "size"])
+
+
 def _rounds(spark: SparkSession, items: DataFrame):
-    """(key, broadcast of items) for each round; one round unless the items are larger than LIMIT."""
+    """(key, broadcast of items and statistics) for each round; one round unless the items are larger than LIMIT.
+
+    The statistics are of all items in every round, so that results don't depend on the rounds; of the
+    terms, a round gets those that its items have.
+    """
     items = items.where("text is not null and item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     rounds = max(1, -(-size // LIMIT))
+    items = items.withColumn("part", F.pmod(F.xxhash64("item_id"), F.lit(rounds)).cast("int"))
+    counted = items.select("part", "text").mapInArrow(_counted, "part int, term long, size long")
+    n, total, longest = counted.where("term is null").agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.max("size"), F.lit(0))).first()
+    held = counted.where("term is not null").groupBy("term", "part").agg(F.count("*").alias("df"))
     for i in range(rounds):
-        some = items if rounds == 1 else items.where(F.pmod(F.xxhash64("item_id"), F.lit(rounds)) == i)
-        rows = sorted((r["item_id"], r["text"]) for r in some.collect())
-        yield f"{hash(tuple(rows))}", spark.sparkContext.broadcast(rows)
+        here = F.max(F.col("part") == i)
+        df = held.groupBy("term").agg(F.sum("df").alias("df"), here.alias("here")).where("here").select("term", "df").toArrow()
+        terms = df.column("term").to_numpy().view(U)
+        order = np.argsort(terms)
+        known = Statistics(n, total, longest, terms[order], df.column("df").to_numpy()[order])
+        rows = sorted((r["item_id"], r["text"]) for r in items.where(F.col("part") == i).select("item_id", "text").collect())
+        key = (tuple(rows), n, total, longest, known.terms.tobytes(), known.df.tobytes())
+        yield f"{hash(key)}", spark.sparkContext.broadcast((rows, known))
 
 
-def _index(key: str, items) -> Index:
+def _index(key: str, sent) -> Index:
     if key not in _READY:
         _READY.clear()
-        _READY[key] = Index(items.value)
+        _READY[key] = Index(*sent.value)
     return _READY[key]
 
 
@@ -218,7 +260,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
     docs needs doc_id and text, items item_id and text; other columns are ignored. Null texts and items
     without words leak nothing; a doc_id may be null; repeated rows give repeated results. The items'
     size is measured before an index is broadcast; beyond LIMIT, parts of them are searched in turn,
-    each with its own inverse document frequencies.
+    with the statistics of all.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"

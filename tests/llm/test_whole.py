@@ -1,0 +1,20 @@
+"""Training-data operators that once did a part of their job: what the part left out."""
+
+import random
+
+from fenlark.llm import decontaminate
+
+
+def test_rounds_share_statistics(spark, monkeypatch):
+    r = random.Random(2)
+    vocabulary = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(r.choices(vocabulary, k=r.randint(6, 40))) + ". " + " ".join(r.choices(vocabulary, k=4))) for i in range(40)]
+    # items with some words exchanged lie on both sides of the threshold
+    docs = [(100 * i + k, " ".join(w if r.random() > k / 20 else "other" for w in t.split())) for i, t in items for k in range(12)]
+    items, docs = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string")
+    found = lambda: sorted(map(tuple, decontaminate.find_leaks(docs, items, 0.5, 0.1).collect()))
+    kept = lambda: sorted(r["doc_id"] for r in decontaminate.without_leaks(docs, items, 0.5, 0.1).collect())
+    one, left = found(), kept()
+    assert 0 < len({x[0] for x in one}) < 480
+    monkeypatch.setattr(decontaminate, "LIMIT", 1500)
+    assert found() == one and kept() == left
