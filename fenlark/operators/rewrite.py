@@ -43,12 +43,15 @@ def regex_replace(x: Column, pattern: str, replacement: str) -> Column:
 
 
 def closest(words: list[str], cutoff: float):
-    """A function from a name to the most alike of words, by difflib's ratio; null under the cutoff."""
-
-    @pandas_udf("string")
-    def run(s: pd.Series) -> pd.Series:
-        known = {w: (difflib.get_close_matches(w, words, 1, cutoff) or [None])[0] for w in s.dropna().unique()}
-        return s.map(known.get)
+    """A function from a name to (score, word) of the most alike of words, by difflib's ratio; null under the cutoff. The larger word wins a tie."""
+
+    @pandas_udf("score double, word string")
+    def run(s: pd.Series) -> pd.DataFrame:
+        known = {}
+        for w in s.dropna().unique():
+            best = (difflib.get_close_matches(w, words, 1, cutoff) or [None])[0]
+            known[w] = (None, None) if best is None else (difflib.SequenceMatcher(None, best, w).ratio(), best)
+        return pd.DataFrame([known.get(w, (None, None)) for w in s], columns=["score", "word"])
 
     return run
 

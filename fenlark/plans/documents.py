@@ -212,13 +212,21 @@ def mine_using_patterns(spark, sf_dir):
     return read(spark, sf_dir, "part").groupBy("p_type").agg(F.sort_array(F.collect_set("p_brand")).alias("brands"), F.min("p_partkey").alias("first"))
 
 
+CATALOGUE = 1 << 20  # bytes of names in one function; a larger catalogue is matched in blocks
+
+
 @query()
 def fuzzy_match(spark, sf_dir):
     """Closest brand name by sequence matching, for misspelt names; not SQL."""
-    p = read(spark, sf_dir, "part").select("p_brand").distinct()
-    words = sorted(r["p_brand"] for r in p.orderBy("p_brand").limit(1000).collect())  # a catalog of names; bounded
+    p = read(spark, sf_dir, "part").select("p_brand").where("p_brand is not null").distinct()
+    blocks = max(1, -(-(p.agg(F.sum(F.octet_length("p_brand"))).first()[0] or 0) // CATALOGUE))
     bad = read(spark, sf_dir, "part").select("p_partkey", F.regexp_replace("p_brand", "Brand", "Brnad").alias("name"))
-    return bad.withColumn("match", rewrite.closest(words, 0.7)(F.col("name")))
+    best = F.lit(None).cast("struct<score: double, word: string>")
+    for i in range(blocks):
+        some = p.where(F.pmod(F.xxhash64("p_brand"), F.lit(blocks)) == i)
+        found = rewrite.closest(sorted(r["p_brand"] for r in some.collect()), 0.7)(F.col("name"))
+        best = F.greatest(best, F.when(found["word"].isNotNull(), found))
+    return bad.withColumn("match", best["word"])
 
 
 @query()
