@@ -115,10 +115,10 @@ def estimate(counts: dict[tuple[int, ...], float], rounds: int = 60) -> tuple[np
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, steps: int = 300, least: float = 20.0) -> np.ndarray:
-    """Weights of logistic regression on soft labels (the last one is the bias).
+    """Weights of logistic regression on soft labels (the last one is the bias), both classes weighing alike.
 
     rows holds each document's columns. Columns that don't tell the classes apart (log-likelihood ratio
-    of their counts under `least`) keep weight 0; the others are few and form a dense matrix.
+    of their counts under `least`) keep weight 0; all others are fitted, in sparse form.
     """
     w = np.zeros(3 * SIZE + 1)
     if not len(rows):
@@ -131,19 +131,18 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, steps: int = 300, least: flo
     for seen, expected in ((good, size * share), (size - good, size * (1 - share))):
         ratio += 2 * seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9))
     told = np.flatnonzero(ratio >= least)
-    told = told[np.argsort(-ratio[told], kind="stable")[:4000]]  # bounds the matrix; weaker columns add nothing
     place = np.full(3 * SIZE, -1, np.int32)
     place[told] = np.arange(len(told))
-    x = np.zeros((len(rows), len(told) + 1), np.float32)
-    x[:, -1] = 1
-    for i, c in enumerate(rows):
-        c = c[place[c] >= 0]
-        x[i, place[c]] = value_of(c)
-    weight = np.float32(1 / len(rows))
-    v, speed, square = (np.zeros(x.shape[1], np.float32) for _ in range(3))
+    some = [place[c[place[c] >= 0]] for c in rows]
+    row, column = np.repeat(np.arange(len(rows), dtype=np.int32), [len(c) for c in some]), np.concatenate(some)
+    value = value_of(told[column])
+    bad = labels <= 0.5
+    weight = np.where(bad, 1 / max(1, bad.sum()), 1 / max(1, (~bad).sum())) / 2
+    v, speed, square = (np.zeros(len(told) + 1) for _ in range(3))
     for step in range(1, steps + 1):
-        error = weight * (1 / (1 + np.exp(-np.clip(x @ v, -30, 30))) - labels.astype(np.float32))
-        g = error @ x + 1e-5 * v
+        z = np.bincount(row, v[column] * value, len(rows)) + v[-1]
+        error = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels)
+        g = np.append(np.bincount(column, error[row] * value, len(told)), error.sum()) + 1e-5 * v
         speed, square = 0.9 * speed + 0.1 * g, 0.99 * square + 0.01 * g * g
         v -= 0.05 * (speed / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
     w[told], w[-1] = v[:-1], v[-1]

@@ -2,7 +2,9 @@
 
 import random
 
-from fenlark.llm import decontaminate
+import numpy as np
+
+from fenlark.llm import decontaminate, quality
 
 
 def test_rounds_share_statistics(spark, monkeypatch):
@@ -18,3 +20,15 @@ def test_rounds_share_statistics(spark, monkeypatch):
     assert 0 < len({x[0] for x in one}) < 480
     monkeypatch.setattr(decontaminate, "LIMIT", 1500)
     assert found() == one and kept() == left
+
+
+def test_classes_weigh_alike_and_all_columns_count():
+    # one document in 50 is bad; 5,000 columns tell it apart, each in every bad document and some good ones
+    told = np.arange(5000, dtype=np.int32)
+    rows = [told if i % 50 == 0 else np.array([6000 + i % 7], np.int32) for i in range(2000)]
+    labels = np.array([0.0 if i % 50 == 0 else 1.0 for i in range(2000)])
+    w = quality.fit(rows, labels, steps=20)
+    assert (w[told] < 0).all()
+    # the same evidence in both classes says nothing, however rare one is
+    w = quality.fit([np.zeros(1, np.int32)] * 2000, labels)
+    assert abs(w[-1] + quality.value_of(np.zeros(1))[0] * w[0]) < 0.1
