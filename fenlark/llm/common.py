@@ -8,6 +8,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 U = np.uint64
@@ -22,6 +23,8 @@ def scratch(spark: SparkSession) -> str:
     """A new folder under spark.checkpoint.dir; a local one only where that setting is unset (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         app = spark.sparkContext.applicationId
         root = _LOCAL.setdefault(app, tempfile.mkdtemp(prefix="fenlark-"))
     return f"{root.rstrip('/')}/fenlark-{uuid.uuid4().hex}"
@@ -89,7 +92,10 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefix_sums(data: np.ndarray) -> np.ndarray:
-    """s with s[i] the polynomial hash of data[:i]; span_hash reads spans off it."""
+    """s with s[i] the polynomial hash of data[:i]; span_hash reads spans off it.
+
+    For windows of a few hundred bytes only: modulo 2**64, built strings of 512 bytes and more can collide.
+    """
     out = np.zeros(len(data) + 1, U)
     np.cumsum((data.astype(U) + U(1)) * powers(len(data))[0], out=out[1:], dtype=U)
     return out
@@ -105,6 +111,28 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
 MARKS = np.array([not (48 <= i <= 57 or 97 <= i <= 122 or i >= 128) for i in range(256)])
+_LONG = 32  # bytes up to which words are hashed side by side, eight bytes a step
+_TAIL = np.array([(1 << 8 * i) - 1 for i in range(9)], U)
+_SALT = 0x9E3779B97F4A7C15
+
+
+def hashed_spans(buffer: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the bytes start:end. Every step is mixed, so that no arithmetic of the bytes
+    survives in a hash: spans of up to eight bytes and equal length never collide, longer ones by chance
+    only. Those over _LONG bytes go through xxh3."""
+    size = end - start
+    eight = np.ndarray((len(buffer) + 1,), "<u8", buffer + bytes(8), 0, (1,))
+    out = mix(size.astype(U) * U(0xD6E8FEB86659FD93) + U(_SALT))
+    rows = np.flatnonzero(size <= _LONG) if len(size) and size.max() > _LONG else np.arange(len(size))
+    for at in range(0, _LONG, 8):
+        rows = rows[size[rows] > at]
+        if not len(rows):
+            break
+        x = eight[start[rows] + at] & _TAIL[np.minimum(size[rows] - at, 8)]
+        out[rows] = mix(out[rows] ^ x)
+    for i in np.flatnonzero(size > _LONG).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(buffer[start[i] : end[i]], _SALT)
+    return out
 
 
 def words(texts: list[bytes], breaks: np.ndarray = _SPACE, heads: int = 0) -> tuple[np.ndarray, ...]:
@@ -120,10 +148,10 @@ def words(texts: list[bytes], breaks: np.ndarray = _SPACE, heads: int = 0) -> tu
     end = np.flatnonzero(space & np.concatenate(([False], ~space[:-1])))
     offsets = np.zeros(len(texts) + 1, np.int64)
     np.cumsum([len(t) + 1 for t in texts], out=offsets[1:])
-    sums, bounds = prefix_sums(data), np.searchsorted(start, offsets)
+    found, bounds = hashed_spans(joined, start, end), np.searchsorted(start, offsets)
     if heads:
-        return span_hash(sums, start, end), bounds, span_hash(sums, start, np.minimum(start + heads, end))
-    return span_hash(sums, start, end), bounds
+        return found, bounds, hashed_spans(joined, start, np.minimum(start + heads, end))
+    return found, bounds
 
 
 def shingles(texts: list[bytes], k: int = 5) -> list[np.ndarray]:

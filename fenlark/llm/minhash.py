@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import U, chunks, dropped, mix, shingles, table, texts_of, written
 from .components import components
 
 BANDS, ROWS = 36, 6
+SHARERS = 1000  # sets with a shingle in common that one task pairs with all others
 _SEEDS = mix(np.arange(1, 1 + 4 * BANDS * ROWS, dtype=U) * U(0x9E3779B97F4A7C15))
 
 
@@ -72,13 +73,11 @@ def _common(batches):
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) with their Jaccard distance and whether they are linked, from the full sets."""
+    """Pairs (a, b) and whether they are linked, from the full sets."""
     sa = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("items").alias("sa"))
     sb = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("items").alias("sb"))
-    # sets of clearly different sizes can't be linked, and their distance isn't needed beyond that
     both = pairs.join(sb, "b").join(sa, "a").mapInArrow(_common, "a long, b long, na long, nb long, both long")
-    union = F.col("na") + F.col("nb") - F.col("both")
-    return both.select("a", "b", "both", (1 - F.col("both") / union).alias("d"), (100 * F.col("both") >= percent * union).alias("linked"))
+    return both.select("a", "b", (100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))).alias("linked"))
 
 
 def _mixed(members: DataFrame, found: DataFrame) -> DataFrame:
@@ -92,12 +91,33 @@ def _tokens(batches):
     for batch in chunks(batches, "items", 1 << 20):
         sets = [np.frombuffer(x, U) for x in batch.column("items").to_pylist()]
         ids = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), [len(x) for x in sets])
-        yield pa.RecordBatch.from_arrays([pa.array((np.concatenate(sets) >> U(32)).astype(np.uint32).view(np.int32)), pa.array(ids)], names=["token", "id"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64)), pa.array(ids)], names=["token", "id"])
 
 
 def _own(sets: DataFrame) -> DataFrame:
-    """(id, u): at least u shingles of the set are in no other of these sets. Tokens of 32 bits can only lower u."""
-    return sets.mapInArrow(_tokens, "token int, id long").groupBy("token").agg(F.min("id").alias("id"), F.count("*").alias("n")).where("n = 1").groupBy("id").agg(F.count("*").alias("u"))
+    """(id, u): u shingles of the set are in no other of these sets."""
+    return sets.mapInArrow(_tokens, "token long, id long").groupBy("token").agg(F.min("id").alias("id"), F.count("*").alias("n")).where("n = 1").groupBy("id").agg(F.count("*").alias("u"))
+
+
+def _prefix_pairs(sets: DataFrame, of: DataFrame, percent: int, put=written) -> DataFrame:
+    """Pairs (a, b) of sets in different components (of: id, c, n) for which a link isn't ruled out.
+
+    Exact: in any order of the shingles, here from the rarest, linked sets share one of their first
+    n - ceil(n * percent / 100) + 1. From the first one they share, enough must be left in both.
+    Shingles of very many sets are dealt in blocks, so that no task holds all pairs of one.
+    """
+    held = sets.join(of.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").mapInArrow(_tokens, "token long, id long")
+    often = held.groupBy("token").agg(F.count("*").alias("df"))
+    place = F.row_number().over(Window.partitionBy("id").orderBy("df", "token"))
+    first = held.join(often, "token").withColumn("p", place).where("df > 1").join(of, "id").where(F.col("p") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
+    first = put(first.select("token", "id", "c", "n", "p"))
+    blocks = first.groupBy("token").agg(F.ceil(F.count("*") / SHARERS).cast("int").alias("s"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("token", "s")
+    at = first.join(blocks, "token")
+    x = at.select("token", F.pmod(F.xxhash64("id"), "s").cast("int").alias("k"), *(F.col(k).alias(k + "a") for k in ("id", "c", "n", "p")))
+    y = at.select("token", F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("k"), *(F.col(k).alias(k + "b") for k in ("id", "c", "n", "p")))
+    most = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) + 1
+    fits = 100 * most >= percent * (F.col("na") + F.col("nb") - most)
+    return x.join(y, ["token", "k"]).where((F.col("ida") < F.col("idb")) & (F.col("ca") != F.col("cb")) & fits).select(F.col("ida").alias("a"), F.col("idb").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame:
@@ -106,69 +126,61 @@ def near_duplicates(docs: DataFrame, percent: int = 80, k: int = 5) -> DataFrame
     docs needs doc_id and text; further columns are ignored. Equal shingle sets form one class, whose
     smallest doc_id stands for it, so copies never meet pairwise. Classes that share a band of their
     sketches are compared with the smallest class of that bucket, and where components differ after
-    that, with the class that has the fewest shingles of its own. Those still outside its component are
-    compared with every other class of the bucket for which a link isn't ruled out: by their distances
-    to it (Jaccard distance is a metric) or by the shingles that no other class has, which bound an
-    intersection. Every link is confirmed on full sets.
+    that, with the class that has the fewest shingles of its own. Classes that still share a bucket with
+    another component are compared where they share one of their rarest shingles, of which a link needs
+    one. Every link is confirmed on full sets.
 
     Null or wordless texts have n_shingles 0 and no links. Rows without doc_id have no component and
     are kept. Rows that repeat a doc_id share its component. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
+    spark, scrap = docs.sparkSession, []
+
+    def put(df: DataFrame) -> DataFrame:
+        scrap.append(written(df))
+        return scrap[-1]
+
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     run, schema = _signed(k)
-    signed = written(docs.mapInArrow(run, schema))
+    signed = put(docs.mapInArrow(run, schema))
     live = signed.where("doc_id is not null and n_shingles > 0")
-    classes = live.groupBy("n_shingles", "f1", "f2").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("rep"))
-    classes = written(classes)
+    classes = put(live.groupBy("n_shingles", "f1", "f2").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("rep")))
     keys = classes.select(F.col("rep").alias("id"), F.explode("bands").alias("key"))
     leads = keys.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last")
-    members = written(keys.join(leads.select("key", "lead"), "key"))  # the buckets with two classes or more
+    members = put(keys.join(leads.select("key", "lead"), "key"))  # the buckets with two classes or more
     stars = members.where("id > lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     needed = members.select(F.col("id").alias("doc_id")).distinct()
     run, schema = _sets(k)
     # a repeated doc_id can have several texts; the one that stands for its class is meant
     sets = docs.join(needed, "doc_id", "left_semi").mapInArrow(run, schema)
     own = classes.select(F.col("rep").alias("doc_id"), F.col("n_shingles").alias("n")).groupBy("doc_id", "n").count().select("doc_id", "n")
-    sets = written(sets.join(own, ["doc_id", "n"], "left_semi").groupBy("doc_id").agg(F.max_by("n", "items").alias("n"), F.max("items").alias("items")))
-    first = written(_compared(stars, sets, percent))
-    links = first.where("linked").select("a", "b")
-    found = written(components(links))
+    sets = put(sets.join(own, ["doc_id", "n"], "left_semi").groupBy("doc_id").agg(F.max_by("n", "items").alias("n"), F.max("items").alias("items")))
+    links = put(_compared(stars, sets, percent).where("linked").select("a", "b"))
+    found = put(components(links))
     # buckets that still hold several components: a second leader, then the rest
     sizes = classes.select(F.col("rep").alias("id"), F.col("n_shingles").alias("n"))
-    at = written(_mixed(members.select("key", "id"), found).join(sizes, "id"))
+    at = put(_mixed(members.select("key", "id"), found).join(sizes, "id"))
     own = _own(sets.join(at.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi"))
     at = at.join(own, "id", "left").withColumn("u", F.coalesce("u", F.lit(0)))
     # what has more shingles of its own than a link allows has no further link
     at = at.where(100 * (F.col("n") - F.col("u")) >= percent * F.col("n"))
-    leads = at.groupBy("key").agg(F.min(F.struct((F.col("u") / F.col("n")).alias("s"), "id", "n", "u")).alias("l"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key", "l")
-    at = written(at.join(leads, "key").select("key", "id", "c", "n", "u", F.col("l.id").alias("lead"), F.col("l.u").alias("lu"), F.col("l.n").alias("ln")))
+    leads = at.groupBy("key").agg(F.min(F.struct((F.col("u") / F.col("n")).alias("s"), "id")).alias("l"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key", "l")
+    at = put(at.join(leads, "key").select("key", "id", F.col("l.id").alias("lead")))
     pairs = at.where("id <> lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
-    second = written(_compared(pairs, sets, percent))
-    links = written(links.unionByName(second.where("linked").select("a", "b")))
-    found = written(components(links))
-    at = _mixed(at.drop("c"), found).join(second.select(F.col("a").alias("lead"), F.col("b").alias("id"), "d", "both"), ["lead", "id"], "left")
-    at = at.join(found.select(F.col("node").alias("lead"), F.col("component").alias("lc")), "lead", "left")
-    at = at.join(classes.select(F.col("rep").alias("id"), "bands"), "id")
-    at = written(at.select("key", "id", "c", "n", "u", F.coalesce("both", "n").alias("i"), F.coalesce("d", F.lit(0.0)).alias("d"), (F.col("c") != F.coalesce("lc", "lead")).alias("out"), "bands"))
-    x = at.where("out").select("key", *(F.col(k).alias(k + "a") for k in ("id", "c", "n", "u", "i", "d", "bands")))
-    y = at.select("key", *(F.col(k).alias(k + "b") for k in ("id", "c", "n", "u", "i", "d", "bands", "out")))
-    # at most so many shingles in common: of those in the leader, and of the others that aren't one's own
-    other = [F.greatest(F.lit(0), F.col("n" + k) - F.col("i" + k) - F.col("u" + k)) for k in "ab"]
-    most = F.least("ia", "ib") + F.least(*other)
-    near = (F.abs(F.col("da") - F.col("db")) <= 1 - percent / 100 + 1e-9) & (100 * most >= percent * (F.col("na") + F.col("nb") - most))
-    # a pair of several buckets is taken once: in that of the least key
-    once = (~F.col("outb") | (F.col("ida") < F.col("idb"))) & (F.array_min(F.array_intersect("bandsa", "bandsb")) == F.col("key"))
-    rest = x.join(y, "key").where((F.col("ca") != F.col("cb")) & near & once).select(F.least("ida", "idb").alias("a"), F.greatest("ida", "idb").alias("b")).distinct()
-    rest = _compared(rest, sets, percent).where("linked").select("a", "b")
+    links = put(links.unionByName(_compared(pairs, sets, percent).where("linked").select("a", "b")))
+    found = put(components(links))
+    # what still shares a bucket with another component: pairs by their rarest shingles
+    rest = _mixed(at.select("key", "id"), found).select("id", "c").distinct()
+    rest = put(rest.join(sizes, "id"))
+    rest = _compared(_prefix_pairs(sets, rest, percent, put), sets, percent).where("linked").select("a", "b")
     # a doc_id with several texts joins their classes
     shared = live.join(classes.drop("bands"), ["n_shingles", "f1", "f2"]).groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("c")).where("b < c")
     again = live.join(shared.select("doc_id"), "doc_id", "left_semi").join(classes.drop("bands"), ["n_shingles", "f1", "f2"]).select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    ends = written(components(links.unionByName(rest).unionByName(again)))
+    ends = put(components(links.unionByName(rest).unionByName(again)))
     of = classes.drop("bands").join(ends.withColumnRenamed("node", "rep"), "rep", "left").select("n_shingles", "f1", "f2", F.coalesce("component", "rep").alias("c"))
     out = signed.drop("bands").join(of, ["n_shingles", "f1", "f2"], "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id")).alias("component_id"))
-    dropped(spark, members, at, sets)
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    out = written(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+    dropped(spark, *scrap)
+    return out
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
