@@ -15,6 +15,7 @@ from .common import MARKS, U, chunks, mix, table, texts_of, words
 
 SAMPLE = 4000  # documents, those of smallest hash, on which the scorers are fitted
 SIZE = 1 << 17  # hashed features of each family
+FOLDS, LOST = 4, 0.01  # of the good ones held out in so many folds, the share that may be judged bad
 HEAD = 4  # bytes of a word's beginning
 # Words that insult.
 INSULTS = ["moron", "loser", "pathetic", "worthless", "scum", "idiot", "clown", "disgusting", "trash", "stupid"]
@@ -66,17 +67,24 @@ def quality_votes(m: np.ndarray, terms: np.ndarray, bounds: np.ndarray, heads: n
 
 
 def toxic_votes(m: np.ndarray, terms: np.ndarray, bounds: np.ndarray, heads: np.ndarray) -> np.ndarray:
-    """Any insult, two different ones, more than one in 400 words."""
-    hit = np.isin(terms, _INSULTS)
-    sums = np.concatenate(([0], np.cumsum(hit)))
-    n = sums[bounds[1:]] - sums[bounds[:-1]]
-    kinds = np.array([len(np.unique(terms[a:b][hit[a:b]])) if c else 0 for a, b, c in zip(bounds[:-1], bounds[1:], n, strict=True)])
-    return np.stack([_vote(n > 0), _vote(kinds > 1, n == 0), _vote(n > np.diff(bounds) / 400, n == 0)], axis=1)
+    """Any insult. The list is English: its silence is no vote. (Counts and kinds of insults would only
+    repeat this vote, and labellers must not be copies of each other.)"""
+    sums = np.concatenate(([0], np.cumsum(np.isin(terms, _INSULTS))))
+    return _vote(sums[bounds[1:]] > sums[bounds[:-1]], np.zeros(len(m), bool))[:, None]
 
 
 HEADS = {"quality": quality_votes, "toxic": toxic_votes}
 
 
+def all_votes(m: tuple, truth: pa.Array) -> dict[str, list[str]]:
+    """Of each head, the votes on each text as digits. People are one more labeller of toxicity, whose
+    accuracy is estimated like the others': truth is 1 for toxic, 0 for not, null where nobody looked."""
+    out = {name: f(*m) for name, f in HEADS.items()}
+    told = truth.fill_null(-1).to_numpy(zero_copy_only=False)
+    out["toxic"] = np.column_stack((out["toxic"], np.where(told < 0, NONE, np.where(told > 0, BAD, GOOD))))
+    return {name: ["".join(map(str, x)) for x in v] for name, v in out.items()}
+
+
 def value_of(column: np.ndarray) -> np.ndarray:
     """Words and beginnings weigh half as much as bins."""
     return np.where(column < 2 * SIZE, 0.5, 1.0)
@@ -96,12 +104,16 @@ def hashed(m: np.ndarray, terms: np.ndarray, bounds: np.ndarray, heads: np.ndarr
     return np.concatenate((key, rows)), column, value_of(column)
 
 
-def estimate(counts: dict[tuple[int, ...], float], rounds: int = 60) -> tuple[np.ndarray, dict[tuple[int, ...], float]]:
+LABELLER = np.array([[0.5, 0.1, 0.4], [0.05, 0.55, 0.4]])  # where estimates start: better than chance
+PEOPLE = np.array([[0.38, 0.01, 0.61], [0.002, 0.388, 0.61]])  # people seldom call a clean text toxic
+
+
+def estimate(counts: dict[tuple[int, ...], float], rounds: int = 60, start: list[np.ndarray] | None = None) -> tuple[np.ndarray, dict[tuple[int, ...], float]]:
     """Each labeller's probabilities of a vote given the truth, [labeller, truth, vote], and P(good) of each pattern of votes."""
     if not counts:
         return np.zeros((0, 2, 3)), {}
     patterns, n = np.array(list(counts)), np.array(list(counts.values()), float)
-    like = np.tile(np.array([[0.5, 0.1, 0.4], [0.05, 0.55, 0.4]]), (patterns.shape[1], 1, 1))  # the start: labellers are better than chance
+    like = np.stack(start or [LABELLER] * patterns.shape[1])
     start, prior = like * 20, 0.8
     for _ in range(rounds):
         log = np.log([[1 - prior], [prior]]) + np.stack([sum(np.log(like[j, y, patterns[:, j]]) for j in range(patterns.shape[1])) for y in (0, 1)])
@@ -114,7 +126,7 @@ def estimate(counts: dict[tuple[int, ...], float], rounds: int = 60) -> tuple[np
     return like, {tuple(map(int, k)): float(g) for k, g in zip(patterns, good, strict=True)}
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, steps: int = 300, least: float = 20.0) -> np.ndarray:
+def fit(rows: list[np.ndarray], labels: np.ndarray, steps: int = 300, least: float = 14.0) -> np.ndarray:
     """Weights of logistic regression on soft labels (the last one is the bias), both classes weighing alike.
 
     rows holds each document's columns. Columns that don't tell the classes apart (log-likelihood ratio
@@ -142,13 +154,25 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, steps: int = 300, least: flo
     for step in range(1, steps + 1):
         z = np.bincount(row, v[column] * value, len(rows)) + v[-1]
         error = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels)
-        g = np.append(np.bincount(column, error[row] * value, len(told)), error.sum()) + 1e-5 * v
+        g = np.append(np.bincount(column, error[row] * value, len(told)), error.sum()) + 1e-4 * v
         speed, square = 0.9 * speed + 0.1 * g, 0.99 * square + 0.01 * g * g
         v -= 0.05 * (speed / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
     w[told], w[-1] = v[:-1], v[-1]
     return w
 
 
+def allowance(rows: list[np.ndarray], labels: np.ndarray) -> float:
+    """What is added to the bias, 0 or more, so that of the good documents, each scored by a fit without
+    its fold, all but LOST stay good."""
+    at, z = np.arange(len(rows)) % FOLDS, np.zeros(len(rows))
+    for fold in range(FOLDS):
+        w = fit([r for r, k in zip(rows, at, strict=True) if k != fold], labels[at != fold])
+        for i in np.flatnonzero(at == fold):
+            z[i] = (w[rows[i]] * value_of(rows[i])).sum() + w[-1]
+    good = z[labels > 0.5]
+    return max(0.0, -float(np.quantile(good, LOST))) if len(good) else 0.0
+
+
 @dataclass
 class Model:
     """Weights and the labellers' estimated probabilities of each head."""
@@ -157,21 +181,29 @@ class Model:
     labellers: dict[str, np.ndarray]
 
 
+def smallest(rows: DataFrame, key: str, n: int) -> DataFrame:
+    """The n rows of smallest hash of key (a row a key). A first cut by the hash alone leaves few for the sort."""
+    total, h = rows.count(), F.xxhash64(key)
+    if total > 2 * n:
+        rows = rows.where(h < int(-(1 << 63) + (1 << 64) * min(0.75, 1.5 * (n + 50) / total)))
+    return rows.orderBy(h, key).limit(n)
+
+
 def train(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE) -> Model:
     """Votes are counted over all documents; a row for each pattern of votes (at most 3 ** 8) reaches the
     driver. The posteriors label a bounded sample, whose sparse hashed features fit the scorers there.
 
-    labels(doc_id, toxic) is optional: with it, the sample is of labelled documents, and the toxic head,
-    whose insults no list holds in every language, takes its truth from there. Quality never does.
+    labels(doc_id, toxic) is optional: with it, the sample is of labelled documents, and what people said
+    of these counts as one more labeller of the toxic head, since no list holds the insults of every
+    language. Posteriors alone train both heads. Without documents, all weights are 0.
     """
     docs = docs.select("doc_id", "text")
 
     def patterns(batches):
         for batch in chunks(batches, "text"):
-            m = measures(texts_of(batch))
-            for name, f in HEADS.items():
-                p, n = np.unique(f(*m), axis=0, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(p)), pa.array(["".join(map(str, x)) for x in p]), pa.array(n, pa.int64())], names=["head", "votes", "n"])
+            for name, votes in all_votes(measures(texts_of(batch)), batch.column("truth")).items():
+                p, n = np.unique(votes, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(p)), pa.array(p.tolist(), pa.string()), pa.array(n, pa.int64())], names=["head", "votes", "n"])
 
     def features(batches):
         for batch in chunks(batches, "text"):
@@ -179,27 +211,30 @@ def train(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE
             row, column, _ = hashed(*m)
             order = np.argsort(row, kind="stable")
             cut = np.searchsorted(row[order], np.arange(batch.num_rows + 1))
-            out = {name: ["".join(map(str, x)) for x in f(*m)] for name, f in HEADS.items()}
-            out["truth"] = batch.column("truth")
+            out = all_votes(m, batch.column("truth"))
             out["columns"] = pa.array([np.unique(column[order[a:b]]).astype(np.int32).tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())
             yield pa.RecordBatch.from_pydict(out)
 
-    counts: dict[str, dict] = {name: {} for name in HEADS}
-    for r in docs.mapInArrow(patterns, "head string, votes string, n long").groupBy("head", "votes").agg(F.sum("n").alias("n")).collect():
-        counts[r["head"]][tuple(map(int, r["votes"]))] = r["n"]
-    some = docs.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(sample).withColumn("truth", F.lit(None).cast("int"))
     if labels is not None:
         known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("truth"))
-        known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # bounded, so that it can be broadcast
-        marked = docs.join(F.broadcast(known), "doc_id")
-        some = marked if not known.isEmpty() else some
-    rows = some.mapInArrow(features, ", ".join(f"{name} string" for name in HEADS) + ", truth int, columns binary").collect()
+        known = F.broadcast(smallest(known, "doc_id", sample))  # bounded, whatever the table's size
+        told = docs.join(known, "doc_id", "left")
+        some = docs.join(known, "doc_id")
+    if labels is None or known.isEmpty():
+        told = docs.withColumn("truth", F.lit(None).cast("int"))
+        ids = smallest(docs.where("doc_id is not null").select("doc_id").distinct(), "doc_id", sample)
+        some = told.join(F.broadcast(ids), "doc_id")
+    counts: dict[str, dict] = {name: {} for name in HEADS}
+    for r in told.select("text", "truth").mapInArrow(patterns, "head string, votes string, n long").groupBy("head", "votes").agg(F.sum("n").alias("n")).collect():
+        counts[r["head"]][tuple(map(int, r["votes"]))] = r["n"]
+    rows = some.select("text", "truth").mapInArrow(features, ", ".join(f"{name} string" for name in HEADS) + ", columns binary").collect()
     sparse = [np.frombuffer(r["columns"], np.int32) for r in rows]
     model = Model({}, {})
     for name in HEADS:
-        model.labellers[name], posterior = estimate(counts[name])
-        soft = [posterior[tuple(map(int, r[name]))] if name != "toxic" or r["truth"] is None else 1.0 - r["truth"] for r in rows]
-        model.weights[name] = fit(sparse, np.array(soft))
+        model.labellers[name], posterior = estimate(counts[name], start=[LABELLER, PEOPLE] if name == "toxic" else None)
+        soft = np.array([posterior[tuple(map(int, r[name]))] for r in rows])
+        model.weights[name] = fit(sparse, soft)
+        model.weights[name][-1] += allowance(sparse, soft)
     return model
 
 
