@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import math
 import re
-from collections import Counter
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +19,7 @@ THRESHOLD = 0.5  # of an item's BM25 score with itself
 OVERLAP = 0.6  # share of a part's word n-grams in the document, for the question and for the answer
 GRAM = 5
 BLOCK = 8  # postings under one block maximum
-LIMIT = 32 << 20  # bytes of items in one broadcast index; more items are searched in several rounds
+LIMIT = 8 << 20  # bytes of items in one broadcast index; more items are searched in several rounds
 
 
 def split_item(text: str) -> tuple[str, str]:
@@ -53,77 +52,120 @@ class Statistics:
     df: np.ndarray
 
 
+class _Postings:
+    """postings[t]: the (item, impact) pairs of a term."""
+
+    def __init__(self, start: np.ndarray, item: np.ndarray, impact: np.ndarray):
+        self.start, self.item, self.impact = start, item, impact
+
+    def __len__(self) -> int:
+        return len(self.start) - 1
+
+    def __getitem__(self, t: int) -> list[tuple[int, float]]:
+        some = slice(self.start[t], self.start[t + 1])
+        return list(zip(self.item[some].tolist(), self.impact[some].tolist(), strict=True))
+
+
 class Index:
     """BM25 postings of the items, with impacts as shares of the item's score with itself, and block maxima.
 
-    Without statistics, the items given are all there are.
+    Postings are flat arrays by term and item. Without statistics, the items given are all there are.
     """
 
     def __init__(self, items: list[tuple[int, str]], known: Statistics | None = None):
         terms, first = words([t.encode() for _, t in items], MARKS)
-        bags = [Counter(terms[a:b].tolist()) for a, b in zip(first[:-1], first[1:], strict=True)]
-        self.ids = [i for i, _ in items]
-        n = len(bags)
+        self.ids, self.items = [i for i, _ in items], items
+        n, size = len(items), np.diff(first)
+        self.vocabulary, named = np.unique(terms, return_inverse=True)
+        key, often = np.unique(named * max(1, n) + np.repeat(np.arange(n), size), return_counts=True)
+        term, item = key // max(1, n), key % max(1, n)
         if known is None:
-            terms_of, df_of = np.unique(np.array([t for b in bags for t in b], U), return_counts=True)
-            known = Statistics(n, len(terms), max([0, *(sum(b.values()) for b in bags)]), terms_of, df_of)
+            known = Statistics(n, len(terms), int(size.max(initial=0)), self.vocabulary, np.bincount(term, minlength=len(self.vocabulary)))
         mean = max(1.0, known.words / max(1, known.n))
-        df = dict(zip(known.terms.tolist(), known.df.tolist(), strict=True))
-        self.vocabulary = np.array(sorted({t for b in bags for t in b}), U)
-        number = {t: j for j, t in enumerate(self.vocabulary.tolist())}
-        lists: list[list[tuple[int, float]]] = [[] for _ in number]
         self.longest = max(1, known.longest)
-        for i, bag in enumerate(bags):
-            size = sum(bag.values())
-            raw = {t: math.log(1 + (known.n - df[t] + 0.5) / (df[t] + 0.5)) * f * (K1 + 1) / (f + K1 * (1 - B + B * size / mean)) for t, f in bag.items()}
-            whole = sum(raw.values())
-            for t, x in raw.items():
-                lists[number[t]].append((i, x / whole))
-        self.postings = lists
-        self.blocks = [[(p[k : k + BLOCK][-1][0], max(x for _, x in p[k : k + BLOCK])) for k in range(0, len(p), BLOCK)] for p in lists]
-        self.most = np.array([max(x for _, x in p) for p in lists] + [0.0])
-        # terms of few items, as arrays, and what the others can give each item
-        rare = [p if len(p) <= max(2, n // 50) else [] for p in lists]
-        self.rare_size = np.array([len(p) for p in rare] + [0])
-        self.rare_at = np.cumsum(self.rare_size) - self.rare_size
-        self.rare_item = np.array([i for p in rare for i, _ in p], np.int64)
-        self.rare_impact = np.array([x for p in rare for _, x in p], np.float64)
-        self.frequent_share = 1 - np.bincount(self.rare_item, self.rare_impact, n) if n else np.zeros(0)
-        self.parts = [[self._part(x) for x in split_item(t)] for _, t in items]
-
-    @staticmethod
-    def _part(text: str) -> tuple[int, np.ndarray]:
-        w, _ = words([text.encode()], MARKS)
-        n = min(GRAM, len(w))
-        return n, np.unique(_grams(w, n))
+        df = known.df[np.searchsorted(known.terms, self.vocabulary)]
+        idf = np.log(1 + (known.n - df + 0.5) / (df + 0.5))
+        impact = idf[term] * often * (K1 + 1) / (often + K1 * (1 - B + B * size[item] / mean))
+        impact = impact / np.bincount(item, impact, n)[item]
+        self.postings = _Postings(np.searchsorted(term, np.arange(len(self.vocabulary) + 1)), item, impact)
+        # an item's terms, the rarest first, and what those from each on can give it
+        self.order = np.lexsort((term, df[term], item))
+        self.by_item = np.searchsorted(item[self.order], np.arange(n + 1))
+        total = np.cumsum(impact[self.order])
+        before = np.concatenate(([0.0], total))[self.by_item[:-1]]
+        self.left = 1 - (total - impact[self.order] - before[item[self.order]])
+        self.term = term
+        self._needed: dict[float, tuple] = {}
+        self._lists: dict[int, tuple] = {}
+        self._parts: dict[int, list] = {}
+
+    def _list(self, t: int) -> tuple[list, list, list, list, float]:
+        """A term's items and impacts, the last item and the largest impact of each block, and the largest of all."""
+        if t not in self._lists:
+            p = self.postings
+            item, impact = p.item[p.start[t] : p.start[t + 1]], p.impact[p.start[t] : p.start[t + 1]]
+            cut = np.arange(0, len(item), BLOCK)
+            last = item[np.minimum(cut + BLOCK, len(item)) - 1]
+            most = np.maximum.reduceat(impact, cut)
+            self._lists[t] = item.tolist(), impact.tolist(), last.tolist(), most.tolist(), float(most.max())
+        return self._lists[t]
+
+    def part(self, item: int) -> list[tuple[int, np.ndarray]]:
+        """Word n-grams of an item's question and answer."""
+        if item not in self._parts:
+            out = []
+            for x in split_item(self.items[item][1]):
+                w, _ = words([x.encode()], MARKS)
+                n = min(GRAM, len(w))
+                out.append((n, np.unique(_grams(w, n))))
+            self._parts[item] = out
+        return self._parts[item]
+
+    def needed(self, threshold: float) -> tuple[np.ndarray, ...]:
+        """Of each item, its rarest terms without which the others can't give it the threshold: by term,
+        (start, item, impact), and by item what the others can give."""
+        if threshold not in self._needed:
+            key = self.left >= threshold - 1e-9
+            owner = self.postings.item[self.order]
+            rest = 1 - np.bincount(owner[key], self.postings.impact[self.order][key], len(self.ids))
+            some = np.sort(self.order[key])
+            start = np.searchsorted(self.term[some], np.arange(len(self.vocabulary) + 2))
+            self._needed[threshold] = start, self.postings.item[some], self.postings.impact[some], rest
+        return self._needed[threshold]
 
     def _promising(self, term, start, row, threshold: float) -> np.ndarray:
-        """Half passages k such that with the next one an item may reach the threshold."""
-        n, out = len(self.ids), []
-        rare = np.flatnonzero(self.rare_size[term])
-        half = np.searchsorted(start, rare, "right") - 1
-        size = max(2, (4 << 20) // n)
-        for low in range(0, len(start), size - 1):
-            high = min(low + size, len(start))
-            some = slice(*np.searchsorted(half, (low, high)))
-            t = term[rare[some]]
-            many = self.rare_size[t]
-            at = np.arange(many.sum()) + np.repeat(self.rare_at[t] - (np.cumsum(many) - many), many)
-            key = np.repeat(half[some] - low, many) * n + self.rare_item[at]
-            score = np.bincount(key, self.rare_impact[at], (high - low) * n).reshape(-1, n)
-            pair = score.copy()
-            pair[:-1] += np.where((row[low + 1 : high] == row[low : high - 1])[:, None], score[1:], 0)
-            hit = np.flatnonzero((pair + self.frequent_share >= threshold - 1e-9).any(axis=1)) + low
-            # the last one here comes again with its neighbour, unless it is the last of all
-            out.append(hit if high == len(start) else hit[hit < high - 1])
-            if high == len(start):
-                break
-        return np.concatenate(out)
+        """Half passages k such that with the next one an item may reach the threshold.
+
+        Work and memory go with the needed terms that occur, not with passages times items.
+        """
+        at, owner, impact, rest = self.needed(threshold)
+        many = at[term + 1] - at[term]
+        hit = np.flatnonzero(many)
+        many = many[hit]
+        if not len(hit):
+            return hit
+        half = np.searchsorted(start, hit, "right") - 1
+        post = np.arange(many.sum()) + np.repeat(at[term[hit]] - (np.cumsum(many) - many), many)
+        n = len(self.ids)
+        key, where = np.unique(np.repeat(half, many) * n + owner[post], return_inverse=True)
+        score = np.bincount(where, impact[post])
+        half, item = key // n, key % n
+        out = []
+        for step in (1, -1):  # this half with the next one; the one before with this
+            beside = half + step
+            inside = (beside >= 0) & (beside < len(start))
+            inside[inside] = row[beside[inside]] == row[half[inside]]
+            other = np.minimum(np.searchsorted(key, key + step * n), len(key) - 1)
+            both = score + np.where(inside & (key[other] == key + step * n), score[other], 0.0)
+            good = both + rest[item] >= threshold - 1e-9
+            out.append(half[good] if step == 1 else beside[good & inside])
+        return np.unique(np.concatenate(out))
 
     def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
         """All items whose share reaches the threshold, by block-max WAND over the distinct terms given."""
         out = []
-        heads = [[self.postings[t][0][0], t, 0] for t in terms]
+        lists = {t: self._list(t) for t in terms}
+        heads = [[lists[t][0][0], t, 0] for t in terms]
         end = len(self.ids)
         while True:
             heads.sort()
@@ -131,7 +173,7 @@ class Index:
             for k, (item, t, _) in enumerate(heads):
                 if item >= end:
                     break
-                bound += self.most[t]
+                bound += lists[t][4]
                 if bound >= threshold:
                     pivot = k
                     break
@@ -143,45 +185,45 @@ class Index:
             # block maxima at the pivot's item bound its score more tightly
             bound, skip = 0.0, end
             for _, t, at in heads[: pivot + 1]:
-                k = at // BLOCK
-                blocks = self.blocks[t]
-                while k < len(blocks) and blocks[k][0] < item:
-                    k += 1
-                if k < len(blocks):
-                    bound += blocks[k][1]
-                    skip = min(skip, blocks[k][0] + 1)
+                last = lists[t][2]
+                k = bisect_left(last, item, at // BLOCK)
+                if k < len(last):
+                    bound += lists[t][3][k]
+                    skip = min(skip, last[k] + 1)
             if bound < threshold:
                 if pivot + 1 < len(heads):
                     skip = min(skip, heads[pivot + 1][0])
-                self._advance(heads[: pivot + 1], max(skip, item + 1), end)
+                self._advance(lists, heads[: pivot + 1], max(skip, item + 1), end)
             elif heads[0][0] == item:
-                score = sum(self.postings[t][at][1] for i, t, at in heads[: pivot + 1] if i == item)
+                score = sum(lists[t][1][at] for i, t, at in heads[: pivot + 1] if i == item)
                 if score >= threshold:
                     out.append((item, score))
-                self._advance(heads[: pivot + 1], item + 1, end)
+                self._advance(lists, heads[: pivot + 1], item + 1, end)
             else:
-                self._advance([h for h in heads[:pivot] if h[0] < item], item, end)
+                self._advance(lists, [h for h in heads[:pivot] if h[0] < item], item, end)
 
-    def _advance(self, heads, to: int, end: int) -> None:
+    @staticmethod
+    def _advance(lists, heads, to: int, end: int) -> None:
+        """Moves on to the first posting at or after an item: over whole blocks first, then within one."""
         for h in heads:
-            p, at = self.postings[h[1]], h[2]
-            while at < len(p) and p[at][0] < to:
-                at += 1
-            h[0], h[2] = p[at][0] if at < len(p) else end, at
+            items, _, last, *_ = lists[h[1]]
+            k = bisect_left(last, to, h[2] // BLOCK)
+            at = bisect_left(items, to, max(h[2], k * BLOCK), min(len(items), (k + 1) * BLOCK))
+            h[0], h[2] = items[at] if at < len(items) else end, at
 
     def overlap(self, item: int, w: np.ndarray) -> tuple[float, float]:
-        """Shares of the question's and the answer's n-grams among the document's; 1 for a part without words."""
+        """Shares of the question's and the answer's n-grams among those of w; 1 for a part without words."""
         out = []
-        for n, grams in self.parts[item]:
+        for n, grams in self.part(item):
             out.append(float(np.isin(grams, _grams(w, n)).mean()) if len(grams) else 1.0)
         return out[0], out[1]
 
     def leaks(self, texts: list[bytes], threshold: float, overlap: float) -> list[dict[int, tuple[float, float, float]]]:
-        """Of each text, the items confirmed in it: score of the best passage, overlap of question and answer.
+        """Of each text, the items confirmed in it: score of the best passage, overlap of question and answer there.
 
         Passages are windows of twice the longest item's words, half overlapping, so that each item fits
-        into one. Frequent terms can give an item no more than their share of it. Passages in which no
-        item reaches the threshold with that and its rare terms are left out; WAND searches the others.
+        into one. An item can only be found where one of its needed terms is; WAND searches these
+        passages among all items, and question and answer must overlap with the passage found.
         """
         w, first = words(texts, MARKS)
         out: list[dict] = [{} for _ in texts]
@@ -200,13 +242,9 @@ class Index:
             terms = np.unique(term[start[k] : stop])
             terms = terms[terms < len(self.vocabulary)]
             for item, score in self.search(terms.tolist(), threshold - 1e-9):
-                key = self.ids[item]
-                if key in out[i]:
-                    out[i][key] = (max(score, out[i][key][0]), *out[i][key][1:])
-                else:
-                    q, a = self.overlap(item, w[first[i] : first[i + 1]])
-                    if q >= overlap and a >= overlap:
-                        out[i][key] = (score, q, a)
+                q, a = self.overlap(item, w[start[k] : stop])
+                if q >= overlap and a >= overlap:
+                    out[i][self.ids[item]] = max((score, q, a), out[i].get(self.ids[item], (0.0, 0.0, 0.0)))
         return out
 
 
@@ -214,13 +252,19 @@ _READY: dict[str, Index] = {}
 
 
 def _counted(batches):
-    """Of each item, its distinct terms; in a first row without a term, all its words."""
+    """Of each item, its distinct terms; in a row without a term, all its words."""
     for batch in chunks(batches, "text", 1 << 20):
         w, first = words(texts_of(batch), MARKS)
-        for part, a, b in zip(batch.column("part").to_pylist(), first[:-1], first[1:], strict=True):
-            t = np.unique(w[a:b]).view(np.int64)
-            rows = [pa.array([part] * (len(t) + 1), pa.int32()), pa.array([None, *t.tolist()], pa.int64()), pa.array([int(b - a)] + [0] * len(t), pa.int64())]
-            yield pa.RecordBatch.from_arrays(rows, names=["part", "term", "size"])
+        size = np.diff(first)
+        row = np.repeat(np.arange(len(size)), size)
+        order = np.lexsort((w, row))
+        w, row = w[order], row[order]
+        new = np.ones(len(w), bool)
+        new[1:] = (w[1:] != w[:-1]) | (row[1:] != row[:-1])
+        part = batch.column("part")
+        yield pa.RecordBatch.from_arrays([part, pa.nulls(len(size), pa.int64()), pa.array(size, pa.int64())], names=["part", "term", "size"])
+        terms = w[new].view(np.int64)
+        yield pa.RecordBatch.from_arrays([part.take(pa.array(row[new])), pa.array(terms), pa.array(np.zeros(len(terms), np.int64))], names=["part", "term", "size"])
 
 
 def _rounds(spark: SparkSession, items: DataFrame):
@@ -257,8 +301,8 @@ def _index(key: str, sent) -> Index:
 def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap), a row for each item confirmed in a document.
 
-    docs needs doc_id and text, items item_id and text; other columns are ignored. Null texts and items
-    without words leak nothing; a doc_id may be null; repeated rows give repeated results. The items'
+    docs needs doc_id and text, items item_id and text; other columns are ignored. Items without id or
+    text take no part, repeated ones count once. Null texts and items without words leak nothing; a doc_id may be null; repeated rows give repeated results. The items'
     size is measured before an index is broadcast; beyond LIMIT, parts of them are searched in turn,
     with the statistics of all.
     """

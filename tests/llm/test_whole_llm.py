@@ -1,10 +1,14 @@
 """Training-data operators that once did a part of their job: what the part left out."""
 
+import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
+import pytest
 
-from fenlark.llm import decontaminate, quality
+from fenlark.llm import decontaminate, minhash, quality
 
 
 def test_rounds_share_statistics(spark, monkeypatch):
@@ -32,3 +36,94 @@ def test_classes_weigh_alike_and_all_columns_count():
     # the same evidence in both classes says nothing, however rare one is
     w = quality.fit([np.zeros(1, np.int32)] * 2000, labels)
     assert abs(w[-1] + quality.value_of(np.zeros(1))[0] * w[0]) < 0.1
+
+
+def _brute_leaks(docs, items, threshold, overlap):
+    """Every window against every item, from the formulas alone."""
+    word = lambda t: re.findall(r"[a-z0-9]+", t.lower())
+    bags = {i: Counter(word(t)) for i, t in items}
+    size = {i: sum(b.values()) for i, b in bags.items()}
+    n, mean, step = len(items), sum(size.values()) / len(items), max(size.values())
+    df = Counter(w for b in bags.values() for w in b)
+
+    def impact(w, i):
+        f = bags[i][w]
+        return math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * size[i] / mean))
+
+    def share(part, w):
+        part = word(part)
+        k = min(5, len(part))
+        grams = lambda x: {tuple(x[j : j + k]) for j in range(len(x) - k + 1)}
+        return len(grams(part) & grams(w)) / len(grams(part)) if part else 1.0
+
+    out = {}
+    for d, t in docs:
+        w = word(t)
+        for low in range(0, len(w), step):
+            window = w[low : low + 2 * step]
+            for i, text in items:
+                score = sum(impact(x, i) for x in bags[i] if x in set(window)) / sum(impact(x, i) for x in bags[i])
+                q, a = (share(p, window) for p in decontaminate.split_item(text))
+                if score >= threshold and q >= overlap and a >= overlap:
+                    out[d, i] = max(out.get((d, i), (0, 0, 0)), (score, q, a))
+    return out
+
+
+@pytest.mark.parametrize("limit", [8 << 20, 900])
+def test_leaks_equal_brute_force(spark, monkeypatch, limit):
+    r = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(40)]
+    items = [(i, " ".join(r.choices(vocabulary, k=r.randint(5, 30))) + ". " + " ".join(r.choices(vocabulary, k=r.randint(1, 6)))) for i in range(30)]
+    docs = []
+    for k in range(60):
+        w = r.choices(vocabulary, k=r.randint(0, 150))
+        for _ in range(3):
+            part = [x if r.random() > 0.06 else "zz" for x in r.choice(items)[1].split()]
+            at = r.randint(0, len(w))
+            w[at:at] = part
+        docs.append((k, " ".join(w)))
+    monkeypatch.setattr(decontaminate, "LIMIT", limit)
+    found = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), 0.5, 0.4).collect()
+    expected = _brute_leaks(docs, items, 0.5, 0.4)
+    got = {(x["doc_id"], x["item_id"]): tuple(x)[2:] for x in found}
+    assert len(expected) > 30 and set(got) == set(expected)
+    assert all(max(abs(a - b) for a, b in zip(got[k], expected[k], strict=True)) < 1e-9 for k in got)
+
+
+def test_built_words_do_not_collide(spark):
+    one, two = b"a", b"b"
+    for _ in range(12):
+        one, two = one + two, two + one
+    for n in (512, 1024, 2048, 4096):
+        x, y = one[:n].decode(), one[:n].decode().translate(str.maketrans("ab", "ba"))
+        rows = [(1, x), (2, y), (3, f"some words stand before {x} and some after it"), (4, f"some words stand before {y} and some after it")]
+        found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert {r["doc_id"]: r["component_id"] for r in found} == {1: 1, 2: 2, 3: 3, 4: 4}
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_large_groups_of_near_copies_equal_brute_force(spark, percent, monkeypatch):
+    monkeypatch.setattr(minhash, "SHARERS", 7)
+    r = random.Random(percent)
+    word = lambda: f"w{r.randrange(10**6)}"
+    common, own = [word() for _ in range(60)], [[word() for _ in range(4)] for _ in range(132)]
+    texts = [common + own[i] + own[i + 1] + own[i + 2 - i % 2] for i in range(130)]  # parts shared with neighbours
+    base = [word() for _ in range(50)]
+    for _ in range(120):
+        t = list(base)
+        for _ in range(r.randint(0, 3)):
+            t[r.randrange(50)] = word()
+        texts.append(t)
+    sets = [{tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in texts]
+    of = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]) and of[a] != of[b]:
+                low, high = sorted((of[a], of[b]))
+                of = [low if x == high else x for x in of]
+    compared = []
+    original = minhash._prefix_pairs
+    monkeypatch.setattr(minhash, "_prefix_pairs", lambda *x: compared.append((p := original(*x)).count()) or p)
+    found = minhash.near_duplicates(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string"), percent).collect()
+    assert {x["doc_id"]: x["component_id"] for x in found} == dict(enumerate(of))
+    assert compared[0] < 0.05 * 250 * 249 / 2
