@@ -19,15 +19,27 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
-    "handle": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[(\[] ?at ?[)\]] ?[A-Za-z0-9-]++(?:(?: ?[(\[] ?dot ?[)\]] ?|\.)[A-Za-z0-9-]++)++",
+    "handle": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?: ?[(\[] ?at ?[)\]] ?[A-Za-z0-9-]++(?:(?: ?[(\[] ?dot ?[)\]] ?|\.)[A-Za-z0-9-]++)++| at [A-Za-z0-9-]++(?: dot [A-Za-z0-9-]++)++)",
     "national": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "contact": r"(?<![0-9+().-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
-    "person": r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Sr|Sra|Mme)\.? [A-Z][a-z]++(?: [A-Z][a-z]++)?",
 }
-GIVEN = "james mary john anna peter maria paul laura david sarah michael emma thomas julia daniel sofia carlos lucia jean marie pierre claire hans greta klaus ingrid jose carmen luis elena antoine camille".split()
+# Given names and family names that are frequent in several countries.
+GIVEN = (
+    "james mary john patricia robert jennifer michael linda william elizabeth david barbara richard susan joseph jessica thomas sarah charles karen "
+    "anna peter maria paul laura emma julia daniel sofia carlos lucia jean marie pierre claire hans greta klaus ingrid jose carmen luis elena antoine camille "
+    "nicolas sophie francois isabelle juan miguel pablo isabel wolfgang jürgen ursula monika helga stefan andreas sabine martin lukas lena felix "
+    "giovanni francesca marco giulia ahmed fatima mohammed aisha wei mei yuki hiroshi kenji priya rahul anita ivan olga dmitri natasha george helen alice oliver"
+).split()
+FAMILY = (
+    "smith johnson williams brown jones miller davis wilson anderson taylor moore martin lee thompson white clark lewis walker hall young king wright "
+    "müller schmidt schneider fischer weber meyer wagner becker hoffmann garcía garcia fernández fernandez gonzález gonzalez rodríguez rodriguez lópez lopez martínez martinez sánchez sanchez pérez perez "
+    "dubois bernard durand moreau laurent lefebvre rossi russo ferrari bianchi ivanov petrov kim chen wang li zhang nguyen tanaka suzuki patel singh khan"
+).split()
+TITLES = "(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Sr|Sra|Mme|Señor|Señora)"
 DOMAINS = "com org net edu gov io de fr es uk eu info".split()
 CUES = r"(?i)\b(?:phone|tel|telephone|call|mobile|cell|fax|mail|e-mail|email|contact|write to|ssn|social security|card|visa|mastercard|iban|ip|address|name|signed|patient|telefon|correo|courriel|teléfono)\b[^A-Za-z0-9]{0,6}\S{0,12}[^A-Za-z0-9]{0,3}$"
 COUNTER = r"(?i)(?:\b(?:version|isbn|issn|order|invoice|part|figure|page|chapter|serial|model|build|ticket)\b[^A-Za-z0-9]{0,6}|[#$€=/_])$"
+PATTERNS["person"] = rf"(?<![\p{{L}}])(?:{TITLES}\.? \p{{Lu}}\p{{Ll}}++|(?:{'|'.join(n.capitalize() for n in GIVEN)})(?= \p{{Lu}}))(?: \p{{Lu}}\p{{Ll}}++)*+"
 VOTERS = ("form", "list", "cue", "counter", "edge")
 BELIEVED = 0.95  # posterior from which the classifier adds a span
 
@@ -56,7 +68,7 @@ def candidates(text: Column) -> Column:
     """array<struct<rank, start, end, match, left, right>>: what any pattern matches, with 32 code points before and one after."""
     text = F.coalesce(text, F.lit(""))
     has = lambda x: F.contains(text, F.lit(x))
-    at = has("(at") | has("( at") | has("[at") | has("[ at")
+    at = has("(at") | has("( at") | has("[at") | has("[ at") | has(" dot ")
     tests = {"email": has("@"), "ip": text.rlike(r"[0-9]\.[0-9]"), "card": text.rlike(r"[0-9](?:[ -]?[0-9]){12}"), "phone": text.rlike(r"\+[0-9]"), "handle": at, "national": text.rlike("[0-9]-[0-9]{2}-[0-9]"), "contact": text.rlike("[0-9]{3}[ .-][0-9]{4}")}
     out = []
     for rank, kind in enumerate(KINDS, 1):
@@ -77,12 +89,13 @@ def votes(s: Column) -> list[Column]:
     rank, match, left, right = s["rank"], s["match"], s["left"], s["right"]
     d = _digits(match)
     lower = F.lower(match)
-    form = F.when(rank == 6, ~match.rlike("^(?:000|666|9)|-00-|-0000$")).when(rank == 7, match.rlike(r"^\(?[2-9][0-9]{2}\)?.[2-9]")).when(rank == 8, match.rlike(" [A-Z][a-z]+ [A-Z][a-z]+$")).when(rank == 5, match.rlike("[A-Za-z]{2,}$")).otherwise(valid(rank, match))
+    form = F.when(rank == 6, ~match.rlike("^(?:000|666|9)|-00-|-0000$")).when(rank == 7, match.rlike(r"^\(?[2-9][0-9]{2}\)?.[2-9]")).when(rank == 8, match.rlike(r"^(?:" + TITLES + r"\.? )?\p{Lu}\p{Ll}+ \p{Lu}\p{Ll}+$")).when(rank == 5, match.rlike("[A-Za-z]{2,}$")).otherwise(valid(rank, match))
     known = F.when(rank.isin(1, 5), F.when(F.regexp_extract(lower, "([a-z]+)$", 1).isin(*DOMAINS), 1).otherwise(2))
     known = known.when(rank == 2, F.when(match.rlike(r"^(?:0|10|127|192\.168|255)\."), 0).otherwise(2))
     known = known.when(rank == 3, F.when(d.rlike("^(?:4|5[1-5]|2[2-7]|3[47]|6011|62)"), 1).otherwise(0))
     known = known.when(rank == 4, F.when(match.rlike(r"^\+[1-9]"), 1).otherwise(0))
-    known = known.when(rank == 8, F.when(F.regexp_extract(lower, r" ([a-z]+)", 1).isin(*GIVEN), 1).otherwise(2)).otherwise(2)
+    named = F.exists(F.split(lower, " "), lambda w: w.isin(*FAMILY)) | match.rlike("^" + TITLES)
+    known = known.when(rank == 8, F.when(named, 1).otherwise(2)).when(rank == 6, F.when(match.rlike("^(?:000|666|9)"), 0).otherwise(2)).otherwise(2)
     edge = F.when(left.rlike("[A-Za-z0-9_]$") | right.rlike("[A-Za-z0-9_]"), 0).otherwise(2)
     return [F.when(form, 1).otherwise(0), known, F.when(left.rlike(CUES), 1).otherwise(2), F.when(left.rlike(COUNTER), 0).otherwise(2), edge]
 
@@ -131,7 +144,7 @@ def train(docs: DataFrame) -> dict[str, float]:
     Votes and features of all candidates in docs are counted in Spark. Only the counts reach the driver:
     a row for each combination that occurs, of which there are 8 kinds x 3 ** 5 votes x 80 at most.
     """
-    c = docs.select(F.explode(candidates(F.col("text"))).alias("s"))
+    c = docs.select(F.explode(apart(candidates(F.col("text")), True)).alias("s"))
     s = F.col("s")
     cols = [s["rank"].alias("rank"), F.array(*votes(s)).alias("votes"), F.array(*features(s)).alias("features")]
     rows = c.select(*cols).groupBy("rank", "votes", "features").count().collect()
@@ -171,19 +184,26 @@ def belief(s: Column, weights: dict[str, float]) -> Column:
 def find_personal(docs: DataFrame, weights: dict[str, float], believed: float = BELIEVED) -> DataFrame:
     """docs with pii_spans, array<struct<rank, start, end>>: rank in KINDS, code points, end exclusive.
 
-    Base kinds are patterns whose matches are checked; failing ones are dropped, not retried. The
-    classifier adds candidates of the other kinds that it believes, with a cue or a listed name or
-    domain in favour. A null or empty text has no spans. An existing column of that name is replaced.
+    Base kinds are patterns whose matches are checked; failing ones are dropped, not retried. Of the
+    candidates of the other kinds that touch no base span, the classifier adds those that it believes;
+    no rule stands before it. A null or empty text has no spans, an empty table no rows; repeated rows
+    get equal spans. An existing column of that name is replaced.
     """
-    c = docs.withColumn("pii_spans", candidates(F.col("text")))
-    base = F.filter("pii_spans", lambda s: (s["rank"] <= len(BASE)) & valid(s["rank"], s["match"]))
+    c = docs.withColumn("pii_spans", apart(candidates(F.col("text"))))
+    both = F.filter("pii_spans", lambda s: (s["rank"] <= len(BASE)) | (belief(s, weights) >= believed))
+    return c.withColumn("pii_spans", F.transform(both, lambda s: F.struct(s["rank"].alias("rank"), s["start"].alias("start"), s["end"].alias("end"))))
 
-    def believable(s: Column) -> Column:
-        v = votes(s)
-        return (s["rank"] > len(BASE)) & ((v[1] == 1) | (v[2] == 1)) & (v[0] == 1) & (belief(s, weights) >= believed)
 
-    both = F.concat(base, F.filter("pii_spans", believable))
-    return c.withColumn("pii_spans", F.transform(both, lambda s: F.struct(s["rank"].alias("rank"), s["start"].alias("start"), s["end"].alias("end"))))
+def apart(found: Column, failing: bool = False) -> Column:
+    """Base candidates (valid ones, unless failing ones are asked for too) and others that touch none of these."""
+
+    def joined(x: Column) -> Column:
+        base = F.filter(x, lambda s: (s["rank"] <= len(BASE)) & (F.lit(failing) | valid(s["rank"], s["match"])))
+        both = F.struct(base.alias("base"), F.filter(x, lambda s: s["rank"] > len(BASE)).alias("more"))
+        free = lambda y: F.filter(y["more"], lambda s: ~F.exists(y["base"], lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+        return F.element_at(F.transform(F.array(both), lambda y: F.concat(y["base"], free(y))), 1)
+
+    return F.element_at(F.transform(F.array(found), joined), 1)
 
 
 def redacted(text: Column, found: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import MARKS, U, chunks, mix, table, texts_of, words
+from .common import MARKS, U, chunks, mix, smallest, table, texts_of, words
 
 SAMPLE = 4000  # documents, those of smallest hash, on which the scorers are fitted
 SIZE = 1 << 17  # hashed features of each family
@@ -181,14 +181,6 @@ class Model:
     labellers: dict[str, np.ndarray]
 
 
-def smallest(rows: DataFrame, key: str, n: int) -> DataFrame:
-    """The n rows of smallest hash of key (a row a key). A first cut by the hash alone leaves few for the sort."""
-    total, h = rows.count(), F.xxhash64(key)
-    if total > 2 * n:
-        rows = rows.where(h < int(-(1 << 63) + (1 << 64) * min(0.75, 1.5 * (n + 50) / total)))
-    return rows.orderBy(h, key).limit(n)
-
-
 def train(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE) -> Model:
     """Votes are counted over all documents; a row for each pattern of votes (at most 3 ** 8) reaches the
     driver. The posteriors label a bounded sample, whose sparse hashed features fit the scorers there.
@@ -217,12 +209,12 @@ def train(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE
 
     if labels is not None:
         known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("truth"))
-        known = F.broadcast(smallest(known, "doc_id", sample))  # bounded, whatever the table's size
+        known = F.broadcast(smallest(known, sample, "doc_id"))  # bounded, whatever the table's size
         told = docs.join(known, "doc_id", "left")
         some = docs.join(known, "doc_id")
     if labels is None or known.isEmpty():
         told = docs.withColumn("truth", F.lit(None).cast("int"))
-        ids = smallest(docs.where("doc_id is not null").select("doc_id").distinct(), "doc_id", sample)
+        ids = smallest(docs.where("doc_id is not null").select("doc_id").distinct(), sample, "doc_id")
         some = told.join(F.broadcast(ids), "doc_id")
     counts: dict[str, dict] = {name: {} for name in HEADS}
     for r in told.select("text", "truth").mapInArrow(patterns, "head string, votes string, n long").groupBy("head", "votes").agg(F.sum("n").alias("n")).collect():

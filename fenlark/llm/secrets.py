@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import smallest, table
 from .spans import listed, of_rank, ranked, spans
 
 KINDS = ["assign", "access", "hex", "random"]
@@ -18,14 +18,24 @@ WORD = "(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
 SIGNS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 LEAST = 0.45  # mean log-likelihood ratio a transition from which a string counts as random
 TRAINING_DOCUMENTS = 400  # the labelled sample's bound, wherever the input ends
-PARTS = "get set user name file path list item index count value data time date type code read write open close load save page view size text line word node tree hash cache queue event state error result request response config option default handler manager service client server table column".split()
+# Words of which identifiers are made.
+PARTS = (
+    "get set user name file path list item index count value data time date type code read write open close load save page view size text line word node tree hash cache queue event state error "
+    "result request response config option default handler manager service client server table column access account action active address after agent array async attribute before begin binary block body bool "
+    "buffer build byte call cancel category char check child class clear clone color command comment common compare complete connect content context control convert copy create current custom debug decode delete "
+    "depth description detail device dict dir display document domain double down driver edit element empty enable encode encoding entry environment exception execute exists export extension factory field filter find flag float folder format frame from "
+    "function global graph group header height help host import info init input insert install integer internal iterator join key kind label language last layer left length level library limit link local lock logger lower map mask match max menu merge message "
+    "method min mode model module mutex native network next null number object offset operator order output owner package panel parent parse patch pattern permission phase pool position prefix print process project property protocol provider public query random range raw "
+    "record region register release remove rename render replace reset resource right root row rule schema scope screen search select sequence session shape source split stack start status step stop storage stream string style suffix symbol system target task template test thread "
+    "token tool total trace transform trigger uniform union unique unknown update upper url valid variable vector version visible warning width window worker wrapper zone special character characters"
+).split()
 
 
 def labelled_sample(docs: DataFrame, texts: int = TRAINING_DOCUMENTS) -> DataFrame:
     """(text, random): random strings in the usual alphabets, and ordinary identifiers and words.
 
     Identifiers are made of common parts in the usual styles; words come from a bounded sample of docs
-    (those of smallest hash), letters only. Every string is labelled by how it came about.
+    (those of smallest hash), letters only, each once. Every string is labelled by how it came about.
     """
     spark = docs.sparkSession
     n = spark.range(0, 6000, 1, 4)
@@ -37,9 +47,18 @@ def labelled_sample(docs: DataFrame, texts: int = TRAINING_DOCUMENTS) -> DataFra
     def part(k: int) -> Column:
         return F.element_at(parts, (F.pmod(F.xxhash64("id", F.lit(k)), F.lit(len(PARTS))) + 1).cast("int"))
 
-    names = n.select(F.when(F.col("id") % 3 == 0, F.concat_ws("_", part(1), part(2), part(3))).when(F.col("id") % 3 == 1, F.concat(part(1), F.initcap(part(2)), F.initcap(part(3)), F.initcap(part(4)))).otherwise(F.concat(F.concat_ws("-", part(1), part(2), part(3)), F.pmod(F.xxhash64("id"), F.lit(100)).cast("string"))).alias("text"), F.lit(False).alias("random"))
-    some = docs.where("text is not null").select("text").orderBy(F.xxhash64("text"), "text").limit(texts)
-    words = some.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{3,}"), F.lit(0))).alias("text"), F.lit(False).alias("random"))
+    pick = F.pmod(F.xxhash64("id"), F.lit(100)).cast("string")
+    styles = [
+        F.concat_ws("_", part(1), part(2), part(3)),
+        F.concat(part(1), F.initcap(part(2)), F.initcap(part(3)), F.initcap(part(4))),
+        F.concat(F.concat_ws("-", part(1), part(2), part(3)), pick),
+        F.upper(F.concat_ws("_", part(1), part(2), part(3))),
+        F.concat(F.initcap(part(1)), F.initcap(part(2)), F.initcap(part(3)), pick),
+        F.concat_ws("/", part(1), part(2), F.concat(part(3), F.lit("."), part(4))),
+    ]
+    names = n.select(F.element_at(F.array(*styles), (F.col("id") % len(styles) + 1).cast("int")).alias("text"), F.lit(False).alias("random"))
+    some = smallest(docs.where("text is not null").select("text"), texts, "text")
+    words = some.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{3,}"), F.lit(0))).alias("text")).groupBy("text").count().select("text", F.lit(False).alias("random"))
     return strings.unionByName(names).unionByName(words)
 
 

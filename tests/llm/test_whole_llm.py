@@ -7,8 +7,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from fenlark.llm import decontaminate, minhash, quality
+from fenlark.llm import decontaminate, licenses, minhash, pii, quality, secrets
 
 
 def test_rounds_share_statistics(spark, monkeypatch):
@@ -127,3 +128,113 @@ def test_large_groups_of_near_copies_equal_brute_force(spark, percent, monkeypat
     found = minhash.near_duplicates(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string"), percent).collect()
     assert {x["doc_id"]: x["component_id"] for x in found} == dict(enumerate(of))
     assert compared[0] < 0.05 * 250 * 249 / 2
+
+
+BASE_PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def _luhn(d):
+    return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def _personal(text):
+    out = []
+    for rank, (kind, pattern) in enumerate(BASE_PATTERNS.items(), 1):
+        for m in re.finditer(pattern, text):
+            d = re.sub("[^0-9]", "", m.group())
+            good = {"email": True, "ip": all(int(x) <= 255 for x in m.group().split(".")[:4]) if kind == "ip" else True, "card": 13 <= len(d) <= 19 and _luhn(d), "phone": 9 <= len(d) <= 15}[kind]
+            if good:
+                out.append((rank, m.start(), m.end()))
+    return out
+
+
+def _hostile():
+    r = random.Random(8)
+    bits = ["@", "a.b", "c-d.org", "x@y.z", "@@", "1.2.3.4", "256.1.1.1", "1.2.3.4.5", "4111 1111 1111 1111", "4111-1111", "+", "+1 (555) 010-9999", "0", "12", " ", "-", "é", "漢", "😀", ".", "token=", "secret: ", "AKIA", "ABCDEF0123456789", "abcdef0123456789" * 2, "password", '"', "'", "passWD:", "api-key =", "apikey", "K", "cc", "by", "CC-BY", "General Public License", "all rights reserved", "ſ", "İ"]
+    texts = ["".join(r.choice(bits) + r.choice(["", " "]) for _ in range(r.randint(0, 40))) for _ in range(150)]
+    return [None, "", "9" * 20_000, "a" * 20_000 + "@b.c", "1." * 10_000, "+1" * 5_000, *texts]
+
+
+def test_base_spans_equal_python(spark):
+    docs = list(enumerate(_hostile()))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = pii.find_personal(frame, {}, 2.0).select("doc_id", "pii_spans").collect()
+    assert {r["doc_id"]: sorted(tuple(s) for s in r["pii_spans"]) for r in found} == {i: sorted(_personal(t or "")) for i, t in docs}
+    assign = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
+    expected = {}
+    for i, t in docs:
+        t = t or ""
+        rows = [(1, m.start(), m.end()) for m in assign.finditer(t) if len(m.group(2)) >= 8 and m.group(1).isascii()]
+        rows += [(2, m.start(), m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if m.end() - m.start() >= 16]
+        rows += [(3, m.start(), m.end()) for m in re.finditer("[0-9a-f]+", t) if m.end() - m.start() >= 32]
+        expected[i] = sorted(rows)
+    found = secrets.find_secrets(frame, [0.0] * 63 * 63, 9.0).select("doc_id", "secret_spans").collect()
+    assert {r["doc_id"]: sorted(tuple(s) for s in r["secret_spans"]) for r in found} == expected
+
+
+def test_base_labels_equal_python(spark):
+    docs = list(enumerate(_hostile()))
+    found = {r["doc_id"]: r for r in licenses.scan_licenses(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for i, t in docs:
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+        at = sorted((k, label) for p, label in licenses.PHRASES for k in range(len(w)) if tuple(w[k : k + len(p)]) == p)
+        assert (found[i]["n_words"], found[i]["n_base"], found[i]["base_labels"]) == (len(w), len(at), ",".join(sorted({x for _, x in at})))
+        assert (found[i]["first_word"], found[i]["last_word"]) == ((at[0][0], at[-1][0]) if at else (None, None))
+
+
+def test_classifier_adds_what_patterns_miss(spark):
+    r = random.Random(6)
+    filler = lambda: " ".join(r.choice("the of and river stone light paper over near under".split()) for _ in range(r.randint(4, 12)))
+    digits = lambda n: "".join(str(r.randint(0, 9)) for _ in range(n))
+    good = {
+        "person": lambda: (r.choice(["signed ", "contact ", "by ", ""]), f"{r.choice(pii.GIVEN).capitalize()} {r.choice(pii.FAMILY).capitalize()}"),
+        "handle": lambda: (r.choice(["mail ", "write to ", ""]), r.choice([f"{r.choice(pii.GIVEN)} (at) mail{digits(2)} (dot) org", f"{r.choice(pii.GIVEN)} at mail{digits(2)} dot com"])),
+        "national": lambda: (r.choice(["ssn ", "social security ", ""]), f"{r.randint(100, 650)}-{r.randint(10, 99)}-{r.randint(1000, 9999)}"),
+        "contact": lambda: (r.choice(["phone ", "call ", ""]), f"({r.randint(200, 989)}) {r.randint(200, 999)}-{digits(4)}"),
+    }
+    bad = {"national": lambda: ("part ", f"000-{digits(2)}-0000"), "contact": lambda: (r.choice(["serial ", "invoice #", "model "]), f"{r.choice('01')}{digits(2)} {r.choice('01')}{digits(2)} {digits(4)}")}
+    docs, truth = [], {}
+    for i in range(600):
+        text, spans = "", []
+        for _ in range(r.randint(0, 3)):
+            from_ = good if r.random() < 0.6 else bad
+            kind = r.choice(sorted(from_))
+            before, match = from_[kind]()
+            text += filler() + ". " + before
+            if from_ is good:
+                spans.append((pii.KINDS.index(kind) + 1, len(text), len(text) + len(match)))
+            text += match + ". "
+        docs.append((i, text + filler()))
+        truth[i] = spans
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    weights = pii.train(frame.where("doc_id % 2 = 0"))
+    found = pii.find_personal(frame.where("doc_id % 2 = 1"), weights).collect()
+    hit = sum(len({tuple(s) for s in x["pii_spans"]} & set(truth[x["doc_id"]])) for x in found)
+    assert hit > 0.85 * sum(len(truth[x["doc_id"]]) for x in found) and hit > 0.9 * sum(len(x["pii_spans"]) for x in found)
+
+
+def test_models_tell_keys_from_real_identifiers(spark):
+    import keyword
+    import os
+    import random as rnd
+    import string
+    import tokenize
+
+    names = set()
+    for module in (os, rnd, string, tokenize, keyword, re):  # identifiers that people wrote, of 20 characters and more
+        with open(module.__file__) as f:
+            names |= set(re.findall(r"(?<![A-Za-z0-9_])[A-Za-z][A-Za-z0-9_]{11,}", f.read()))
+    r = random.Random(1)
+    keys = ["".join(r.choice(string.ascii_letters + string.digits) for _ in range(r.randint(20, 40))) for _ in range(300)]
+    ratios = secrets.train(secrets.labelled_sample(spark.createDataFrame([], "doc_id long, text string")))
+    rows = [(n, False) for n in sorted(names)] + [(k, True) for k in keys]
+    assert secrets.find_secrets(spark.createDataFrame([(k,) for k in keys if re.search("[0-9]", k)], "text string"), ratios).where("size(secret_spans) <> 1").count() < 10
+    scored = spark.createDataFrame(rows, "text string, random boolean").select("random", secrets.score(F.col("text"), ratios).alias("s")).collect()
+    caught = [x["s"] >= secrets.LEAST for x in scored if x["random"]]
+    wrong = [x["s"] >= secrets.LEAST for x in scored if not x["random"]]
+    assert len(wrong) > 100 and sum(caught) > 0.97 * len(caught) and sum(wrong) < 0.03 * len(wrong)
