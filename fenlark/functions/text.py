@@ -7,10 +7,6 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Error category and the pattern that names it, first match wins.
-ERROR_LADDER = [("missing_type", "(?i)CS0246.*type"), ("missing_namespace", "(?i)CS0246.*namespace"), ("missing_member", "(?i)CS1061"), ("missing_name", "(?i)CS0103"), ("syntax", "(?i)CS1002|CS1513"), ("type_mismatch", "(?i)CS0029|CS1503"), ("ambiguous", "(?i)CS0104")]
-RISK_LADDER = [("critical", "(?i)out of memory|stack overflow|access violation"), ("high", "(?i)null reference|CS0246|unauthorized"), ("low", "(?i)warning|obsolete")]
-
 
 def stripped(x: Column) -> Column:
     """Without white space at either end."""
@@ -28,30 +24,11 @@ def example_key(*parts: Column) -> Column:
     return F.substring(F.sha2(F.lower(F.replace(joined, F.lit("\\"), F.lit("/"))), 256), 1, 16)
 
 
-def ladder(x: Column, rules: list[tuple[str, str]], otherwise: str) -> Column:
-    return reduce(lambda acc, r: acc.when(x.rlike(r[1]), r[0]), rules[1:], F.when(x.rlike(rules[0][1]), rules[0][0])).otherwise(otherwise)
-
-
-def error_signature(x: Column) -> Column:
-    """Compiler code, else exception name, else a class of trouble."""
-    code = F.nullif(F.regexp_extract(x, r"\b(CS[0-9]{4})\b", 1), F.lit(""))
-    name = F.nullif(F.regexp_extract(x, r"([A-Za-z]+Exception)", 1), F.lit(""))
-    return F.coalesce(code, name, F.when(x.rlike("(?i)timeout|timed out"), "TIMEOUT"), F.when(x.rlike("(?i)password"), "PASSWORD_ISSUE"), F.lit("RUNTIME_ERROR"))
-
-
 def without_comments(x: Column, block_first: bool = False) -> Column:
     steps = [("(?m)//[^\n]*", ""), (r"(?s)/\*.*?\*/", "")]
     return reduce(lambda acc, s: F.regexp_replace(acc, *s), steps[::-1] if block_first else steps, x)
 
 
-def complexity(base: Column, retries: Column, errors: Column, cryptic: Column) -> Column:
-    return F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), base + 0.1 * retries + 0.05 * errors + F.when(cryptic, 0.15).otherwise(0.0))), 4)
-
-
-def tier(score: Column) -> Column:
-    return F.when(score < 0.4, "small").when(score < 0.7, "medium").otherwise("large")
-
-
 def cosine(a: Column, b: Column) -> Column:
     """Cosine in double precision, clipped to 0..1; 0 for empty or zero vectors."""
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)

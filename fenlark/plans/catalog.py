@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import analytics, documents, snippets, state  # noqa: F401  they register their queries
+from . import analytics, documents, errors, snippets, state  # noqa: F401  they register their queries
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -108,41 +108,6 @@ def foreign_markers(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", found.alias("markers")).where(F.size("markers") > 0)
 
 
-_ERR = "concat(CASE event_id % 5 WHEN 0 THEN 'error CS0246: the type was not found' WHEN 1 THEN 'error CS0246: the namespace' WHEN 2 THEN 'System.NullReferenceException: null reference' WHEN 3 THEN 'run timed out' ELSE 'error CS1503' END, ' ', event_type)"
-
-
-def _errors(spark, sf_dir):
-    k = F.col("event_id") % 5
-    msg = F.when(k == 0, "error CS0246: the type was not found").when(k == 1, "error CS0246: the namespace").when(k == 2, "System.NullReferenceException: null reference").when(k == 3, "run timed out").otherwise("error CS1503")
-    return read(spark, sf_dir, "events").withColumn("message", F.concat(msg, F.lit(" "), F.col("event_type")))
-
-
-@query(f"""
-SELECT event_id, coalesce(nullif(regexp_extract(m, '\\b(CS[0-9]{{4}})\\b', 1), ''), nullif(regexp_extract(m, '([A-Za-z]+Exception)', 1), ''), CASE WHEN regexp_matches(m, '(?i)timeout|timed out') THEN 'TIMEOUT' END, 'RUNTIME_ERROR') AS signature
-FROM (SELECT event_id, {_ERR} AS m FROM events)
-""")
-def error_signature(spark, sf_dir):
-    return _errors(spark, sf_dir).select("event_id", x.error_signature(F.col("message")).alias("signature"))
-
-
-@query(f"""
-SELECT CASE WHEN regexp_matches(m, '(?i)CS0246.*type') THEN 'missing_type' WHEN regexp_matches(m, '(?i)CS0246.*namespace') THEN 'missing_namespace' WHEN regexp_matches(m, '(?i)CS0029|CS1503') THEN 'type_mismatch' ELSE 'unknown' END AS category,
- CASE WHEN regexp_matches(m, '(?i)null reference|CS0246|unauthorized') THEN 'high' ELSE 'medium' END AS risk, count(*) AS n FROM (SELECT {_ERR} AS m FROM events) GROUP BY 1, 2
-""")
-def risk_class(spark, sf_dir):
-    m = F.col("message")
-    return _errors(spark, sf_dir).groupBy(x.ladder(m, x.ERROR_LADDER, "unknown").alias("category"), x.ladder(m, x.RISK_LADDER, "medium").alias("risk")).agg(F.count("*").alias("n"))
-
-
-@query("""
-SELECT event_id, s AS score, CASE WHEN s < 0.4 THEN 'small' WHEN s < 0.7 THEN 'medium' ELSE 'large' END AS tier
-FROM (SELECT event_id, round(least(1.0, greatest(0.0, value / 100.0 + 0.1 * (user_id % 4) + 0.05 * (event_id % 3) + CASE WHEN event_type = 'error' THEN 0.15 ELSE 0.0 END)), 4) AS s FROM events)
-""")
-def complexity_route(spark, sf_dir):
-    score = x.complexity(F.col("value") / 100.0, F.col("user_id") % 4, F.col("event_id") % 3, F.col("event_type") == "error")
-    return read(spark, sf_dir, "events").select("event_id", score.alias("score"), x.tier(score).alias("tier"))
-
-
 @query(r"""
 WITH w AS (SELECT doc_id, list_distinct(regexp_extract_all(text, '[A-Z][a-z]+')) AS s FROM documents), p AS (SELECT a.doc_id, a.s AS before, b.s AS after FROM w a JOIN w b ON b.doc_id = a.doc_id + 1)
 SELECT doc_id, len(list_filter(after, lambda z: NOT list_contains(before, z))) AS added, len(list_filter(before, lambda z: NOT list_contains(after, z))) AS removed FROM p

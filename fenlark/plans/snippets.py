@@ -55,16 +55,6 @@ def namespace_policy(spark, sf_dir):
     return read(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_brand").isin("Brand#1", "Brand#2"), "blocked").when(kind.startswith("E") | kind.startswith("S"), "allowed").otherwise("unlisted").alias("policy"))
 
 
-@query("""
-WITH f AS (SELECT event_id, 'Brand#' || (user_id % 40) AS missing FROM events WHERE event_type = 'error')
-SELECT CASE WHEN p.p_brand IS NOT NULL THEN 'fix_gap' ELSE 'data_gap' END AS gap, count(*) AS n FROM f LEFT JOIN (SELECT DISTINCT p_brand FROM part) p ON p.p_brand = f.missing GROUP BY 1
-""")
-def catalog_gaps(spark, sf_dir):
-    f = read(spark, sf_dir, "events").where("event_type = 'error'").select(F.concat(F.lit("Brand#"), (F.col("user_id") % 40).cast("string")).alias("p_brand"))
-    known = read(spark, sf_dir, "part").select("p_brand").distinct().withColumn("known", F.lit(True))
-    return f.join(known, "p_brand", "left").groupBy(F.when(F.col("known"), "fix_gap").otherwise("data_gap").alias("gap")).agg(F.count("*").alias("n"))
-
-
 @query("""
 SELECT l_orderkey, l_linenumber FROM lineitem JOIN (SELECT p_partkey FROM part WHERE lower(p_type) = 'economy') p ON l_partkey = p_partkey WHERE l_returnflag = 'R'
 """)
@@ -107,18 +97,6 @@ def response_validation(spark, sf_dir):
     return read(spark, sf_dir, "conversations").where("role = 'assistant'").select("conv_id", "turn", verdict.alias("verdict"))
 
 
-@query("""
-WITH t AS (SELECT conv_id, turn, length(text) AS n, lag(length(text)) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM conversations)
-SELECT conv_id, turn, n > 1.5 * before AND n >= before + 2 AS regressed FROM t WHERE before IS NOT NULL
-""")
-def error_regression(spark, sf_dir):
-    from pyspark.sql import Window
-
-    n = F.length("text")
-    c = read(spark, sf_dir, "conversations").select("conv_id", "turn", n.alias("n"), F.lag(n).over(Window.partitionBy("conv_id").orderBy("turn")).alias("before"))
-    return c.where("before is not null").select("conv_id", "turn", ((F.col("n") > 1.5 * F.col("before")) & (F.col("n") >= F.col("before") + 2)).alias("regressed"))
-
-
 @query("SELECT doc_id, regexp_replace(lower(text), '[ \\t\\n\\r]+', '', 'g') = regexp_replace(lower(regexp_replace(text, ' ', '  ', 'g')), '[ \\t\\n\\r]+', '', 'g') AS same FROM documents")
 def identity_ignoring_space(spark, sf_dir):
     bare = lambda c: F.regexp_replace(F.lower(c), "[ \t\n\r]+", "")

@@ -64,19 +64,6 @@ def block_resolution(spark, sf_dir):
     return blocks.resolve(d, d, "doc_id", "text").select("doc_id", F.when(n == 0, "missing").when(n == 1, "unique").when(n <= 3, "ambiguous").otherwise("rejected").alias("resolution"))
 
 
-@query("""
-SELECT sig, count(*) AS n, CASE WHEN sig = 'OTHER' THEN 0.2 WHEN count(*) >= 500 THEN 0.8 ELSE 0.5 END AS confidence, list_sort(list(event_id))[1:10] AS ids
-FROM (SELECT event_id, CASE WHEN event_type = 'error' THEN 'ERROR' WHEN value > 50 THEN 'TIMEOUT' ELSE 'OTHER' END AS sig FROM events) GROUP BY 1
-""")
-def cluster_mine(spark, sf_dir):
-    """Ten first ids a cluster come from a ranked top-k, not from gathering the cluster."""
-    sig = F.when(F.col("event_type") == "error", "ERROR").when(F.col("value") > 50, "TIMEOUT").otherwise("OTHER")
-    e = read(spark, sf_dir, "events").select("event_id", sig.alias("sig"))
-    n = e.groupBy("sig").agg(F.count("*").alias("n"))
-    ids = t.newest(e, ["sig"], [F.col("event_id")], 10).groupBy("sig").agg(F.array_sort(F.collect_list("event_id")).alias("ids"))
-    return n.join(ids, "sig").select("sig", "n", F.when(F.col("sig") == "OTHER", 0.2).when(F.col("n") >= 500, 0.8).otherwise(0.5).alias("confidence"), "ids")
-
-
 @query("""
 SELECT p_name, count(DISTINCT p_brand) AS families, min(p_partkey) AS keeper, count(*) - 1 AS retired FROM part GROUP BY 1 HAVING count(DISTINCT p_brand) >= 2
 """)

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from fenlark.functions import text
+from fenlark.functions import errors
 from fenlark.operators import blocks, rewrite, tabular
 from fenlark.sources import files, sinks
 from fenlark.streaming import windows
@@ -29,8 +29,8 @@ def test_upsert_keeps_and_replaces(spark):
 
 
 def test_ladder_takes_first_match(spark):
-    d = spark.createDataFrame([("CS0246 the type or namespace",), ("?",)], "m string")
-    assert [r[0] for r in d.select(text.ladder(F.col("m"), text.ERROR_LADDER, "unknown")).collect()] == ["missing_type", "unknown"]
+    d = spark.createDataFrame([("CS0246 the type 'X' or namespace",), ("CS0246 namespace",), ("?",)], "m string")
+    assert [r[0] for r in d.select(errors.category(F.col("m"))).collect()] == ["missing_type", "missing_namespace", "unknown"]
 
 
 def test_files_round_trip(spark, tmp_path):
