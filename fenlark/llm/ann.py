@@ -7,13 +7,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import smallest, table, written
 
 TABLES = 12
 TRIALS = 128  # queries, those of smallest hash, whose exact neighbours among all rows fit the number of probes
 TARGET = 0.96  # share of these neighbours that the probes must find
 BUCKET = 16  # rows of a bucket, by which the number of concatenated axes grows with the table
-GROUP = 4096  # rows of the buckets that are dealt together
+GROUP = 16_384  # rows of the buckets that are dealt together; each group a query visits sends its k best
 BLOCK = 20_000  # rows of a group, or queries of it, in one task's block
 MOST = 1 << 14  # probes a table
 SPLIT = 500_000  # rows (some 20 MB) of the table of split groups up to which it is broadcast
@@ -281,9 +281,9 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, tables: int = TABL
     points = partial.groupBy("v").agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, k + 1).alias("ids"), F.bool_or("asks").alias("asks"))
     points = written(points.select(F.col("ids")[0].alias("cid"), "v", "ids", "asks"))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-    low, high, many, asking = points.agg(F.min(norm), F.max(norm), F.count("*"), F.count_if("asks")).first()
+    low, high, many = points.agg(F.min(norm), F.max(norm), F.count("*")).first()
     rotations = Rotations(length["n"], low, high, many, tables)
-    trial = _trials(points, asking, k)
+    trial = _trials(points, k)
     probes = fit_probes(rotations, *trial) if trial else 1
     width = 1
     while width < rotations.buckets // 2 and 2 * width * many <= GROUP * rotations.buckets:
@@ -311,13 +311,10 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, tables: int = TABL
     return near.select(F.col("id").alias("query_id"), F.posexplode("near").alias("pos", "e")).select("query_id", (F.col("pos") + 1).alias("rank"), F.col("e.id").alias("vec_id"), (-F.col("e.s")).alias("score"))
 
 
-def _trials(points: DataFrame, asking: int, k: int):
+def _trials(points: DataFrame, k: int):
     """Up to TRIALS query vectors and, of each, the vectors of its exact k nearest other points; None without queries."""
-    h, spark = F.xxhash64("cid"), points.sparkSession
-    some = points.where("asks")
-    if asking > 4 * TRIALS:  # those of smallest hash, most others left out before the sort
-        some = some.where(h < int(-(1 << 63) + (1 << 64) * min(0.75, 2 * (TRIALS + 20) / asking)))
-    asked = some.select("cid", "v").orderBy(h, "cid").limit(TRIALS).collect()
+    spark = points.sparkSession
+    asked = smallest(points.where("asks").select("cid", "v"), TRIALS, "cid").collect()
     if not asked:
         return None
     q = np.array([r["v"] for r in asked], np.float64)
