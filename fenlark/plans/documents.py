@@ -89,16 +89,6 @@ def context_window(spark, sf_dir):
     return rows.select("doc_id", "i", F.coalesce(F.sum(F.length("line")).over(w), F.lit(0)).alias("context"))
 
 
-@query("""
-SELECT CASE WHEN length(text) < 30 THEN 'too_short' WHEN length(text) - length(replace(text, chr(10), '')) + 1 > 200 THEN 'too_long'
- WHEN regexp_matches(text, '(?i)rights reserved|licensed under') THEN 'license' WHEN regexp_matches(text, '[#$%&*]{3}') THEN 'symbols' ELSE 'kept' END AS reason, count(*) AS n FROM documents GROUP BY 1
-""")
-def snippet_filter(spark, sf_dir):
-    c = F.col("text")
-    reason = F.when(F.length(c) < 30, "too_short").when(F.length(c) - F.length(F.replace(c, F.lit("\n"), F.lit(""))) + 1 > 200, "too_long").when(c.rlike("(?i)rights reserved|licensed under"), "license").when(c.rlike("[#$%&*]{3}"), "symbols").otherwise("kept")
-    return read(spark, sf_dir, "documents").groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))
-
-
 @query("""
 SELECT doc_id, list_sort(list(DISTINCT marker)) AS markers FROM documents JOIN (VALUES ('MIT'), ('Apache'), ('GNU'), ('token = ')) m(marker) ON contains(text, marker) GROUP BY 1
 """)

@@ -30,15 +30,6 @@ def front_matter(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", value("title").alias("title"), value("step1").alias("step1"))
 
 
-@query("""
-SELECT doc_id, CASE WHEN lang IN ('en') THEN 'english' WHEN lang = 'de' THEN 'german' ELSE lang END AS language FROM documents
-""")
-def language_normalise(spark, sf_dir):
-    """Aliases to names; what has none stays as given."""
-    names = F.create_map(F.lit("en"), F.lit("english"), F.lit("de"), F.lit("german"))
-    return read(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.try_element_at(names, F.lower("lang")), F.col("lang")).alias("language"))
-
-
 @query(r"""
 SELECT page_id, regexp_replace(regexp_extract(url, '([^/]+)/*$', 1), '[-_]', ' ', 'g') AS topic FROM pages
 """)
@@ -46,15 +37,6 @@ def topic_from_path(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", F.regexp_replace(F.regexp_extract("url", "([^/]+)/*$", 1), "[-_]", " ").alias("topic"))
 
 
-@query("""
-SELECT p_partkey, CASE WHEN p_brand IN ('Brand#1', 'Brand#2') THEN 'blocked' WHEN p_type LIKE 'E%' OR p_type LIKE 'S%' THEN 'allowed' ELSE 'unlisted' END AS policy FROM part
-""")
-def namespace_policy(spark, sf_dir):
-    """Blocked names first, then allowed prefixes."""
-    kind = F.col("p_type")
-    return read(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_brand").isin("Brand#1", "Brand#2"), "blocked").when(kind.startswith("E") | kind.startswith("S"), "allowed").otherwise("unlisted").alias("policy"))
-
-
 @query("""
 SELECT l_orderkey, l_linenumber FROM lineitem JOIN (SELECT p_partkey FROM part WHERE lower(p_type) = 'economy') p ON l_partkey = p_partkey WHERE l_returnflag = 'R'
 """)
@@ -63,19 +45,6 @@ def case_insensitive_lookup(spark, sf_dir):
     return read(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").join(p, "l_partkey", "left_semi").select("l_orderkey", "l_linenumber")
 
 
-@query("""
-WITH s AS (SELECT p_brand, list_sort(list(DISTINCT p_type)) AS types FROM part GROUP BY 1)
-SELECT a.p_brand, list_sort(list_filter(b.types, lambda z: NOT list_contains(a.types, z))) AS added, list_sort(list_filter(a.types, lambda z: NOT list_contains(b.types, z))) AS removed, a.types = b.types AS same
-FROM s a JOIN s b ON b.p_brand = 'Brand#1'
-""")
-def signature_drift(spark, sf_dir):
-    """Each brand's set of types against one brand's."""
-    s = read(spark, sf_dir, "part").groupBy("p_brand").agg(F.sort_array(F.collect_set("p_type")).alias("types"))
-    one = s.where("p_brand = 'Brand#1'").select(F.col("types").alias("after"))
-    added, removed = x.set_changes(F.col("types"), F.col("after"))
-    return s.crossJoin(F.broadcast(one)).select("p_brand", added.alias("added"), removed.alias("removed"), (F.col("types") == F.col("after")).alias("same"))
-
-
 @query("SELECT label, least(1.0, 0.8 * (label % 2) + least(0.5, 0.1 * count(*))) AS drift FROM embeddings GROUP BY 1")
 def drift_weights(spark, sf_dir):
     return read(spark, sf_dir, "embeddings").groupBy("label").agg(F.count("*").alias("n")).select("label", F.least(F.lit(1.0), 0.8 * (F.col("label") % 2) + F.least(F.lit(0.5), 0.1 * F.col("n"))).alias("drift"))
@@ -88,15 +57,6 @@ def prose_in_fence(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", F.size(rows).cast("long").alias("lines"), (F.size(code) < 0.1 * F.size(rows)).alias("prose"))
 
 
-@query("""
-SELECT conv_id, turn, CASE WHEN length(text) = 0 THEN 'empty' WHEN contains(lower(substr(text, 1, 100)), 'sorry') THEN 'refusal' WHEN regexp_matches(text, '[{};=]') THEN 'code' ELSE 'prose' END AS verdict FROM conversations WHERE role = 'assistant'
-""")
-def response_validation(spark, sf_dir):
-    c = F.col("text")
-    verdict = F.when(F.length(c) == 0, "empty").when(F.contains(F.lower(F.substring(c, 1, 100)), F.lit("sorry")), "refusal").when(c.rlike("[{};=]"), "code").otherwise("prose")
-    return read(spark, sf_dir, "conversations").where("role = 'assistant'").select("conv_id", "turn", verdict.alias("verdict"))
-
-
 @query("SELECT doc_id, regexp_replace(lower(text), '[ \\t\\n\\r]+', '', 'g') = regexp_replace(lower(regexp_replace(text, ' ', '  ', 'g')), '[ \\t\\n\\r]+', '', 'g') AS same FROM documents")
 def identity_ignoring_space(spark, sf_dir):
     bare = lambda c: F.regexp_replace(F.lower(c), "[ \t\n\r]+", "")
