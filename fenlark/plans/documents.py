@@ -58,27 +58,6 @@ def block_overlap(spark, sf_dir):
     return blocks.overlap(_prose(spark, sf_dir), "doc_id", "line", 0.6)
 
 
-_MD = "concat('# ', source, chr(10), '```', lang, chr(10), text, chr(10), '```', chr(10), 'end')"
-
-
-def _markdown(spark, sf_dir):
-    md = F.concat(F.lit("# "), F.col("source"), F.lit("\n```"), F.col("lang"), F.lit("\n"), F.col("text"), F.lit("\n```\nend"))
-    return blocks.lines(read(spark, sf_dir, "documents").select("doc_id", md.alias("md")), "doc_id", F.col("md"))
-
-
-@query("SELECT doc_id, CAST(0 AS BIGINT) AS block, lang AS language, 1 AS start, length(text) AS n FROM documents")
-def fenced_blocks(spark, sf_dir):
-    return blocks.fenced(_markdown(spark, sf_dir), "doc_id").select("doc_id", "block", "language", "start", F.length("code").cast("long").alias("n"))
-
-
-@query(f"""
-WITH l AS (SELECT doc_id, unnest(string_split({_MD}, chr(10))) AS line, generate_subscripts(string_split({_MD}, chr(10)), 1) - 1 AS i FROM documents)
-SELECT doc_id, count(*) AS n, count(h) AS below FROM (SELECT doc_id, last_value(CASE WHEN line LIKE '#%' THEN line END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS h FROM l) GROUP BY 1
-""")
-def heading_before(spark, sf_dir):
-    return blocks.heading_before(_markdown(spark, sf_dir), "doc_id").groupBy("doc_id").agg(F.count("*").alias("n"), F.count("heading").alias("below"))
-
-
 @query("""
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
 SELECT doc_id, CAST(i - 1 AS INTEGER) AS i, CAST(coalesce(sum(length(line)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS context FROM l
@@ -184,14 +163,6 @@ def fuzzy_match(spark, sf_dir):
     return bad.withColumn("match", best["word"])
 
 
-@query()
-def fence_repair(spark, sf_dir):
-    """Closing fences put before headings and at the end where they lack; depends on its own inserts, hence not SQL."""
-    md = F.concat(F.lit("```\n"), F.col("text"), F.lit("\n# next\nmore"))
-    d = read(spark, sf_dir, "documents").select("doc_id", md.alias("md"))
-    return d.select("doc_id", rewrite.repair_fences(F.col("md")).alias("r")).select("doc_id", F.length("r").alias("n"))
-
-
 @query("SELECT user_id, event_id, kind, ref FROM (SELECT user_id, event_id, unnest(['event_type', 'props']) AS kind, unnest([event_type, props]) AS ref FROM events) WHERE ref IS NOT NULL AND ref <> ''")
 def artifact_unpivot(spark, sf_dir):
     return tabular.unpivot_refs(read(spark, sf_dir, "events"), ["user_id", "event_id"], ["event_type", "props"])

@@ -69,10 +69,13 @@ CODE = [
 
 TAILS = ["", "\n// Output:\nConsole.WriteLine(0);", "\nSystem.Console.WriteLine(\"sample.zip\");\nint last = 1;", "\n\n/* block\n comment */\nvar tail = new Document(\"blank.docx\");\ntail.Save(\"copy.docx\");"]
 
+#: what every fourth fix does to file names
+RENAMED = [("output.pdf", "input.pdf"), ("copy.docx", "template.docx"), ("source.zip", "result.zip")]
+
 ARTICLES = [
     "# Title\nIntro with \"report.docx\" named.\n\n```csharp\nvar d = new Document(\"report.docx\");\nd.Save(\"step1.docx\");\nd.Close();\n```\n\n## Next\nNow load \"step2.docx\" again.\n\n```cs\nvar e = new Document(\"step2.docx\");\ne.Save(\"final.pdf\");\n```\nend",
     "Text only\n# H\nusing System;\nnamespace Demo\nmore text\n    static void Main()",
-    "# A\nProse line one.\nProse line two.\n```csharp\nThis block holds\nonly prose lines\nand nothing else\n```\n\n{{% note %}}\nBelow the note.\n\n```python\nprint(1)\n```",
+    "# A\nProse line one.\nProse line two.\n```csharp\nThis block holds\nonly prose lines\nand nothing else\n```\n\n{{% note %}}\nBelow the note.\n\n```python\nprint(1)\n```\nRead \"a.txt\" first.\n```csharp\nOpen(\"b.txt\");\n```",
     "```\nx = 1\n```\n```csharp\nvar x = 1;\n```\n# Late\n```csharp\nvar x = 1;\n```",
     "# Open\n```csharp\nvar never = closed;\n# Heading inside\nmore\n  ```\ninner\n",
     "See \"data.xlsx\" here.\n\n```csharp\nOpen(\"data.xlsx\");\n```\n\n# B\nBut \"other.txt\" there.\n```csharp\nOpen(\"data.xlsx\");\n```\npublic class Loose\n{\n}",
@@ -111,11 +114,22 @@ def snippets(spark, sf_dir) -> DataFrame:
     k = F.col("doc_id")
     code = F.concat(pick(CODE, k), pick(TAILS, F.floor(k / len(CODE))))
     fixed = F.concat(pick(CODE, k + F.floor(k / 7) % 2), pick(TAILS, F.floor(k / len(CODE)) + k % 3))
+    for old, new in RENAMED:
+        fixed = F.when(k % 4 == 1, F.replace(fixed, F.lit(old), F.lit(new))).otherwise(fixed)
     return read(spark, sf_dir, "documents").select("doc_id", "source", "lang", code.alias("code"), fixed.alias("fixed"))
 
 
+_FIXED = f"concat({pick_sql(CODE, 'doc_id + (doc_id // 7) % 2')}, {pick_sql(TAILS, f'doc_id // {len(CODE)} + doc_id % 3')})"
+
+
+def _renamed(x: str) -> str:
+    for old, new in RENAMED:
+        x = f"replace({x}, {quoted(old)}, {quoted(new)})"
+    return x
+
+
 SNIPPETS = f"""(SELECT doc_id, source, lang, concat({pick_sql(CODE, 'doc_id')}, {pick_sql(TAILS, f'doc_id // {len(CODE)}')}) AS code,
- concat({pick_sql(CODE, 'doc_id + (doc_id // 7) % 2')}, {pick_sql(TAILS, f'doc_id // {len(CODE)} + doc_id % 3')}) AS fixed FROM documents)"""
+ CASE WHEN doc_id % 4 = 1 THEN {_renamed(_FIXED)} ELSE {_FIXED} END AS fixed FROM documents)"""
 
 
 def articles(spark, sf_dir) -> DataFrame:

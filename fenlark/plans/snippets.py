@@ -50,13 +50,6 @@ def drift_weights(spark, sf_dir):
     return read(spark, sf_dir, "embeddings").groupBy("label").agg(F.count("*").alias("n")).select("label", F.least(F.lit(1.0), 0.8 * (F.col("label") % 2) + F.least(F.lit(0.5), 0.1 * F.col("n"))).alias("drift"))
 
 
-@query("SELECT doc_id, len(string_split(text, chr(10))) AS lines, len(list_filter(string_split(text, chr(10)), lambda z: contains(z, '=') OR contains(z, ';'))) < 0.1 * len(string_split(text, chr(10))) AS prose FROM documents")
-def prose_in_fence(spark, sf_dir):
-    rows = F.split("text", "\n")
-    code = F.filter(rows, lambda z: F.contains(z, F.lit("=")) | F.contains(z, F.lit(";")))
-    return read(spark, sf_dir, "documents").select("doc_id", F.size(rows).cast("long").alias("lines"), (F.size(code) < 0.1 * F.size(rows)).alias("prose"))
-
-
 @query("SELECT doc_id, regexp_replace(lower(text), '[ \\t\\n\\r]+', '', 'g') = regexp_replace(lower(regexp_replace(text, ' ', '  ', 'g')), '[ \\t\\n\\r]+', '', 'g') AS same FROM documents")
 def identity_ignoring_space(spark, sf_dir):
     bare = lambda c: F.regexp_replace(F.lower(c), "[ \t\n\r]+", "")
