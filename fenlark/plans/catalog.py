@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import analytics, code, documents, errors, markdown, snippets, state  # noqa: F401  they register their queries
+from . import analytics, code, documents, errors, extraction, markdown, records, resolver, rules, snippets, state  # noqa: F401  they register their queries
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

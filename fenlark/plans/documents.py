@@ -58,16 +58,6 @@ def block_overlap(spark, sf_dir):
     return blocks.overlap(_prose(spark, sf_dir), "doc_id", "line", 0.6)
 
 
-@query("""
-WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
-SELECT doc_id, CAST(i - 1 AS INTEGER) AS i, CAST(coalesce(sum(length(line)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS context FROM l
-""")
-def context_window(spark, sf_dir):
-    w = Window.partitionBy("doc_id").orderBy("i").rowsBetween(-20, -1)
-    rows = blocks.lines(read(spark, sf_dir, "documents"), "doc_id", F.col("text"))
-    return rows.select("doc_id", "i", F.coalesce(F.sum(F.length("line")).over(w), F.lit(0)).alias("context"))
-
-
 @query("""
 SELECT doc_id, list_sort(list(DISTINCT marker)) AS markers FROM documents JOIN (VALUES ('MIT'), ('Apache'), ('GNU'), ('token = ')) m(marker) ON contains(text, marker) GROUP BY 1
 """)

@@ -18,25 +18,6 @@ def marker_pairs(spark, sf_dir):
     return p.select("page_id", F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"), F.size(F.regexp_extract_all("html", F.lit("<p>"), F.lit(0))).cast("long").alias("paragraphs"))
 
 
-@query(r"""
-WITH m AS (SELECT doc_id, concat('---', chr(10), 'title: ', source, chr(10), 'step1: ', lang, chr(10), '---', chr(10), text) AS md FROM documents)
-SELECT doc_id, regexp_extract(md, 'title: ([^\n]*)', 1) AS title, regexp_extract(md, 'step1: ([^\n]*)', 1) AS step1 FROM m
-""")
-def front_matter(spark, sf_dir):
-    """Intent of a document from its front matter: single-line values of the block between two --- lines."""
-    md = F.concat(F.lit("---\ntitle: "), F.col("source"), F.lit("\nstep1: "), F.col("lang"), F.lit("\n---\n"), F.col("text"))
-    block = F.regexp_extract(md, r"(?s)\A---\n(.*?)\n---\n", 1)
-    value = lambda k: F.regexp_extract(block, rf"(?m)^{k}: ([^\n]*)", 1)
-    return read(spark, sf_dir, "documents").select("doc_id", value("title").alias("title"), value("step1").alias("step1"))
-
-
-@query(r"""
-SELECT page_id, regexp_replace(regexp_extract(url, '([^/]+)/*$', 1), '[-_]', ' ', 'g') AS topic FROM pages
-""")
-def topic_from_path(spark, sf_dir):
-    return read(spark, sf_dir, "pages").select("page_id", F.regexp_replace(F.regexp_extract("url", "([^/]+)/*$", 1), "[-_]", " ").alias("topic"))
-
-
 @query("""
 SELECT l_orderkey, l_linenumber FROM lineitem JOIN (SELECT p_partkey FROM part WHERE lower(p_type) = 'economy') p ON l_partkey = p_partkey WHERE l_returnflag = 'R'
 """)
@@ -57,15 +38,6 @@ def identity_ignoring_space(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", (bare(c) == bare(F.replace(c, F.lit(" "), F.lit("  ")))).alias("same"))
 
 
-@query("""
-SELECT user_id, count(*) AS n, CASE WHEN bool_or(event_type = 'error') AND NOT bool_or(event_type = 'purchase') THEN 'needs_review' WHEN max(value) > 95 THEN 'first_try' ELSE 'fixed' END AS outcome FROM events GROUP BY 1
-""")
-def commit_outcome(spark, sf_dir):
-    k = F.col("event_type")
-    outcome = F.when(F.bool_or(k == "error") & ~F.bool_or(k == "purchase"), "needs_review").when(F.max("value") > 95, "first_try").otherwise("fixed")
-    return read(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("n"), outcome.alias("outcome"))
-
-
 @query("""
 SELECT n_name, r_name, coalesce(s.n, 0) AS suppliers FROM nation JOIN region ON n_regionkey = r_regionkey LEFT JOIN (SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY 1) s ON s_nationkey = n_nationkey
 """)

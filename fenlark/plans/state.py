@@ -11,28 +11,6 @@ from ..streaming import windows
 from .base import query, read
 
 
-@query("""
-WITH m AS (SELECT user_id, event_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events)
-SELECT prev, event_type, prev IS NULL OR (prev, event_type) IN (('signup','view'),('view','click'),('click','purchase'),('view','view')) AS allowed, count(*) AS n FROM m GROUP BY ALL
-""")
-def transition_check(spark, sf_dir):
-    """Each row's move from its key's last state, against the table of allowed moves."""
-    allowed = F.array(*(F.lit(x) for x in ("signup>view", "view>click", "click>purchase", "view>view")))
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    m = read(spark, sf_dir, "events").withColumn("prev", F.lag("event_type").over(w))
-    ok = F.col("prev").isNull() | F.array_contains(allowed, F.concat_ws(">", "prev", "event_type"))
-    return m.groupBy("prev", "event_type", ok.alias("allowed")).agg(F.count("*").alias("n"))
-
-
-@query("""
-SELECT event_id, avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END) OVER w > 0.5 AS open
-FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)
-""")
-def rolling_error_rate(spark, sf_dir):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(-9, 0)
-    return read(spark, sf_dir, "events").select("event_id", (F.avg((F.col("event_type") == "error").cast("double")).over(w) > 0.5).alias("open"))
-
-
 @query("SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderstatus = 'P' ORDER BY o_orderpriority, o_orderdate, o_orderkey LIMIT 1")
 def queue_next(spark, sf_dir):
     return read(spark, sf_dir, "orders").where("o_orderstatus = 'P'").orderBy("o_orderpriority", "o_orderdate", "o_orderkey").limit(1).select("o_orderkey", "o_orderpriority")
