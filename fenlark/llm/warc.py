@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from .common import chunks, scratch, table
 
-SEGMENT = 8 << 20  # payload bytes in one record; longer payloads continue in further records
+SEGMENT = 2 << 20  # payload bytes in one record; longer payloads continue in further records
+ROW, ROWS = 1 << 20, 32  # compressed bytes from which records are handed on, and how often for one file
 LEAST = 100  # bytes from which equal payloads are stored once
 
 
@@ -26,7 +27,7 @@ def _clean(x: str) -> str:
 
 
 def record(fields: list[tuple[str, str]], block: bytes) -> bytes:
-    """One record as one gzip member. Its last byte is 0 as long as the record is under 16 MB."""
+    """One record as one gzip member. Its last byte is 0, as records are under 16 MB."""
     head = "".join(f"{k}: {v}\r\n" for k, v in [*fields, ("WARC-Block-Digest", "sha256:" + hashlib.sha256(block).hexdigest()), ("Content-Length", str(len(block)))])
     z = zlib.compressobj(6, zlib.DEFLATED, 31)
     return z.compress(f"WARC/1.1\r\n{head}\r\n".encode() + block + b"\r\n\r\n") + z.flush()
@@ -145,6 +146,8 @@ def pages_of(file) -> Iterator[dict]:
 
 
 def _write(batches):
+    """Records as they stand in the files, in rows of ROW bytes and more; all segments of a page are in one."""
+    held, size = [], 0
     for batch in chunks(batches, "html", 4 << 20):
         out = []
         for r in batch.to_pylist():
@@ -152,29 +155,39 @@ def _write(batches):
             for m in records_of(r["page_id"], r["url"], payload, r["digest"], r["refers_to"]):
                 if m[-1]:
                     raise WarcError("a record of 16 MB or more")
-                out.append(m[:-1])
+                held.append(m)
+                size += len(m)
+            if size >= ROW:
+                out.append(b"".join(held)[:-1])
+                held, size = [], 0
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["member"])
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)[:-1]], pa.binary())], names=["member"])
 
 
-def write_archives(pages: DataFrame, folder: str, most_records: int = 10_000) -> None:
+def write_archives(pages: DataFrame, folder: str, most_rows: int = ROWS) -> None:
     """Writes pages(page_id, url, html) into WARC files of whole gzip members under folder.
 
     Payloads are html in UTF-8 (null: empty). Of those equal and at least 100 bytes long, the one with
     the smallest page_id is stored; the others become revisits. Rows that repeat that id and payload
     are all stored. Rows without page_id follow the same rule and never come first unless all lack one.
+    Shorter payloads are stored as they come and are not shuffled. An empty table gives no records.
 
     Files go through Spark's text writer, whose committer copes with lost and repeated tasks. It ends
     each row with a separator; that separator is the zero byte which ends each gzip member (the highest
-    byte of a length below 16 MB), so the files hold the members and nothing else.
+    byte of a length below 16 MB), so the files hold the members and nothing else. A file ends after
+    most_rows rows, some 32 to 64 MB unless single pages are larger than a row.
     """
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     pages = pages.withColumn("digest", F.sha2(F.coalesce("html", F.lit("")).cast("binary"), 256))
-    large = pages.where(F.octet_length("html") >= LEAST)
+    size = F.coalesce(F.octet_length("html"), F.lit(0))
+    large, small = pages.where(size >= LEAST), pages.where(size < LEAST).withColumn("refers_to", F.lit(None).cast("long"))
     first = large.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").select("digest", "first_id")
     # the right side has a row a digest; a digest with many pages is split by skew handling
-    told = pages.join(first, "digest", "left").withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id")))
-    members = told.select("page_id", "url", "html", "digest", "refers_to").mapInArrow(_write, "member binary")
-    members.select(F.col("member").cast("string").alias("value")).write.option("lineSep", "\0").option("maxRecordsPerFile", most_records).text(folder)
+    told = large.join(first, "digest", "left").withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id")))
+    columns = ["page_id", "url", "html", "digest", "refers_to"]
+    members = told.select(columns).unionByName(small.select(columns)).mapInArrow(_write, "member binary")
+    members.select(F.col("member").cast("string").alias("value")).write.option("lineSep", "\0").option("maxRecordsPerFile", most_rows).text(folder)
 
 
 _PAGE = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -196,7 +209,8 @@ _ARROW = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("pa
 
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """One row a page in the archives under folder; a damaged record fails the job."""
+    """One row a page in the archives under folder; a damaged record fails the job. A folder without
+    records gives an empty result. Each file is one task's, and the writer bounds its bytes."""
     files = spark.read.format("binaryFile").load(folder)
     return files.select("content").mapInArrow(_read, _PAGE)
 

@@ -1,5 +1,6 @@
 """Training-data operators that once did a part of their job: what the part left out."""
 
+import hashlib
 import math
 import random
 import re
@@ -9,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fenlark.llm import decontaminate, licenses, minhash, pii, quality, secrets
+from fenlark.llm import decontaminate, licenses, minhash, pii, quality, secrets, warc
 
 
 def test_rounds_share_statistics(spark, monkeypatch):
@@ -238,3 +239,20 @@ def test_models_tell_keys_from_real_identifiers(spark):
     caught = [x["s"] >= secrets.LEAST for x in scored if x["random"]]
     wrong = [x["s"] >= secrets.LEAST for x in scored if not x["random"]]
     assert len(wrong) > 100 and sum(caught) > 0.97 * len(caught) and sum(wrong) < 0.03 * len(wrong)
+
+
+def test_warc_files_are_bounded_and_keep_segments_together(spark, tmp_path):
+    r = random.Random(2)
+    big = "".join(chr(r.randint(32, 0x2FFF)) for _ in range(1_500_000))  # some 4 MB in UTF-8: several segments
+    rows = [(i, f"u{i}", "".join(r.choices("abcdef ", k=r.randint(0, 400)))) for i in range(3000)]
+    rows += [(5000, "big", big), (5001, "big", big), (5002, None, big[:-1]), (5003, "u", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    warc.write_archives(pages, str(tmp_path / "w"), most_rows=1)
+    sizes = [f.stat().st_size for f in (tmp_path / "w").iterdir() if f.name.startswith("part-")]
+    assert len(sizes) > 3 and max(sizes) < 8 << 20
+    got = {x["page_id"]: x for x in warc.read_archives(spark, str(tmp_path / "w")).collect()}
+    assert len(got) == len(rows)
+    for i, _, html in rows:
+        payload = (html or "").encode()
+        assert got[i]["payload_bytes"] == len(payload) and got[i]["payload_digest"] == hashlib.sha256(payload).hexdigest()
+    assert (got[5001]["record_type"], got[5001]["refers_to"]) == ("revisit", 5000) and got[5002]["record_type"] == "response"
