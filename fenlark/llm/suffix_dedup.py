@@ -154,11 +154,11 @@ def _classes(batches):
 
 
 def _spread(h, p, at, sums):
-    """The windows of anchors at p: which anchor, start, g (anchor and offset), c (hash)."""
+    """The windows of anchors at p: which anchor, start, g (anchor and offset), c (hash, if sums are given)."""
     left, size = at >> 7 & 127, (at >> 7 & 127) + (at & 127) - SPAN + 1
     which = np.repeat(np.arange(len(p)), size)
     s = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size) + (p - left)[which]
-    return which, s, mix(h[which].view(U) + (p[which] - s).astype(U) * _A).view(np.int64), span_hash(sums, s, s + SPAN).view(np.int64)
+    return which, s, mix(h[which].view(U) + (p[which] - s).astype(U) * _A).view(np.int64), None if sums is None else span_hash(sums, s, s + SPAN).view(np.int64)
 
 
 def _plus(rows: pa.RecordBatch, near=None) -> pa.RecordBatch:
@@ -193,14 +193,33 @@ def _surroundings(batches):
             yield _plus(_runs(doc[later], at[later], at[later] + SPAN))
 
 
+def multikey(data: np.ndarray, start: np.ndarray, tag: np.ndarray, size: int = SPAN) -> np.ndarray:
+    """Classes of equal tags and equal strings of `size` bytes, by multikey quicksort: all strings are split
+    by one key of eight bytes, then only those that are still equal by the next."""
+    keys = np.ndarray((max(0, len(data) - 7),), ">u8", np.ascontiguousarray(data), 0, (1,))
+    of, live = np.unique(tag, return_inverse=True)[1], np.arange(len(start))
+    for at in [*range(0, size - 8, 8), size - 8]:
+        live = live[np.bincount(of)[of[live]] > 1] if len(live) else live
+        if not len(live):
+            break
+        key = keys[start[live] + at].astype(U)
+        order = np.lexsort((key, of[live]))
+        live, key = live[order], key[order]
+        new = np.ones(len(live), bool)
+        new[1:] = (of[live][1:] != of[live][:-1]) | (key[1:] != key[:-1])
+        of[live] = of.max() + np.cumsum(new)
+    return of
+
+
 def _compared(rows: pa.Table) -> pa.RecordBatch:
-    """Whole groups of anchors with their bytes in; the runs that earlier equal windows cover out."""
+    """Whole groups of anchors with their bytes in; the runs that earlier equal windows cover out. Bytes decide, no hash does."""
     g, _, doc, at = (rows.column(i).to_numpy() for i in range(4))
     near = rows.column(4).to_pylist()
     data, bounds = _flat(near)
-    which, s, g, c = _spread(g, bounds[:-1] + (at >> 7 & 127), at, prefix_sums(data))
+    which, s, tag, _ = _spread(g, bounds[:-1] + (at >> 7 & 127), at, None)
     start = (at >> 14) - (at >> 7 & 127)
-    _, _, doc, at, _, later = _once(g, c, doc[which], s - bounds[which] + start[which])
+    c = multikey(data, s, tag)
+    _, _, doc, at, _, later = _once(c, np.zeros(len(c), np.int64), doc[which], s - bounds[which] + start[which])
     return _runs(doc[later], at[later], at[later] + SPAN)
 
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fenlark.llm import decontaminate, licenses, minhash, pii, quality, secrets, warc
+from fenlark.llm import decontaminate, licenses, minhash, pii, quality, secrets, suffix_dedup, warc
 
 
 def test_rounds_share_statistics(spark, monkeypatch):
@@ -256,3 +256,15 @@ def test_warc_files_are_bounded_and_keep_segments_together(spark, tmp_path):
         payload = (html or "").encode()
         assert got[i]["payload_bytes"] == len(payload) and got[i]["payload_digest"] == hashlib.sha256(payload).hexdigest()
     assert (got[5001]["record_type"], got[5001]["refers_to"]) == ("revisit", 5000) and got[5002]["record_type"] == "response"
+
+
+def test_multikey_classes_are_equal_strings():
+    r = np.random.default_rng(3)
+    base = r.integers(97, 100, 300).astype(np.uint8)
+    data = np.concatenate([np.where(r.random(300) < 0.01, r.integers(97, 123, 300), base).astype(np.uint8) for _ in range(60)])
+    start = r.integers(0, len(data) - 100, 4000) // 20 * 20
+    tag = start % 300
+    of = suffix_dedup.multikey(data, start, tag)
+    texts = [(t, data[s : s + 100].tobytes()) for t, s in zip(tag.tolist(), start.tolist(), strict=True)]
+    assert len(set(zip(texts, of.tolist(), strict=True))) == len(set(texts)) == len(set(of.tolist()))
+    assert len(suffix_dedup.multikey(data, start[:0], tag[:0])) == 0
