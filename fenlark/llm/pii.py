@@ -189,9 +189,13 @@ def find_personal(docs: DataFrame, weights: dict[str, float], believed: float =
     no rule stands before it. A null or empty text has no spans, an empty table no rows; repeated rows
     get equal spans. An existing column of that name is replaced.
     """
-    c = docs.withColumn("pii_spans", apart(candidates(F.col("text"))))
-    both = F.filter("pii_spans", lambda s: (s["rank"] <= len(BASE)) | (belief(s, weights) >= believed))
-    return c.withColumn("pii_spans", F.transform(both, lambda s: F.struct(s["rank"].alias("rank"), s["start"].alias("start"), s["end"].alias("end"))))
+    return docs.withColumn("pii_spans", personal(F.col("text"), weights, believed))
+
+
+def personal(text: Column, weights: dict[str, float], believed: float = BELIEVED) -> Column:
+    """The spans of find_personal as an expression."""
+    found = F.filter(apart(candidates(text)), lambda s: (s["rank"] <= len(BASE)) | (belief(s, weights) >= believed))
+    return F.transform(found, lambda s: F.struct(s["rank"].alias("rank"), s["start"].alias("start"), s["end"].alias("end")))
 
 
 def apart(found: Column, failing: bool = False) -> Column:

@@ -230,24 +230,30 @@ def train(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE
     return model
 
 
+def _judged(batch: pa.RecordBatch, weights: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Probabilities that each text is of quality and clean; 1 for texts without words."""
+    m = measures(texts_of(batch))
+    row, column, value = hashed(*m)
+    p = []
+    for name in HEADS:
+        z = np.bincount(row, weights[name][column] * value, batch.num_rows) + weights[name][-1]
+        p.append(np.where(m[0][:, 0] == 0, 1.0, 1 / (1 + np.exp(-np.clip(z, -30, 30)))))
+    return p[0], p[1]
+
+
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """docs with quality and clean (probabilities) and kept (both at least one half).
 
-    A null or wordless text says nothing against itself and is kept. Columns of docs that have these
-    names are replaced. The model is a broadcast of fixed size.
+    A null or wordless text says nothing against itself and is kept; repeated rows get equal scores, an
+    empty table gives none. Columns of docs that have these names are replaced. The model is a broadcast
+    of fixed size.
     """
     docs = docs.drop("quality", "clean", "kept")
     sent = docs.sparkSession.sparkContext.broadcast(model.weights)
 
     def run(batches):
         for batch in chunks(batches, "text"):
-            m = measures(texts_of(batch))
-            row, column, value = hashed(*m)
-            p = []
-            for name in HEADS:
-                w = sent.value[name]
-                z = np.bincount(row, w[column] * value, batch.num_rows) + w[-1]
-                p.append(np.where(m[0][:, 0] == 0, 1.0, 1 / (1 + np.exp(-np.clip(z, -30, 30)))))
+            p = _judged(batch, sent.value)
             kept = (p[0] >= 0.5) & (p[1] >= 0.5)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p[0]), pa.array(p[1]), pa.array(kept)], names=[*batch.schema.names, "quality", "clean", "kept"])
 
@@ -255,6 +261,18 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *more]))
 
 
+def good(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of docs that scored() keeps, with their own columns, whatever these are called."""
+    sent = docs.sparkSession.sparkContext.broadcast(model.weights)
+
+    def run(batches):
+        for batch in chunks(batches, "text"):
+            p = _judged(batch, sent.value)
+            yield batch.filter(pa.array((p[0] >= 0.5) & (p[1] >= 0.5)))
+
+    return docs.mapInArrow(run, T.StructType(docs.schema.fields))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that the classifier keeps, with their scores."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -268,3 +268,71 @@ def test_multikey_classes_are_equal_strings():
     texts = [(t, data[s : s + 100].tobytes()) for t, s in zip(tag.tolist(), start.tolist(), strict=True)]
     assert len(set(zip(texts, of.tolist(), strict=True))) == len(set(texts)) == len(set(of.tolist()))
     assert len(suffix_dedup.multikey(data, start[:0], tag[:0])) == 0
+
+
+@pytest.mark.parametrize("stage", ["quality", "near_dedup", "decontaminate", "pii", "sentencepiece"])
+def test_stages_cope_with_odd_rows(spark, stage):
+    import corpus_pipeline
+
+    run = dict(corpus_pipeline.STAGES)[stage]
+    names = "doc_id long, text string, lang string, source string, n_chars long, kept int, id string, quality string, pii_spans string, component_id int, score double"
+    long = " ".join(f"word{i}" for i in range(40_000))
+    texts = [(1, None), (2, ""), (3, " \n"), (4, "a few plain words that stand here alone"), (4, "a few plain words that stand here alone"), (5, "a few plain words that stand here alone"), (None, "words without an id to them"), (None, None), (6, long), (7, "mail me at some.one@mail.org please"), (7, "another text under the same id")]
+    docs = spark.createDataFrame([(i, t, None, "s", 3, 9, "x", "q", "p", 1, 0.5) for i, t in texts], names)
+    out = run(spark, docs, "/root/testdata/sf0.001")
+    if stage != "sentencepiece":
+        assert out.schema == docs.schema
+    rows = out.collect()
+    assert all((r["kept"], r["id"], r["quality"], r["pii_spans"], r["component_id"]) == (9, "x", "q", "p", 1) for r in rows)
+    left = Counter((r["doc_id"], r["text"]) for r in rows)
+    if stage == "near_dedup":
+        assert left == Counter([(1, None), (2, ""), (3, " \n"), (4, texts[3][1]), (None, texts[6][1]), (None, None), (6, long), (7, "another text under the same id")])
+    elif stage == "pii":
+        assert left == Counter([(i, t.replace("some.one@mail.org", "[EMAIL]") if t else t) for i, t in texts])
+        assert all(r["n_chars"] == (len(r["text"]) if "[EMAIL]" in (r["text"] or "") else 3) for r in rows)
+    else:
+        assert left == Counter(texts)
+    nothing = run(spark, docs.limit(0), "/root/testdata/sf0.001")
+    assert nothing.count() == 0
+
+
+def test_stages_against_brute_force(spark):
+    """Each stage's rows, one after the other, against the plain rules they stand for."""
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    docs = corpus_pipeline.table(spark, sf, "documents")
+    kept = corpus_pipeline.classify(spark, docs, sf).collect()
+    labels = {r["doc_id"]: (r["quality"], r["toxic"]) for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    good = {i for i, q in labels.items() if q == (1, 0)}
+    assert len(good & {r["doc_id"] for r in kept}) > 0.9 * len(good)
+    docs = spark.createDataFrame(kept, docs.schema)
+    sets = {}
+    for r in kept:
+        w = (r["text"] or "").encode().lower().split()
+        sets[r["doc_id"]] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+    of = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and of[a] != of[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                low, high = sorted((of[a], of[b]))
+                of = {k: low if v == high else v for k, v in of.items()}
+    once = corpus_pipeline.deduplicate(spark, docs, sf).collect()
+    assert sorted(r["doc_id"] for r in once) == sorted(i for i in of if of[i] == i)
+    docs = spark.createDataFrame(once, docs.schema)
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    word = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in t or ""))
+    held = {r["doc_id"]: " ".join(word(r["text"])) for r in once}
+    whole = {d for d, t in held.items() if any(f" {' '.join(word(x))} " in f" {t} " for _, x in items)}
+    clean = corpus_pipeline.decontaminated(spark, docs, sf).collect()
+    gone = {r["doc_id"] for r in once} - {r["doc_id"] for r in clean}
+    assert whole <= gone and len(gone - whole) <= 0.02 * len(once)
+    docs = spark.createDataFrame(clean, docs.schema)
+    safe = {r["doc_id"]: r["text"] for r in corpus_pipeline.redact(spark, docs, sf).collect()}
+    for r in clean:
+        text, at = "", 0
+        for rank, start, end in sorted(_personal(r["text"] or ""), key=lambda s: (s[1], s[2])):
+            if start >= at:
+                text += (r["text"] or "")[at:start] + f"[{pii.KINDS[rank - 1].upper()}]"
+            at = max(at, end)
+        assert safe[r["doc_id"]] == (None if r["text"] is None else text + r["text"][at:])
