@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scratch import written
+
 HEAD = 5  # leading lines that stand for a block whose signature is not found
 PARTS = 64  # rows at most to which equal keys collapse before a join
+SHARERS = 1000  # documents with a unit in common that one task pairs with all others
 
 
 def lines(docs: DataFrame, key: str, text: Column) -> DataFrame:
@@ -48,19 +51,25 @@ def overlap(units: DataFrame, key: str, unit: str, least: float) -> DataFrame:
     other documents, so that frequent lines form candidates only where a document has nothing rarer;
     the candidates' common units are counted by equi-joins.
     """
-    u = units.select(F.col(key).alias("k"), F.xxhash64(unit).alias("h")).distinct()
+    u = written(units.select(F.col(key).alias("k"), F.xxhash64(unit).alias("h")).distinct())
     sizes = u.groupBy("k").agg(F.count("*").alias("n"))
-    held = u.groupBy("h").agg(F.count("*").alias("df"))
-    full = u.join(held, "h").join(sizes, "k")
+    # units of one document alone can't be common; they only count in its size
+    held = u.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
+    full = written(u.join(held, "h").join(sizes, "k"))
+    # of the n units the single ones come first in the order of rarity
+    single = F.col("n") - F.count("*").over(Window.partitionBy("k"))
     first = F.row_number().over(Window.partitionBy("k").orderBy("df", "h"))
-    rare = full.withColumn("rn", first).where((F.col("rn") <= F.col("n") - F.ceil(F.lit(least) * F.col("n")) + 1) & (F.col("df") > 1))
-    x = rare.select("h", F.col("k").alias("x"), F.col("n").alias("nx"))
-    y = full.where("df > 1").select("h", F.col("k").alias("y"), F.col("n").alias("ny"))
+    rare = full.withColumn("rn", first + single).where(F.col("rn") <= F.col("n") - F.ceil(F.lit(least) * F.col("n")) + 1)
+    # a unit of very many documents is dealt in blocks, so that no task holds all its pairs
+    blocks = F.ceil(F.col("df") / SHARERS).cast("int")
+    x = rare.select("h", F.pmod(F.xxhash64("k"), blocks).cast("int").alias("b"), F.col("k").alias("x"), F.col("n").alias("nx"))
+    y = full.join(rare.select("h").distinct(), "h", "left_semi").select("h", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("b"), F.col("k").alias("y"), F.col("n").alias("ny"))
     smaller = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))
-    pairs = x.join(y, "h").where(smaller).select("x", "y", "nx").distinct()
-    both = pairs.join(u.withColumnRenamed("k", "x"), "x").join(u.withColumnRenamed("k", "y"), ["y", "h"])
-    common = both.groupBy("x", "y", "nx").agg(F.count("*").alias("common")).withColumn("ratio", F.col("common") / F.col("nx"))
-    return common.where(F.col("ratio") >= least).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "common", F.round("ratio", 6).alias("ratio"))
+    pairs = x.join(y, ["h", "b"]).where(smaller).select("x", "y", "nx").distinct()
+    common = full.select(F.col("k").alias("x"), "h")
+    both = pairs.join(common, "x").join(common.withColumnRenamed("x", "y"), ["y", "h"])
+    counted = both.groupBy("x", "y", "nx").agg(F.count("*").alias("common")).withColumn("ratio", F.col("common") / F.col("nx"))
+    return counted.where(F.col("ratio") >= least).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "common", F.round("ratio", 6).alias("ratio"))
 
 
 def head(text: Column) -> Column:

@@ -56,26 +56,8 @@ def closest(words: list[str], cutoff: float):
     return run
 
 
-@transformer("repair_fences_text")
-def _repair(text: str) -> str:
-    out, inside = [], False
-    for line in text.split("\n"):
-        if line.startswith("```"):
-            inside = not inside
-        elif inside and line.startswith("#"):
-            out.append("```")
-            inside = False
-        out.append(line)
-    return "\n".join([*out, "```"] if inside else out)
-
-
-def repair_fences(x: Column) -> Column:
-    return _vectorised(_repair)(x)
-
-
-@transformer("collapse_blank_lines")
-def _collapse(text: str) -> str:
-    return re.sub(r"\n{3,}", "\n\n", text)
+def collapse_blank_lines(x: Column) -> Column:
+    return F.regexp_replace(x, "\n{3,}", "\n\n")
 
 
 def unified_diff(before: Column, after: Column) -> Column:

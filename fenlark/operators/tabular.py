@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scratch import written
+
 
 def rate(part: Column, whole: Column, digits: int = 2) -> Column:
     """100 * part / whole, 0 for an empty whole."""
@@ -39,6 +41,29 @@ def insert_ignore(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.unionByName(new.join(old.select(keys), keys, "left_anti").select(old.columns))
 
 
+def quantiles(df: DataFrame, group: str, value: str, shares: dict[str, float]) -> DataFrame:
+    """(group, a column a share): exact quantiles, linear between neighbours.
+
+    Rows are dealt by ranges of group and value, so that a large group is many tasks' work and no task
+    keeps its values: ranks are places within a range plus the counts of the ranges before, of which
+    there is a row a range and group. Null values don't count.
+    """
+    rows = df.where(F.col(value).isNotNull()).select(F.col(group).alias("g"), F.col(value).alias("v"))
+    ranged = written(rows.repartitionByRange("g", "v").withColumn("p", F.spark_partition_id()))
+    counts = ranged.groupBy("g", "p").agg(F.count("*").alias("c"))
+    before = F.sum("c").over(Window.partitionBy("g").orderBy("p")) - F.col("c")
+    at = counts.select("g", "p", before.alias("before"), F.sum("c").over(Window.partitionBy("g")).alias("n"))
+    place = F.row_number().over(Window.partitionBy("g", "p").orderBy("v")) - 1
+    ranks = ranged.withColumn("place", place).join(at, ["g", "p"]).withColumn("r", F.col("before") + F.col("place"))
+    out = []
+    for name, share in shares.items():
+        spot = share * (F.col("n") - 1)
+        low, high = (F.max(F.when(F.col("r") == f(spot).cast("long"), F.col("v"))) for f in (F.floor, F.ceil))
+        part = F.max(spot - F.floor(spot))
+        out.append((low + (high - low) * part).alias(name))
+    return ranks.groupBy(F.col("g").alias(group)).agg(*out)
+
+
 def bins(value: Column, edges: list[float]) -> Column:
     """Histogram label "lo-hi": half-open, the last one closed; null outside."""
     out = None

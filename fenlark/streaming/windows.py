@@ -36,28 +36,36 @@ def distinct_events(df: DataFrame, key: str, late: str = "1 hour") -> DataFrame:
     return df.withWatermark("ts", late).dropDuplicatesWithinWatermark([key]) if df.isStreaming else df.dropDuplicates([key])
 
 
-def circuit_breaker(df: DataFrame, failures: int = 3, rest_s: float = 60.0) -> DataFrame:
+def circuit_breaker(df: DataFrame, failures: int = 3, rest_s: float = 60.0, late: str = "1 hour", keep_s: float = 86_400.0) -> DataFrame:
     """(user_id, ts, state) at each change: CLOSED to OPEN after so many failures in a row, HALF_OPEN
-    after the rest, from there CLOSED by a success and OPEN by a failure. Streaming frames only."""
+    after the rest, from there CLOSED by a success and OPEN by a failure. Streaming frames only.
+
+    A key's rows of a micro-batch are put in order before they are worked through, whatever Arrow batches
+    they come in. A key without rows for keep_s of event time is forgotten.
+    """
 
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            return
         now, run, opened = state.get if state.exists else ("CLOSED", 0, 0.0)
-        out = []
-        for rows in batches:
-            for ts, kind in rows.sort_values("ts")[["ts", "event_type"]].itertuples(index=False):
-                at, was = ts.timestamp(), now
-                if now == "OPEN" and at - opened >= rest_s:
-                    now = "HALF_OPEN"
-                if kind == "error":
-                    run += 1
-                    if now == "HALF_OPEN" or (now == "CLOSED" and run >= failures):
-                        now, opened = "OPEN", at
-                elif now != "OPEN":
-                    now, run = "CLOSED", 0
-                if now != was:
-                    out.append((key[0], ts, now))
+        rows, out = pd.concat(list(batches)), []
+        for ts, kind in rows.sort_values(["ts", "event_type"])[["ts", "event_type"]].itertuples(index=False):
+            at, was = ts.timestamp(), now
+            if now == "OPEN" and at - opened >= rest_s:
+                now = "HALF_OPEN"
+            if kind == "error":
+                run += 1
+                if now == "HALF_OPEN" or (now == "CLOSED" and run >= failures):
+                    now, opened = "OPEN", at
+            elif now != "OPEN":
+                now, run = "CLOSED", 0
+            if now != was:
+                out.append((key[0], ts, now))
         state.update((now, run, opened))
+        last = int(rows["ts"].max().timestamp() * 1000)
+        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + int(keep_s * 1000))
         yield pd.DataFrame(out, columns=["user_id", "ts", "state"])
 
-    df = df.withColumn("ts", F.col("ts").cast("timestamp"))
-    return df.groupBy("user_id").applyInPandasWithState(step, "user_id long, ts timestamp, state string", "now string, run int, opened double", "append", GroupStateTimeout.NoTimeout)
+    df = df.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
+    return df.groupBy("user_id").applyInPandasWithState(step, "user_id long, ts timestamp, state string", "now string, run int, opened double", "append", GroupStateTimeout.EventTimeTimeout)

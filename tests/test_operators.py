@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from fenlark.functions import errors
+from fenlark.functions import errors, markdown
 from fenlark.operators import blocks, rewrite, tabular
 from fenlark.sources import files, sinks
 from fenlark.streaming import windows
@@ -17,9 +17,11 @@ def test_islands(spark):
     assert sorted((r["first"], r["n"]) for r in blocks.islands(rows, "k", F.col("line") != "").collect()) == [(0, 2), (3, 1)]
 
 
-def test_repair_is_idempotent():
-    once = rewrite._repair("```\na\n# h\nb\n```\nc")
-    assert rewrite._repair(once) == once
+def test_repair_is_idempotent(spark):
+    md = spark.createDataFrame([("```\na\n  # h\nb\n```\nc\n",), ("",), ("x\n ```\n",)], "md string")
+    once = md.select(markdown.repaired(F.col("md")).alias("r")).select("r.*")
+    assert [tuple(r) for r in once.collect()] == [("```\na\n```\n  # h\nb\n```\nc\n```\n", 2), ("", 0), ("x\n ```\n```\n", 1)]
+    assert [r[0]["repairs"] for r in once.select(markdown.repaired(F.col("text"))).collect()] == [0, 0, 0]
 
 
 def test_upsert_keeps_and_replaces(spark):
