@@ -18,6 +18,7 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.5  # of an item's BM25 score with itself
 OVERLAP = 0.6  # share of a part's word n-grams in the document, for the question and for the answer
 GRAM = 5
+RARE = 50  # one item in so many has a rare term at most
 BLOCK = 8  # postings under one block maximum
 LIMIT = 8 << 20  # bytes of items in one broadcast index; more items are searched in several rounds
 
@@ -94,7 +95,7 @@ class Index:
         total = np.cumsum(impact[self.order])
         before = np.concatenate(([0.0], total))[self.by_item[:-1]]
         self.left = 1 - (total - impact[self.order] - before[item[self.order]])
-        self.term = term
+        self.term, self.rare = term, df[term] <= max(2, known.n // RARE)
         self._needed: dict[float, tuple] = {}
         self._lists: dict[int, tuple] = {}
         self._parts: dict[int, list] = {}
@@ -122,10 +123,11 @@ class Index:
         return self._parts[item]
 
     def needed(self, threshold: float) -> tuple[np.ndarray, ...]:
-        """Of each item, its rarest terms without which the others can't give it the threshold: by term,
-        (start, item, impact), and by item what the others can give."""
+        """Of each item, its rarest terms without which the others can't give it the threshold, and all
+        others of few items, which tighten the bound: by term, (start, item, impact), and by item what
+        the rest can give."""
         if threshold not in self._needed:
-            key = self.left >= threshold - 1e-9
+            key = (self.left >= threshold - 1e-9) | self.rare[self.order]
             owner = self.postings.item[self.order]
             rest = 1 - np.bincount(owner[key], self.postings.impact[self.order][key], len(self.ids))
             some = np.sort(self.order[key])
