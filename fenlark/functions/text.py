@@ -1,9 +1,7 @@
-"""Text functions as column expressions: signatures, fences, extraction, classification ladders."""
+"""Column expressions: signatures, keys, cosines, set changes."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,11 +22,6 @@ def example_key(*parts: Column) -> Column:
     return F.substring(F.sha2(F.lower(F.replace(joined, F.lit("\\"), F.lit("/"))), 256), 1, 16)
 
 
-def without_comments(x: Column, block_first: bool = False) -> Column:
-    steps = [("(?m)//[^\n]*", ""), (r"(?s)/\*.*?\*/", "")]
-    return reduce(lambda acc, s: F.regexp_replace(acc, *s), steps[::-1] if block_first else steps, x)
-
-
 def cosine(a: Column, b: Column) -> Column:
     """Cosine in double precision, clipped to 0..1; 0 for empty or zero vectors."""
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)

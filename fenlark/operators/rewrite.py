@@ -56,6 +56,11 @@ def closest(words: list[str], cutoff: float):
     return run
 
 
+@transformer("strip_trailing_space")
+def _strip_trailing(text: str) -> str:
+    return "\n".join(line.rstrip() for line in text.split("\n"))
+
+
 def collapse_blank_lines(x: Column) -> Column:
     return F.regexp_replace(x, "\n{3,}", "\n\n")
 

@@ -5,20 +5,23 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
 
 
-def written(df: DataFrame) -> DataFrame:
-    """df as a table under spark.checkpoint.dir: what is read several times is computed once, and lost executors
-    cost tasks only. A local folder serves where the setting is unset and Spark runs in one process."""
-    spark = df.sparkSession
+def folder(spark: SparkSession) -> str:
+    """A new path under spark.checkpoint.dir. A local one serves where the setting is unset and Spark runs in one process."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = _LOCAL.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="fenlark-"))
-    path = f"{root.rstrip('/')}/fenlark-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/fenlark-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder: what is read several times is computed once, and lost executors cost tasks only."""
+    spark, path = df.sparkSession, folder(df.sparkSession)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -18,9 +18,9 @@ def text_files(spark: SparkSession, folder: str, glob: str = "*.md", exclude: st
     return files.where(~F.col("path").rlike(exclude)) if exclude else files
 
 
-def json_records(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def json_records(spark: SparkSession, path: str, schema: StructType, multi_line: bool = True) -> DataFrame:
     """Strict: a record that breaks the schema fails the job."""
-    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    return spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
 
 
 def inventory(spark: SparkSession, folder: str) -> DataFrame:

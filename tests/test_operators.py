@@ -24,6 +24,26 @@ def test_repair_is_idempotent(spark):
     assert [r[0]["repairs"] for r in once.select(markdown.repaired(F.col("text"))).collect()] == [0, 0, 0]
 
 
+def test_registered_transformers_and_diffs(spark):
+    rewrite.register_all(spark)
+    spark.createDataFrame([("a  \nb\t",), (None,)], "t string").createOrReplaceTempView("t")
+    assert [r[0] for r in spark.sql("select strip_trailing_space(t) from t").collect()] == ["a\nb", None]
+    d = spark.createDataFrame([("x\ny", "x\nz"), ("same", "same"), (None, "new")], "a string, b string")
+    found = [r[0] for r in d.select(rewrite.unified_diff(F.col("a"), F.col("b"))).collect()]
+    assert found[0].split("\n")[2:] == ["@@ -1,2 +1,2 @@", " x", "-y", "+z"] and found[1] == "" and "+new" in found[2]
+    assert d.limit(1).select(rewrite.collapse_blank_lines(F.lit("a\n\n\n\nb"))).first()[0] == "a\n\nb"
+
+
+def test_sessions_and_sliding_windows_of_a_stream(spark, tmp_path):
+    df = _events(spark, str(tmp_path / "e"))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "e"))
+    _drain(windows.sliding(stream, "2 hours", "1 hour"), "slid", "complete")
+    assert sorted(map(tuple, spark.table("slid").collect())) == sorted(map(tuple, windows.sliding(df, "2 hours", "1 hour").collect()))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "e"))
+    _drain(windows.distinct_events(stream.withColumn("k", F.col("event_type")), "k"), "firsts", "append")
+    assert sorted(r["k"] for r in spark.table("firsts").collect()) == ["error", "view"]
+
+
 def test_upsert_keeps_and_replaces(spark):
     old = spark.createDataFrame([(1, "a", 10), (2, "b", 20)], "k int, v string, at int")
     new = spark.createDataFrame([(2, "c", 99), (3, "d", 30)], "k int, v string, at int")
