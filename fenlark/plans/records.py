@@ -503,3 +503,71 @@ def default_usings(spark, sf_dir):
     n = F.when(k == 0, F.array(*map(F.lit, ("System.IO", "Acme.Gone", "Acme.Docs")))).when(k == 1, F.array(F.lit("Newtonsoft.Json"), F.lit("Other"))).otherwise(F.array().cast("array<string>"))
     kept = F.filter(n, lambda z: z.isin("Acme.Docs", "Acme.Codes") | z.rlike("^(?:System|Microsoft|Newtonsoft)"))
     return read(spark, sf_dir, "documents").select("doc_id", kept.alias("kept"))
+
+
+@query("""WITH s AS (SELECT o_custkey % 40 AS run, o_orderkey AS key, o_orderstatus AS status FROM orders), c AS (SELECT run, status, count(*) AS n FROM s GROUP BY 1, 2)
+SELECT s.run, count(*) AS total, sha256(string_agg(CAST(key AS VARCHAR), chr(10) ORDER BY CAST(key AS VARCHAR))) AS selection_hash, (SELECT string_agg(concat(c.status, '=', c.n), ',' ORDER BY c.status) FROM c WHERE c.run = s.run) AS statuses, round((count(*) FILTER (status = 'F') / count(*))::DOUBLE, 4) AS rate FROM s GROUP BY 1""")
+def results_summary(spark, sf_dir):
+    """A run's examples in one line: how many, their selection's hash, their states and the share verified."""
+    o = read(spark, sf_dir, "orders").select((F.col("o_custkey") % 40).alias("run"), F.col("o_orderkey").cast("string").alias("key"), F.col("o_orderstatus").alias("status"))
+    c = o.groupBy("run", "status").agg(F.count("*").alias("n"))
+    told = c.groupBy("run").agg(F.array_sort(F.collect_list(F.struct("status", F.concat_ws("=", "status", F.col("n").cast("string")).alias("s")))).alias("s"))
+    g = o.groupBy("run").agg(F.count("*").alias("total"), F.sha2(F.array_join(F.sort_array(F.collect_list("key")), "\n"), 256).alias("selection_hash"), F.round(F.avg((F.col("status") == "F").cast("double")), 4).alias("rate"))
+    return g.join(told, "run").select("run", "total", "selection_hash", F.array_join(F.transform("s", lambda x: x["s"]), ",").alias("statuses"), "rate")
+
+
+@query("""WITH e AS (SELECT user_id, event_type AS phase, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS done FROM events)
+SELECT phase, count(*) AS n, count(*) FILTER (done IS NULL) AS unfinished, CAST(sum(coalesce(date_diff('millisecond', ts, done), 0)) AS BIGINT) AS total_ms, max(date_diff('millisecond', ts, done)) AS longest_ms FROM e GROUP BY 1""")
+def phase_timing(spark, sf_dir):
+    """How long phases took, those without an end included: a phase ends where the next one of its run begins."""
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    e = read(spark, sf_dir, "events").select(F.col("event_type").alias("phase"), "ts", F.lead("ts").over(w).alias("done"))
+    ms = lambda x: F.unix_millis(x.cast("timestamp"))
+    took = ms(F.col("done")) - ms(F.col("ts"))
+    return e.groupBy("phase").agg(F.count("*").alias("n"), F.count_if(F.col("done").isNull()).alias("unfinished"), F.sum(F.coalesce(took, F.lit(0))).alias("total_ms"), F.max(took).alias("longest_ms"))
+
+
+@query("""WITH v AS (SELECT user_id % 8 AS family, value / 100.0 AS x FROM events), h AS (SELECT family, count(*) FILTER (x < 0.1) AS low, count(*) FILTER (x >= 0.1 AND x < 0.7) AS mid, count(*) FILTER (x >= 0.7 AND x <= 1.0) AS high FROM v GROUP BY 1)
+SELECT v.family, count(*) AS n, round(avg(x)::DOUBLE, 6) AS mean, round(quantile_cont(x, 0.5)::DOUBLE, 6) AS median, round(quantile_cont(x, 0.95)::DOUBLE, 6) AS p95, max(low) AS low, max(mid) AS mid, max(high) AS high FROM v JOIN h ON h.family = v.family GROUP BY 1""")
+def drift_metrics(spark, sf_dir):
+    """Statistics and a coarse histogram of a family's drift in one row."""
+    v = read(spark, sf_dir, "events").select((F.col("user_id") % 8).alias("family"), (F.col("value") / 100.0).alias("x"))
+    x = F.col("x")
+    q = t.quantiles(v, "family", "x", {"median": 0.5, "p95": 0.95})
+    g = v.groupBy("family").agg(F.count("*").alias("n"), F.round(F.avg(x), 6).alias("mean"), F.count_if(x < 0.1).alias("low"), F.count_if((x >= 0.1) & (x < 0.7)).alias("mid"), F.count_if((x >= 0.7) & (x <= 1.0)).alias("high"))
+    return g.join(q, "family").select("family", "n", "mean", F.round("median", 6).alias("median"), F.round("p95", 6).alias("p95"), "low", "mid", "high")
+
+
+@query("""WITH g AS (SELECT page_id AS id, unnest(['main.cs', concat('part', page_id % 3, '.cs')]) AS file, html FROM pages), a AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN concat('part', doc_id % 3, '.cs') ELSE NULL END AS wanted FROM documents)
+SELECT a.doc_id, a.wanted, coalesce(e.file, f.file) AS file, strlen(coalesce(e.html, f.html)) AS bytes, f.id IS NULL AS missing FROM a LEFT JOIN g e ON e.id = a.doc_id AND e.file = a.wanted LEFT JOIN (SELECT id, min(file) AS file, any_value(html) AS html FROM g GROUP BY 1) f ON f.id = a.doc_id""")
+def gist_resolution(spark, sf_dir):
+    """Shared files from a local table of them: the named one, else the first; what isn't there is missing."""
+    p = read(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), F.octet_length("html").alias("bytes"), F.array(F.lit("main.cs"), F.concat(F.lit("part"), (F.col("page_id") % 3).cast("string"), F.lit(".cs"))).alias("files"))
+    k = F.col("doc_id")
+    d = read(spark, sf_dir, "documents").select("doc_id", F.when(k % 2 == 0, F.concat(F.lit("part"), (k % 3).cast("string"), F.lit(".cs"))).alias("wanted")).join(p, "doc_id", "left")
+    named = F.when(F.array_contains("files", F.col("wanted")), F.col("wanted"))
+    return d.select("doc_id", "wanted", F.coalesce(named, F.array_min("files")).alias("file"), F.col("bytes").cast("long").alias("bytes"), F.col("files").isNull().alias("missing"))
+
+
+@query("""SELECT doc_id, concat('repo_', source, '_', lower(regexp_replace(concat('File ', lang, ' ', doc_id), '[^A-Za-z0-9]+', '-', 'g'))) AS id, CASE WHEN doc_id % 3 = 0 THEN 'cs_file' ELSE 'markdown' END AS origin, length(coalesce(text, '')) AS chars FROM documents WHERE coalesce(text, '') <> ''""")
+def vector_bulk_load(spark, sf_dir):
+    """Files as rows of a vector collection: an id from repository, family and stem, and their metadata; empty ones are left out."""
+    text = F.coalesce("text", F.lit(""))
+    stem = F.lower(F.regexp_replace(F.concat(F.lit("File "), "lang", F.lit(" "), F.col("doc_id").cast("string")), "[^A-Za-z0-9]+", "-"))
+    d = read(spark, sf_dir, "documents").where(text != "")
+    return d.select("doc_id", F.concat(F.lit("repo_"), "source", F.lit("_"), stem).alias("id"), F.when(F.col("doc_id") % 3 == 0, "cs_file").otherwise("markdown").alias("origin"), F.length(text).cast("long").alias("chars"))
+
+
+@query("""SELECT key, coalesce(family, overall, fallback) AS value FROM (SELECT n_nationkey AS key, CASE WHEN n_nationkey % 3 = 0 THEN concat('f', n_nationkey) END AS family, CASE WHEN n_nationkey % 2 = 0 THEN concat('g', n_nationkey) END AS overall, 'default' AS fallback FROM nation)""")
+def effective_config(spark, sf_dir):
+    """A setting from the family, else the global one, else the default."""
+    k = F.col("n_nationkey")
+    return read(spark, sf_dir, "nation").select(k.alias("key"), F.coalesce(F.when(k % 3 == 0, F.concat(F.lit("f"), k.cast("string"))), F.when(k % 2 == 0, F.concat(F.lit("g"), k.cast("string"))), F.lit("default")).alias("value"))
+
+
+@query("""SELECT c_custkey, coalesce(nullif(c_name, ''), nullif(c_mktsegment, ''), '') AS current, c_acctbal > 0 AS verified FROM customer WHERE c_custkey % 2 = 0 UNION ALL SELECT c_custkey, coalesce(nullif(CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_name END, ''), c_mktsegment, ''), false FROM customer WHERE c_custkey % 2 = 1""")
+def current_code(spark, sf_dir):
+    """The best version there is of each example; an empty one counts as missing."""
+    k = F.col("c_custkey")
+    first = F.when((k % 2 == 1) & (k % 3 == 0), "").otherwise(F.col("c_name"))
+    return read(spark, sf_dir, "customer").select("c_custkey", F.coalesce(F.nullif(first, F.lit("")), F.nullif("c_mktsegment", F.lit("")), F.lit("")).alias("current"), ((k % 2 == 0) & (F.col("c_acctbal") > 0)).alias("verified"))
