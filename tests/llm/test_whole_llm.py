@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fenlark.llm import decontaminate, licenses, minhash, pii, quality, secrets, suffix_dedup, warc
+from fenlark.llm import decontaminate, licenses, minhash, pieces, pii, quality, secrets, suffix_dedup, warc
 
 
 def test_rounds_share_statistics(spark, monkeypatch):
@@ -336,3 +336,16 @@ def test_stages_against_brute_force(spark):
                 text += (r["text"] or "")[at:start] + f"[{pii.KINDS[rank - 1].upper()}]"
             at = max(at, end)
         assert safe[r["doc_id"]] == (None if r["text"] is None else text + r["text"][at:])
+
+
+def test_long_units_are_encoded_alike(monkeypatch):
+    loaded = pieces.load_pieces()
+    a = pieces.Automaton(loaded)
+    r = random.Random(9)
+    texts = ["".join(r.choice("abcdeéß漢字😀") for _ in range(r.randint(30, 400))) for _ in range(40)] + ["a" * 3000, "漢" * 500, "x" * 40]
+    units = [a.marked(t) for t in texts]
+    ids, at = a.encode(units)
+    monkeypatch.setattr(pieces, "FEW", 0)
+    other, there = a.encode(units)
+    assert ids.tolist() == other.tolist() and at.tolist() == there.tolist()
+    assert [a.decode(ids[i:j].tolist()) for i, j in zip(at[:-1], at[1:], strict=True)] == texts
