@@ -96,11 +96,12 @@ def test_built_words_do_not_collide(spark):
     one, two = b"a", b"b"
     for _ in range(12):
         one, two = one + two, two + one
+    rows = []
     for n in (512, 1024, 2048, 4096):
-        x, y = one[:n].decode(), one[:n].decode().translate(str.maketrans("ab", "ba"))
-        rows = [(1, x), (2, y), (3, f"some words stand before {x} and some after it"), (4, f"some words stand before {y} and some after it")]
-        found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-        assert {r["doc_id"]: r["component_id"] for r in found} == {1: 1, 2: 2, 3: 3, 4: 4}
+        for x in (one[:n].decode(), one[:n].decode().translate(str.maketrans("ab", "ba"))):
+            rows += [(len(rows), x), (len(rows) + 1, f"some words stand before {x} and some after it")]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: i for i, _ in rows}
 
 
 @pytest.mark.parametrize("percent", [80, 85])
