@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 
 def stripped(x: Column) -> Column:
-    """Without white space at either end."""
-    return F.regexp_replace(x, r"^\s+|\s+\z", "")
+    """Without white space at either end; no regular expression, which is slow on whole documents."""
+    return F.btrim(x, F.lit(" \t\n\r\x0b\f"))
 
 
 def signature(code: Column) -> Column:
     """SHA-256 of the stripped code with one kind of line end."""
-    return F.sha2(F.regexp_replace(stripped(code), "\r\n", "\n"), 256)
+    return F.sha2(F.replace(stripped(code), F.lit("\r\n"), F.lit("\n")), 256)
 
 
 def example_key(*parts: Column) -> Column:

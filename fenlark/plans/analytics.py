@@ -247,9 +247,13 @@ def context_status_pivot(spark, sf_dir):
     return read(spark, sf_dir, "orders").groupBy("o_orderpriority").agg(*(F.count_if(s == k).alias(k.lower()) for k in "FOP"))
 
 
-@query("SELECT p_brand, p_type, p_partkey FROM part ORDER BY p_size DESC, p_retailprice, p_partkey LIMIT 20")
+@query("""SELECT p_brand, p_partkey, p_type = 'SMALL' AS has_target FROM part WHERE contains(p_name, 'o') AND p_type <> 'ECONOMY' QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY p_type = 'SMALL' DESC, p_size, p_partkey) = 1""")
 def substitute_ranking(spark, sf_dir):
-    return read(spark, sf_dir, "part").orderBy(F.desc("p_size"), "p_retailprice", "p_partkey").limit(20).select("p_brand", "p_type", "p_partkey")
+    """A substitute for each family: candidates have the keyword and lack what is to be avoided; those with the
+    target first, then the smallest. One min of a struct, no sort."""
+    c = read(spark, sf_dir, "part").where(F.contains("p_name", F.lit("o")) & (F.col("p_type") != "ECONOMY"))
+    best = F.min(F.struct((F.col("p_type") != "SMALL").alias("a"), "p_size", "p_partkey"))
+    return c.groupBy("p_brand").agg(best.alias("b")).select("p_brand", "b.p_partkey", (~F.col("b.a")).alias("has_target"))
 
 
 @query("SELECT event_id, epoch_us(ts) // 1000 AS ms, CAST(floor((epoch(TIMESTAMP '2025-01-01') - epoch(ts)) / 86400) AS BIGINT) AS age_days FROM events")

@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from ..functions import text as x
 from ..operators import blocks, rewrite, tabular
 from ..operators.nearest import nearest
+from ..operators.scratch import written
 from .base import query, read
 
 
-@query(r"SELECT doc_id, sha256(regexp_replace(regexp_replace(text, '^\s+|\s+$', '', 'g'), '\r\n', chr(10), 'g')) AS signature FROM documents")
+_TRIM = "trim(text, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13)))"
+
+
+@query(f"SELECT doc_id, sha256(replace({_TRIM}, concat(chr(13), chr(10)), chr(10))) AS signature FROM documents")
 def content_signature(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", x.signature(F.col("text")).alias("signature"))
 
@@ -21,14 +25,15 @@ def example_key(spark, sf_dir):
     return read(spark, sf_dir, "pages").select("page_id", x.example_key(F.col("url"), F.col("page_id")).alias("key"))
 
 
-@query(r"""
-WITH s AS (SELECT doc_id, source, sha256(regexp_replace(text, '^\s+|\s+$', '', 'g')) AS h FROM documents)
+@query(f"""
+WITH s AS (SELECT doc_id, sha256({_TRIM}) AS h FROM documents)
 SELECT doc_id, h AS signature, n FROM (SELECT *, count(*) OVER (PARTITION BY h) AS n FROM s) WHERE n >= 2
 """)
 def exact_duplicates(spark, sf_dir):
-    """Counts are aggregated before they are joined back, so that a hot signature is not one window partition."""
-    s = read(spark, sf_dir, "documents").select("doc_id", F.sha2(x.stripped(F.col("text")), 256).alias("signature"))
-    return s.join(s.groupBy("signature").agg(F.count("*").alias("n")).where("n >= 2"), "signature").select("doc_id", "signature", "n")
+    """Texts are hashed once; counts are aggregated before they are joined back, so that a hot signature is not one window partition."""
+    s = written(read(spark, sf_dir, "documents").select("doc_id", F.unhex(F.sha2(x.stripped(F.col("text")), 256)).alias("h")))
+    n = s.groupBy("h").agg(F.count("*").alias("n")).where("n >= 2")
+    return s.join(n, "h").select("doc_id", F.lower(F.hex("h")).alias("signature"), "n")
 
 
 _LINES = r"SELECT doc_id, trim(regexp_replace(lower(unnest(string_split(text, chr(10)))), '\s+', ' ', 'g'), ' ') AS line FROM documents"
@@ -69,14 +74,14 @@ def foreign_markers(spark, sf_dir):
 
 @query(r"""
 WITH w AS (SELECT doc_id, list_distinct(regexp_extract_all(text, '[A-Z][a-z]+')) AS s FROM documents), p AS (SELECT a.doc_id, a.s AS before, b.s AS after FROM w a JOIN w b ON b.doc_id = a.doc_id + 1)
-SELECT doc_id, len(list_filter(after, lambda z: NOT list_contains(before, z))) AS added, len(list_filter(before, lambda z: NOT list_contains(after, z))) AS removed FROM p
+SELECT doc_id, list_sort(list_filter(after, lambda z: NOT list_contains(before, z))) AS added, list_sort(list_filter(before, lambda z: NOT list_contains(after, z))) AS removed FROM p
 """)
 def set_difference(spark, sf_dir):
     """Capitalised words that the next document adds and drops; ids are joined, never paired."""
     w = read(spark, sf_dir, "documents").select("doc_id", F.array_distinct(F.regexp_extract_all("text", F.lit(r"[A-Z][a-z]+"), F.lit(0))).alias("s"))
     j = w.withColumnRenamed("s", "before").join(w.select((F.col("doc_id") - 1).alias("doc_id"), F.col("s").alias("after")), "doc_id")
     added, removed = x.set_changes(F.col("before"), F.col("after"))
-    return j.select("doc_id", F.size(added).cast("long").alias("added"), F.size(removed).cast("long").alias("removed"))
+    return j.select("doc_id", added.alias("added"), removed.alias("removed"))
 
 
 @query("""
@@ -114,19 +119,17 @@ def vector_admission(spark, sf_dir):
     return e.groupBy("label", F.when(F.col("label") % 3 == 0, "fixed_examples").otherwise("original_examples").alias("collection")).agg(F.count("*").alias("n"))
 
 
-@query(r"SELECT doc_id, regexp_replace(text, '([A-Z])[a-z]+ing\b', '\1~', 'g') <> text AS applied, length(regexp_replace(text, '([A-Z])[a-z]+ing\b', '\1~', 'g')) AS n FROM documents")
+@query(r"SELECT doc_id, len(regexp_extract_all(text, '([A-Z])[a-z]+ing\b')) AS applied, regexp_replace(text, '([A-Z])[a-z]+ing\b', '\1~', 'g') AS new FROM documents")
 def rewrite_regex(spark, sf_dir):
-    new = rewrite.regex_replace(F.col("text"), r"([A-Z])[a-z]+ing\b", r"\1~")
-    return read(spark, sf_dir, "documents").select("doc_id", (new != F.col("text")).alias("applied"), F.length(new).cast("long").alias("n"))
+    """A learned replacement: the new text and how often it applied."""
+    pattern = r"([A-Z])[a-z]+ing\b"
+    return read(spark, sf_dir, "documents").select("doc_id", F.regexp_count("text", F.lit(pattern)).cast("long").alias("applied"), rewrite.regex_replace(F.col("text"), pattern, r"\1~").alias("new"))
 
 
-@query("""
-WITH h AS (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS links FROM pages)
-SELECT page_id, len(links) AS n, len(list_distinct(links)) AS distinct_links FROM h
-""")
+@query("""SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS links FROM pages""")
 def marker_extraction(spark, sf_dir):
-    links = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))
-    return read(spark, sf_dir, "pages").select("page_id", F.size(links).cast("long").alias("n"), F.size(F.array_distinct(links)).cast("long").alias("distinct_links"))
+    """The links of a page, in order."""
+    return read(spark, sf_dir, "pages").select("page_id", F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1)).alias("links"))
 
 
 @query("""
