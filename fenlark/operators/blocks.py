@@ -17,25 +17,6 @@ def lines(docs: DataFrame, key: str, text: Column) -> DataFrame:
     return docs.select(key, F.posexplode(F.split(text, "\r?\n")).alias("i", "line"))
 
 
-def fenced(rows: DataFrame, key: str) -> DataFrame:
-    """(key, block, language, start, code): closed blocks between lines that start with three back-ticks."""
-    w = Window.partitionBy(key).orderBy("i")
-    fence = F.col("line").startswith("```")
-    at = rows.withColumn("fence", fence).withColumn("n", F.sum(fence.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    inside = at.where((F.col("n") % 2 == 1) | F.col("fence"))
-    block = F.floor((F.col("n") - 1) / 2)
-    body = F.array_sort(F.collect_list(F.when(~F.col("fence"), F.struct("i", "line"))))
-    g = inside.groupBy(key, block.alias("block")).agg(F.count_if("fence").alias("fences"), F.min_by("line", "i").alias("opening"), F.min("i").alias("start"), body.alias("body"))
-    code = F.array_join(F.transform("body", lambda x: x["line"]), "\n")
-    return g.where("fences = 2").select(key, "block", F.lower(F.trim(F.substring("opening", 4, 1000))).alias("language"), "start", code.alias("code"))
-
-
-def heading_before(rows: DataFrame, key: str) -> DataFrame:
-    """rows with the last line above that starts with #."""
-    w = Window.partitionBy(key).orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("heading", F.last(F.when(F.col("line").startswith("#"), F.col("line")), ignorenulls=True).over(w))
-
-
 def islands(rows: DataFrame, key: str, flag: Column) -> DataFrame:
     """(key, first, n): runs of consecutive lines for which flag holds."""
     w = Window.partitionBy(key).orderBy("i")

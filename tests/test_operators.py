@@ -8,8 +8,9 @@ from fenlark.streaming import windows
 
 def test_fences_toggle_and_unclosed_blocks_drop(spark):
     md = "a\n```py\nx = 1\n\ny\n```\n# h\n```\nlost"
-    rows = blocks.lines(spark.createDataFrame([(1, md)], "k int, t string"), "k", F.col("t"))
-    assert [tuple(r) for r in blocks.fenced(rows, "k").collect()] == [(1, 0, "py", 1, "x = 1\n\ny")]
+    found = spark.createDataFrame([(md,)], "t string").select(markdown.blocks(F.col("t")).alias("b")).first()["b"]
+    assert [tuple(b)[:5] for b in found] == [(0, 2, 6, "py", "x = 1\n\ny")]
+    assert spark.createDataFrame([(None,), ("",), ("```",)], "t string").select(F.size(markdown.blocks(F.col("t"))).alias("n")).where("n > 0").count() == 0
 
 
 def test_islands(spark):
