@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import smallest, table, written
+from .common import dropped, smallest, table, written
 
 TABLES = 12
 TRIALS = 128  # queries, those of smallest hash, whose exact neighbours among all rows fit the number of probes
@@ -296,6 +296,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, tables: int = TABL
     large = _split(index, "rb").join(_split(visits, "qb"), ["t", "g"], "full")
     blocks = F.broadcast(large) if large.count() <= SPLIT else large
     rb, qb = (F.coalesce(c, F.lit(1)) for c in ("rb", "qb"))
+    scrap = points, index, visits
     index = index.join(blocks, ["t", "g"], "left").withColumn("i", F.pmod(F.xxhash64("cid"), rb).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), qb - 1)))
     visits = visits.join(blocks, ["t", "g"], "left").withColumn("j", F.pmod(F.xxhash64("qid"), qb).cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), rb - 1)))
     key = ["t", "g", "i", "j"]
@@ -308,7 +309,10 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, tables: int = TABL
     lists = found.join(members, "cid").groupBy("qid").agg(F.slice(F.array_sort(F.flatten(F.collect_list(entry))), 1, k + 1).alias("near"))
     asks = rows.where(F.col("id") % every == 0).join(points.where("asks").select("v", F.col("cid").alias("qid")), "v").select("id", "qid")
     near = asks.join(lists, "qid").select("id", F.slice(F.filter("near", lambda e: e["id"] != F.col("id")), 1, k).alias("near"))
-    return near.select(F.col("id").alias("query_id"), F.posexplode("near").alias("pos", "e")).select("query_id", (F.col("pos") + 1).alias("rank"), F.col("e.id").alias("vec_id"), (-F.col("e.s")).alias("score"))
+    out = near.select(F.col("id").alias("query_id"), F.posexplode("near").alias("pos", "e"))
+    out = written(out.select("query_id", (F.col("pos") + 1).alias("rank"), F.col("e.id").alias("vec_id"), (-F.col("e.s")).alias("score")))
+    dropped(spark, *scrap)
+    return out
 
 
 def _trials(points: DataFrame, k: int):

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fenlark.llm import decontaminate, licenses, minhash, pieces, pii, quality, secrets, suffix_dedup, warc
+from fenlark.llm import ann, decontaminate, licenses, minhash, pieces, pii, quality, secrets, suffix_dedup, warc
 
 
 def test_rounds_share_statistics(spark, monkeypatch):
@@ -350,3 +350,25 @@ def test_long_units_are_encoded_alike(monkeypatch):
     other, there = a.encode(units)
     assert ids.tolist() == other.tolist() and at.tolist() == there.tolist()
     assert [a.decode(ids[i:j].tolist()) for i, j in zip(at[:-1], at[1:], strict=True)] == texts
+
+
+def test_nearest_copes_with_odd_rows(spark):
+    names = "vec_id long, embedding array<float>, v int, id string, asks string, qid int, cid int, t int, score string"
+    row = lambda i, x: (i, x, 1, "a", "b", 2, 3, 4, "c")
+    r = np.random.default_rng(4)
+    v = r.normal(size=(60, 5)).astype(np.float32)
+    v[30:60] = v[0]  # half of all rows are one vector
+    rows = [row(i, x.tolist()) for i, x in enumerate(v)] + [row(7, [9.0] * 5), row(7, [9.0] * 5), row(None, [1.0] * 5), row(61, None), row(62, []), row(63, [1.0, None, 0.0, 0.0, 0.0]), row(64, [float("inf")] * 5), row(65, [0.0] * 5), row(66, [1.0, 2.0])]
+    least = min(v[7].tolist(), [9.0] * 5)
+    v[7] = least
+    found = ann.nearest(spark.createDataFrame(rows, names), k=5, every=20).collect()
+    exact = v.astype(float) @ v.astype(float).T
+    for q in (0, 20, 40):
+        best = sorted((-exact[q, i], i) for i in range(60) if i != q)[:5]
+        got = sorted((x["rank"], x["vec_id"], x["score"]) for x in found if x["query_id"] == q)
+        assert [g[0] for g in got] == [1, 2, 3, 4, 5]
+        assert len({g[1] for g in got} & {i for _, i in best}) >= 4 and all(abs(exact[q, i] - s) < 1e-9 for _, i, s in got)
+        assert [(-s, i) for _, i, s in got] == sorted((-s, i) for _, i, s in got)
+    assert {x["query_id"] for x in found} == {0, 20, 40}
+    assert ann.nearest(spark.createDataFrame([row(61, None), row(0, None)], names)).count() == 0
+    assert ann.nearest(spark.createDataFrame([row(0, [1.0, 2.0])], names)).count() == 0
