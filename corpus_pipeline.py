@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fenlark.llm import decontaminate, minhash, pieces, pii, quality
-from fenlark.llm.common import table, written
+from fenlark.llm.common import dropped, table, written
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,9 +64,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = written(docs)
-    return docs
+    docs, before = table(spark, sf_dir, "documents"), None
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+        if before is not None:
+            dropped(spark, before)  # the stage that read it is done
+        before = docs
+    return STAGES[-1][1](spark, docs, sf_dir)
