@@ -70,6 +70,8 @@ def candidates(text: Column) -> Column:
     has = lambda x: F.contains(text, F.lit(x))
     at = has("(at") | has("( at") | has("[at") | has("[ at") | has(" dot ")
     tests = {"email": has("@"), "ip": text.rlike(r"[0-9]\.[0-9]"), "card": text.rlike(r"[0-9](?:[ -]?[0-9]){12}"), "phone": text.rlike(r"\+[0-9]"), "handle": at, "national": text.rlike("[0-9]-[0-9]{2}-[0-9]"), "contact": text.rlike("[0-9]{3}[ .-][0-9]{4}")}
+    # a name has two capitalised words; few texts pass this on to the list of names
+    tests["person"] = text.rlike(r"\p{Lu}\p{Ll}+\.? \p{Lu}") & text.rlike(PATTERNS["person"])
     out = []
     for rank, kind in enumerate(KINDS, 1):
         found = spans(text, PATTERNS[kind], tests.get(kind))
@@ -144,7 +146,7 @@ def train(docs: DataFrame) -> dict[str, float]:
     Votes and features of all candidates in docs are counted in Spark. Only the counts reach the driver:
     a row for each combination that occurs, of which there are 8 kinds x 3 ** 5 votes x 80 at most.
     """
-    c = docs.select(F.explode(apart(candidates(F.col("text")), True)).alias("s"))
+    c = docs.select(candidates(F.col("text")).alias("c")).where(F.size("c") > 0).select(F.explode(apart(F.col("c"), True)).alias("s"))
     s = F.col("s")
     cols = [s["rank"].alias("rank"), F.array(*votes(s)).alias("votes"), F.array(*features(s)).alias("features")]
     rows = c.select(*cols).groupBy("rank", "votes", "features").count().collect()
@@ -189,13 +191,15 @@ def find_personal(docs: DataFrame, weights: dict[str, float], believed: float =
     no rule stands before it. A null or empty text has no spans, an empty table no rows; repeated rows
     get equal spans. An existing column of that name is replaced.
     """
-    return docs.withColumn("pii_spans", personal(F.col("text"), weights, believed))
+    c = docs.withColumn("pii_spans", candidates(F.col("text")))
+    return c.withColumn("pii_spans", personal(F.col("pii_spans"), weights, believed))
 
 
-def personal(text: Column, weights: dict[str, float], believed: float = BELIEVED) -> Column:
-    """The spans of find_personal as an expression."""
-    found = F.filter(apart(candidates(text)), lambda s: (s["rank"] <= len(BASE)) | (belief(s, weights) >= believed))
-    return F.transform(found, lambda s: F.struct(s["rank"].alias("rank"), s["start"].alias("start"), s["end"].alias("end")))
+def personal(found: Column, weights: dict[str, float], believed: float = BELIEVED) -> Column:
+    """The spans of find_personal from a column of candidates; of texts without any, nothing more is computed."""
+    both = F.filter(apart(found), lambda s: (s["rank"] <= len(BASE)) | (belief(s, weights) >= believed))
+    kept = F.transform(both, lambda s: F.struct(s["rank"].alias("rank"), s["start"].alias("start"), s["end"].alias("end")))
+    return F.when(F.size(found) > 0, kept).otherwise(F.array().cast("array<struct<rank:int,start:int,end:int>>"))
 
 
 def apart(found: Column, failing: bool = False) -> Column:
