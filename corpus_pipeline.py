@@ -44,9 +44,11 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind in brackets; n_chars counts a new text. Null and empty
     texts and all other columns stay as they are."""
     weights, text = pii.train(docs), F.col("text")
-    new = F.element_at(F.transform(F.array(pii.personal(text, weights)), lambda s: F.struct(pii.redacted(text, s).alias("text"), (F.size(s) > 0).alias("hit"))), 1)
     name = "_" + "_".join(docs.columns)  # no column of docs is called that
-    found = docs.withColumn(name, new)
+    held = F.col(f"`{name}`")
+    new = F.element_at(F.transform(F.array(pii.personal(held, weights)), lambda s: F.struct(pii.redacted(text, s).alias("text"), (F.size(s) > 0).alias("hit"))), 1)
+    same = F.struct(text.alias("text"), F.lit(False).alias("hit"))
+    found = docs.withColumn(name, pii.candidates(text)).withColumn(name, F.when(F.size(held) > 0, new).otherwise(same))
     changed = {"text": F.col(f"`{name}`.text"), "n_chars": F.when(F.col(f"`{name}`.hit"), F.length(F.col(f"`{name}`.text")).cast("long")).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None}
     return found.select(*(changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns))
 
