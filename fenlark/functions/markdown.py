@@ -196,14 +196,6 @@ def repaired(md: Column) -> Column:
     return F.aggregate(rows, zero, step, end)
 
 
-def context(rows: Column, at: Column) -> Column:
-    """What stands in the 20 lines above a block: the last heading and up to two paragraphs of 10 characters and more."""
-    window = F.slice(rows, F.greatest(at - 20, F.lit(0)) + 1, F.least(at, F.lit(20)))
-    text = F.array_join(F.transform(window, lambda z: F.when(bare(z).startswith("#") | bare(z).startswith("```"), "").otherwise(bare(z))), "\n")
-    paragraphs = F.filter(F.split(text, "\n\n+"), lambda p: F.length(bare(p)) >= 10)
-    return F.struct(heading_before(rows, at).alias("heading"), F.transform(F.slice(paragraphs, F.greatest(F.size(paragraphs) - 1, F.lit(1)), F.lit(2)), bare).alias("paragraphs"))
-
-
 def strip_links(md: Column) -> Column:
     """Links become their text; mail addresses stay links."""
     return F.regexp_replace(md, r"\[([^\]]+)\]\((?!mailto:)[^)]*\)", "$1")

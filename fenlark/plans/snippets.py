@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import text as x
 from ..operators import tabular as t
 from .base import query, read
 
