@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, decontaminate, licenses, minhash, pieces, pii, quality, secrets, sql, suffix_dedup, warc
+from . import ann, decontaminate, divergence, licenses, minhash, mtree, periodic, pieces, pii, quality, secrets, sql, suffix_dedup, warc
 
 QUERIES = {
     f.__name__: f
@@ -17,7 +17,10 @@ QUERIES = {
         quality.op8_quality_classifier,
         licenses.op9_license_diagonals,
         ann.op10_cross_polytope_ann,
+        mtree.op11_mtree_topk,
+        periodic.op12_periodic_runs,
+        divergence.op13_source_divergence,
     )
 }
 
-ORACLES: dict[str, str] = {"op5_minhash_near_dedup": sql.NEAR_DUPLICATES, "op7_warc": warc.SQL}
+ORACLES: dict[str, str] = {"op5_minhash_near_dedup": sql.NEAR_DUPLICATES, "op7_warc": warc.SQL, "op11_mtree_topk": mtree.SQL, "op13_source_divergence": divergence.SQL}
