@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -10,12 +11,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U, chunks, dropped, mix, prefix_sums, span_hash, table, texts_of, written
+from .common import U, chunks, dropped, prefix_sums, span_hash, table, texts_of, written
 
 SPAN = 100  # bytes of a repeated string
 LEAD = 32  # leading bytes by which suffixes are compared first
 REACH = SPAN - LEAD
-_A, _B = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F)
 CHUNK = 1 << 20
 
 
@@ -52,22 +52,28 @@ def anchors(data: np.ndarray, bounds: np.ndarray, sums: np.ndarray) -> tuple[np.
     return p[new], start[new], start[np.append(new[1:], len(p)) - 1]
 
 
-_ROW = pa.schema([("g", pa.int64()), ("c", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int64())])
-_SQL = "g long, c long, doc_id long, at long"
+_ROW = pa.schema([("g", pa.int64()), ("c", pa.int64()), ("e", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int64())])
+_SQL = "g long, c long, e long, doc_id long, at long"
 _WITH = _ROW.append(pa.field("near", pa.binary()))
 _WITH_SQL = _SQL + ", near binary"
 CROWD = 20_000  # suffixes of equal leading bytes that one task compares in memory; more are compared window by window
 
 
-def _once(g, c, doc, at):
-    """Of rows with equal g and c, the earliest; and which of the others are later ones."""
-    order = np.lexsort((at, doc, c, g))
-    g, c, doc, at = g[order], c[order], doc[order], at[order]
+def _digests(strings: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """BLAKE2b of 128 bits of each string, as two columns: no one can build two strings of one digest."""
+    flat = np.frombuffer(b"".join(hashlib.blake2b(x, digest_size=16).digest() for x in strings), "<i8")
+    return flat[::2], flat[1::2]
+
+
+def _once(g, c, e, doc, at):
+    """Of rows with equal g, c and e, the earliest; and which of the others are later ones."""
+    order = np.lexsort((at, doc, e, c, g))
+    g, c, e, doc, at = g[order], c[order], e[order], doc[order], at[order]
     new = np.ones(len(g), bool)
-    new[1:] = (g[1:] != g[:-1]) | (c[1:] != c[:-1])
+    new[1:] = (g[1:] != g[:-1]) | (c[1:] != c[:-1]) | (e[1:] != e[:-1])
     lead = np.maximum.accumulate(np.where(new, np.arange(len(g)), 0))
     later = (doc != doc[lead]) | (at != at[lead])
-    return g, c, doc, at, new, later
+    return g, c, e, doc, at, new, later
 
 
 def _runs(doc, start, end) -> pa.RecordBatch:
@@ -82,15 +88,15 @@ def _runs(doc, start, end) -> pa.RecordBatch:
         first = np.concatenate(([True], (start + where * gap)[1:] > top[:-1]))
         last = np.append(np.flatnonzero(first)[1:] - 1, len(doc) - 1)
         doc, start, end = doc[first], start[first], (top - where * gap)[last]
-    return pa.RecordBatch.from_arrays([pa.nulls(len(doc), pa.int64()), pa.array(end, pa.int64()), pa.array(doc, pa.int64()), pa.array(start, pa.int64())], schema=_ROW)
+    return pa.RecordBatch.from_arrays([pa.nulls(len(doc), pa.int64()), pa.array(end, pa.int64()), pa.nulls(len(doc), pa.int64()), pa.array(doc, pa.int64()), pa.array(start, pa.int64())], schema=_ROW)
 
 
-def _rows(g, c, doc, at) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (g, c, doc, at)], schema=_ROW)
+def _rows(g, c, e, doc, at) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (g, c, e, doc, at)], schema=_ROW)
 
 
 def _suffixes(batches):
-    """Anchored suffixes: g = 3 leading bytes and a hash of 32, c = hash of the windows that chose it, at = position, left and right reach."""
+    """Anchored suffixes: g = 3 leading bytes and a hash of 32, c and e = digest of the windows that chose it, at = position, left and right reach."""
     for batch in chunks(batches, "text", CHUNK):
         texts = texts_of(batch)
         data, bounds = _flat(texts)
@@ -102,10 +108,11 @@ def _suffixes(batches):
         left, right = p - low, high + SPAN - p
         lead = (data[p].astype(U) << U(16)) | (data[p + 1].astype(U) << U(8)) | data[p + 2].astype(U)
         g = ((lead << U(40)) | (span_hash(sums, p, p + LEAD) & U((1 << 40) - 1))).view(np.int64)
-        c = mix(span_hash(sums, p - left, p + right) + left.astype(U) * _A + right.astype(U) * _B).view(np.int64)
+        whole = data.tobytes()
+        c, e = _digests(bytes((x, y)) + whole[i - x : i + y] for i, x, y in zip(p.tolist(), left.tolist(), right.tolist(), strict=True))
         doc = batch.column("doc_id").to_numpy(zero_copy_only=False)[row]
-        g, c, doc, at, new, later = _once(g, c, doc, ((p - bounds[row]) << 14) | (left << 7) | right)
-        yield _rows(g[new], c[new], doc[new], at[new])
+        g, c, e, doc, at, new, later = _once(g, c, e, doc, ((p - bounds[row]) << 14) | (left << 7) | right)
+        yield _rows(g[new], c[new], e[new], doc[new], at[new])
         yield _runs(doc[later], *_reach(at[later]))
 
 
@@ -117,18 +124,18 @@ def _classes(batches):
     """Sorted suffixes in; out come the runs that an earlier equal surrounding covers, and of each
     group of equal leading bytes but different surroundings the earliest of each (c null)."""
     group = held = None  # the last row's g; its group's only class so far
-    first = None  # (g, c, doc, at) of the class at the end of the last batch
+    first = None  # (g, c, e, doc, at) of the class at the end of the last batch
     for batch in batches:
-        g, c, doc, at = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        g, c, e, doc, at = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
         n = len(g)
         if not n:
             continue
         new = np.ones(n, bool)
-        new[1:] = (g[1:] != g[:-1]) | (c[1:] != c[:-1])
+        new[1:] = (g[1:] != g[:-1]) | (c[1:] != c[:-1]) | (e[1:] != e[:-1])
         if first is not None:
-            new[0] = (g[0], c[0]) != first[:2]
+            new[0] = (g[0], c[0], e[0]) != first[:3]
         lead = np.maximum.accumulate(np.where(new, np.arange(n), -1))
-        ldoc, lat = np.where(lead < 0, first[2] if first else 0, doc[lead]), np.where(lead < 0, first[3] if first else 0, at[lead])
+        ldoc, lat = np.where(lead < 0, first[3] if first else 0, doc[lead]), np.where(lead < 0, first[4] if first else 0, at[lead])
         later = (doc != ldoc) | (at != lat)
         heads = np.flatnonzero(new)
         hg = g[heads]
@@ -141,24 +148,24 @@ def _classes(batches):
         many[:-1] |= same[1:]
         out = heads[many]
         if joins and held is not None:
-            yield _rows([held[0]], [None], [held[2]], [held[3]])
+            yield _rows([held[0]], [None], [None], [held[3]], [held[4]])
         if len(out):
-            yield _rows(g[out], [None] * len(out), doc[out], at[out])
+            yield _rows(g[out], [None] * len(out), [None] * len(out), doc[out], at[out])
         if later.any():
             yield _runs(doc[later], *_reach(at[later]))
         if len(heads):
             i = heads[-1]
-            first = (g[i], c[i], doc[i], at[i])
+            first = (g[i], c[i], e[i], doc[i], at[i])
             held = None if many[-1] else first
         group = g[-1]
 
 
-def _spread(h, p, at, sums):
-    """The windows of anchors at p: which anchor, start, g (anchor and offset), c (hash, if sums are given)."""
+def _spread(p, at):
+    """The windows of anchors at p: which anchor, start, and how far before the anchor they begin."""
     left, size = at >> 7 & 127, (at >> 7 & 127) + (at & 127) - SPAN + 1
     which = np.repeat(np.arange(len(p)), size)
     s = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size) + (p - left)[which]
-    return which, s, mix(h[which].view(U) + (p[which] - s).astype(U) * _A).view(np.int64), None if sums is None else span_hash(sums, s, s + SPAN).view(np.int64)
+    return which, s, p[which] - s
 
 
 def _plus(rows: pa.RecordBatch, near=None) -> pa.RecordBatch:
@@ -168,7 +175,7 @@ def _plus(rows: pa.RecordBatch, near=None) -> pa.RecordBatch:
 
 def _surroundings(batches):
     """For documents with listed anchors: the bytes of the windows at each (near), or, where very many
-    suffixes share their leading bytes, a row a window: g = anchor and offset, c = its hash, at = start."""
+    suffixes share their leading bytes, a row a window: g and c = its digest, at = start."""
     for batch in chunks(batches, "text", CHUNK):
         texts = texts_of(batch)
         data, bounds = _flat(texts)
@@ -183,13 +190,16 @@ def _surroundings(batches):
         if len(few):
             low, high = _reach(at[few])
             near = [texts[i][a:b] for i, a, b in zip(row[few].tolist(), low.tolist(), high.tolist(), strict=True)]
-            yield _plus(_rows(h[few], np.zeros(len(few), np.int64), ids[row[few]], at[few]), near)
+            zero = np.zeros(len(few), np.int64)
+            yield _plus(_rows(h[few], zero, zero, ids[row[few]], at[few]), near)
         many = np.flatnonzero(crowded)
         if len(many):
             row = row[many]
-            which, s, g, c = _spread(h[many], (at[many] >> 14) + bounds[row], at[many], prefix_sums(data))
-            g, c, doc, at, new, later = _once(g, c, ids[row[which]], s - bounds[row[which]])
-            yield _plus(_rows(g[new], c[new], doc[new], at[new]))
+            which, s, _ = _spread((at[many] >> 14) + bounds[row], at[many])
+            whole = data.tobytes()
+            g, c = _digests(whole[i : i + SPAN] for i in s.tolist())
+            g, c, e, doc, at, new, later = _once(g, c, np.zeros(len(g), np.int64), ids[row[which]], s - bounds[row[which]])
+            yield _plus(_rows(g[new], c[new], e[new], doc[new], at[new]))
             yield _plus(_runs(doc[later], at[later], at[later] + SPAN))
 
 
@@ -213,13 +223,16 @@ def multikey(data: np.ndarray, start: np.ndarray, tag: np.ndarray, size: int = S
 
 def _compared(rows: pa.Table) -> pa.RecordBatch:
     """Whole groups of anchors with their bytes in; the runs that earlier equal windows cover out. Bytes decide, no hash does."""
-    g, _, doc, at = (rows.column(i).to_numpy() for i in range(4))
-    near = rows.column(4).to_pylist()
+    g, doc, at = (rows.column(k).to_numpy() for k in ("g", "doc_id", "at"))
+    near = rows.column("near").to_pylist()
     data, bounds = _flat(near)
-    which, s, tag, _ = _spread(g, bounds[:-1] + (at >> 7 & 127), at, None)
+    which, s, back = _spread(bounds[:-1] + (at >> 7 & 127), at)
     start = (at >> 14) - (at >> 7 & 127)
+    # equal windows lie alike about their anchors
+    tag = np.unique(g, return_inverse=True)[1][which] * SPAN + back
     c = multikey(data, s, tag)
-    _, _, doc, at, _, later = _once(c, np.zeros(len(c), np.int64), doc[which], s - bounds[which] + start[which])
+    zero = np.zeros(len(c), np.int64)
+    _, _, _, doc, at, _, later = _once(c, zero, zero, doc[which], s - bounds[which] + start[which])
     return _runs(doc[later], at[later], at[later] + SPAN)
 
 
@@ -229,7 +242,7 @@ def _repeats(batches):
     for batch in batches:
         known = pc.is_null(batch.column("g"))
         if pc.any(known).as_py():
-            yield batch.filter(known).select(["g", "c", "doc_id", "at"])
+            yield batch.filter(known).select(_ROW.names)
             batch = batch.filter(pc.invert(known))
         listed = pc.is_valid(batch.column("near"))
         groups = batch.filter(listed)
@@ -242,7 +255,7 @@ def _repeats(batches):
                 if whole.num_rows:
                     yield _compared(whole)
         batch = batch.filter(pc.invert(listed))
-        g, c, doc, at = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        g, c, doc, at = (batch.column(k).to_numpy(zero_copy_only=False) for k in ("g", "c", "doc_id", "at"))
         n = len(g)
         if not n:
             continue
@@ -295,9 +308,9 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     A byte goes if a 100-byte string that covers it also starts earlier (smaller doc_id, or earlier in
     the same document), judged on the input. Suffixes at content-chosen anchors are range-partitioned by
     sampled splitters of their leading bytes and sorted within partitions; suffixes of equal leading
-    bytes and equal surroundings repeat the earliest one wholly. Where surroundings differ, the 100-byte
-    windows around the anchor are compared in a second sort, as a group in one task or, for crowded
-    leading bytes, a row a window. Rows with equal keys collapse within each
+    bytes and equal surroundings (told by digests of 128 bits) repeat the earliest one wholly. Where surroundings
+    differ, the 100-byte windows around the anchor are compared by their bytes in a second sort, as a group in one
+    task or, for crowded leading bytes, by their digests, a row a window. Rows with equal keys collapse within each
     chunk of input first, so that copies don't pile up in one task, and sorted streams need no group in
     memory.
 
@@ -311,7 +324,7 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     named = docs.where("doc_id is not null")
     live = named if odd.isEmpty() else named.join(odd, "doc_id", "left_anti")
     suffixes = written(live.mapInArrow(_suffixes, _SQL))
-    ranged = suffixes.where("g is not null").repartitionByRange("g").sortWithinPartitions("g", "c", "doc_id", "at")
+    ranged = suffixes.where("g is not null").repartitionByRange("g").sortWithinPartitions("g", "c", "e", "doc_id", "at")
     # rows without g are runs found so far
     second = written(suffixes.where("g is null").unionByName(ranged.mapInArrow(_classes, _SQL)))
     dropped(spark, suffixes)
