@@ -104,7 +104,8 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def prefix_sums(data: np.ndarray) -> np.ndarray:
     """s with s[i] the polynomial hash of data[:i]; span_hash reads spans off it.
 
-    For windows of a few hundred bytes only: modulo 2**64, built strings of 512 bytes and more can collide.
+    It is linear in the bytes, so that spans of equal hash are easily built: it may choose places and
+    gather candidates, but never decide what is equal.
     """
     out = np.zeros(len(data) + 1, U)
     np.cumsum((data.astype(U) + U(1)) * powers(len(data))[0], out=out[1:], dtype=U)
@@ -128,8 +129,8 @@ _SALT = 0x9E3779B97F4A7C15
 
 def hashed_spans(buffer: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hashes of the bytes start:end. Every step is mixed, so that no arithmetic of the bytes
-    survives in a hash: spans of up to eight bytes and equal length never collide, longer ones by chance
-    only. Those over _LONG bytes go through xxh3."""
+    survives in a hash: spans of up to eight bytes and equal length never collide. Longer ones do by chance,
+    or where somebody solves for it. Those over _LONG bytes go through xxh3."""
     size = end - start
     eight = np.ndarray((len(buffer) + 1,), "<u8", buffer + bytes(8), 0, (1,))
     out = mix(size.astype(U) * U(0xD6E8FEB86659FD93) + U(_SALT))
@@ -162,23 +163,3 @@ def words(texts: list[bytes], breaks: np.ndarray = _SPACE, heads: int = 0) -> tu
     if heads:
         return found, bounds, hashed_spans(joined, start, np.minimum(start + heads, end))
     return found, bounds
-
-
-def shingles(texts: list[bytes], k: int = 5) -> list[np.ndarray]:
-    """Each text's sorted distinct k-word shingle hashes; under k words, the whole sequence as one; none without words."""
-    w, first = words(texts)
-    grams = w.copy()
-    for j in range(1, min(k, len(w))):
-        grams[: len(w) - j] = mix(grams[: len(w) - j] * U(0xD6E8FEB86659FD93) + w[j:])
-    out = []
-    for a, b in zip(first[:-1], first[1:], strict=True):
-        if b - a >= k:
-            out.append(np.unique(grams[a : b - k + 1]))
-        elif b > a:
-            acc = U(b - a) + w[a : a + 1]
-            for j in range(a + 1, b):
-                acc = mix(acc * U(0xA0761D6478BD642F) + w[j : j + 1])
-            out.append(acc)
-        else:
-            out.append(np.zeros(0, U))
-    return out

@@ -372,3 +372,47 @@ def test_nearest_copes_with_odd_rows(spark):
     assert {x["query_id"] for x in found} == {0, 20, 40}
     assert ann.nearest(spark.createDataFrame([row(61, None), row(0, None)], names)).count() == 0
     assert ann.nearest(spark.createDataFrame([row(0, [1.0, 2.0])], names)).count() == 0
+
+
+def test_built_hash_collisions_link_nothing(spark):
+    """Words whose mixed 64-bit hashes are equal: pairs solved for, in texts of one and of six words."""
+    a, b = "ieqh524yng5by1a2", "wtxfwpfrwj9?|oa."
+    one = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")).collect()}
+    assert one == {1: 1, 2: 2}
+    six = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark.createDataFrame([(1, a + " t u v w"), (2, b + " t u v w")], "doc_id long, text string")).collect()}
+    assert six == {1: 1, 2: 2}
+
+
+def test_links_need_no_hash(spark, monkeypatch):
+    """Were every word to hash alike, candidates would be many and the links still those of the words."""
+    monkeypatch.setattr(minhash.xxhash, "xxh3_64_intdigest", lambda x, seed=0: 7)
+    for size in (16, 24, 40):
+        x = [("ab" * size)[:size - 1] + c for c in "xyz"]
+        assert minhash.in_common(f"{x[0]} b c d e f".encode(), f"{x[1]} b c d e f".encode(), 5) == 1
+        assert len(minhash.shingled([minhash.normal(f"{x[0]} b c d e {x[1]} b c d e {x[2]}".encode())], 5, 1)[0]) == 7
+    # rows are told apart by words where hashes can't
+    sets = minhash.shingled([t.encode().split() for t in ("a b c d e f", "a b c d e g", "a b c d e f a b c d e f")], 5, 3)
+    assert [len(s) for s in sets] == [2, 2, 6]
+
+
+def test_grams_of_many_words_are_told_apart():
+    r = np.random.default_rng(1)
+    ids = r.integers(0, 300_000, 5000)
+    ids[2500:2600] = ids[100:200]
+    got, words = minhash.grams(ids, 5), [tuple(ids[i : i + 5].tolist()) for i in range(4996)]
+    of = {}
+    assert all(of.setdefault(w, g) == g for w, g in zip(words, got.tolist(), strict=True)) and len(set(of.values())) == len(of) == len(set(words))
+
+
+@pytest.mark.parametrize("crowd", [suffix_dedup.CROWD, 1])
+def test_windows_of_equal_polynomial_hash_stay(spark, monkeypatch, crowd):
+    """Texts that share no 100-byte string, built to have equal polynomial hashes, lose nothing."""
+    monkeypatch.setattr(suffix_dedup, "CROWD", crowd)
+    head, tail = "unbxjegbjccjjxfnsiearbs gsof ywtqbmgldgsvnsgpdvmjqpaktmjafgkzszekngivd", "yxeaaataaaazta mrl vrpyrhcxbceffrgiyktq ilkkdjhtywpesrydkbncmze ekdtszmcsrhsciljsrdo"
+    one, two = head + "qfazatahal" + tail, ""
+    middle = one[len(head) :][:24]
+    two = head + "aamajatawaaaaztsahuvvaaq" + one[len(head) + len(middle) :]
+    grams = lambda t: {t[i : i + 100] for i in range(len(t) - 99)}
+    assert len(one) == len(two) == 164 and not grams(one) & grams(two)
+    rows = suffix_dedup.remove_repeats(spark.createDataFrame([(1, one), (2, two), (3, one)], "doc_id long, text string"), False).collect()
+    assert {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in rows} == {1: (0, 0), 2: (0, 0), 3: (164, 1)}
