@@ -17,9 +17,11 @@ CELL = 8192  # rows of a subtree at which the number of subtrees grows with the
 BLOCK = 20_000  # rows of a subtree, or queries that visit it, in one task; larger ones are dealt in blocks
 PAGE = 256  # entries of a leaf
 FAN = 32  # entries of an inner page
+ASKED = 256  # queries that go through a tree together
 SPLIT = 100_000  # rows of the table of split subtrees up to which it is broadcast
 _EXACT = float(1 << 53)  # sums of whole numbers below are exact in double precision
 _MOST = (1 << 63) - 1
+_NONE = _MOST  # the number of a row that isn't there; it loses all ties
 
 
 def _dense(lists: pa.Array) -> np.ndarray:
@@ -62,9 +64,14 @@ class Space:
             return out
         return np.array([min(max(v, -_MOST), _MOST) for v in out.ravel()], np.int64).reshape(out.shape)
 
-    def distance_of(self, score, square: float) -> float:
-        """The distance of rows of that score from a query whose components' squares sum up to `square`."""
-        return float(np.sqrt(max(0.0, square + self.top - 2.0 * float(score)))) + self.slack * 2
+    def limits(self, score: np.ndarray, found: np.ndarray, square: np.ndarray) -> np.ndarray:
+        """Distances beyond which rows score less than `score`, of queries whose components' squares sum up to `square`; none where nothing is found yet."""
+        d = np.sqrt(np.maximum(0.0, square + self.top - 2.0 * score.astype(np.float64))) + 2 * self.slack
+        return np.where(found, d, np.inf)
+
+    def unknown(self, queries: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Scores and numbers of the k best rows of queries that know none."""
+        return np.full((queries, k), *((-np.inf, np.float64) if self.kind is np.float64 else (-_MOST, np.int64))), np.full((queries, k), _NONE, np.int64)
 
     @staticmethod
     def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -81,10 +88,10 @@ _PAGE_SQL = "cell int, i int, page int, leaf boolean, child array<long>, v binar
 
 
 def _routed(z: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Which of FAN sampled routing objects each point is nearest to; even parts where they can't tell."""
-    take = rng.choice(len(z), min(len(z), FAN), replace=False)
+    """Which of up to FAN sampled routing objects each point is nearest to; even parts where they can't tell."""
+    take = rng.choice(len(z), min(FAN, max(2, -(-2 * len(z) // PAGE))), replace=False)
     of = Space.distances(z, z[take]).argmin(1)
-    return of if np.bincount(of).max() < len(z) else np.arange(len(z)) * FAN // len(z)
+    return of if np.bincount(of).max() < len(z) else np.arange(len(z)) * len(take) // len(z)
 
 
 def paged(cid: np.ndarray, x: np.ndarray, space: Space, centre: np.ndarray, seed: int = 7) -> list[tuple]:
@@ -129,57 +136,68 @@ def opened(pages: list[tuple], space: Space, dim: int) -> dict[int, tuple]:
     return out
 
 
-def searched(tree: dict[int, tuple], space: Space, q: np.ndarray, k: int, known: list, seen: Counter | None = None) -> list[tuple]:
-    """The k best (score, -cid) of a tree and of `known` (as such pairs, a heap of at most k), for a query of whole numbers.
-
-    Pages wait in the order of their least possible distance. Entries whose stored distance to the page's
-    routing object puts them beyond the k-th best (triangle inequality) are left out without a
-    computation; so are pages whose radius does. Equal scores may still win by their number, so only what
-    is farther goes. seen counts the pages and the distances computed.
+def _merged(rows, score, cid, best: np.ndarray, ids: np.ndarray) -> None:
+    """Takes (row, score, cid) into the rows' k best, ties to the smaller cid; what is there already counts once."""
+    k, old = best.shape[1], np.unique(rows)
+    rows = np.concatenate((np.repeat(old, k), rows))
+    score, cid = np.concatenate((best[old].ravel(), score)), np.concatenate((ids[old].ravel(), cid))
+    order = np.lexsort((cid, -score, rows))
+    rows, score, cid = rows[order], score[order], cid[order]
+    new = np.concatenate(([True], (rows[1:] != rows[:-1]) | (cid[1:] != cid[:-1]) | (cid[1:] == _NONE)))
+    rows, score, cid = rows[new], score[new], cid[new]
+    place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+    keep = place < k
+    best[rows[keep], place[keep]], ids[rows[keep], place[keep]] = score[keep], cid[keep]
+
+
+def searched(tree: dict[int, tuple], space: Space, q: np.ndarray, best: np.ndarray, ids: np.ndarray, seen: Counter | None = None) -> None:
+    """Brings the k best rows of each query (best: scores, descending; ids: their numbers) up to what the tree holds.
+
+    Pages wait in the order of the least distance that they can have to a query that wants them. Entries
+    whose stored distance to the page's routing object puts them beyond a query's k-th best (triangle
+    inequality) are left out without a computation; so are pages whose radius does. Equal scores may still
+    win by their number, so only what is farther goes. seen counts pages, their entries and the distances
+    computed, each for every query.
     """
-    exact, z = space.exact(q), np.append(q.astype(np.float64), 0.0)
-    square = float(z @ z)
-    best = list(known)
-    heapq.heapify(best)
-    limit = space.distance_of(best[0][0], square) if len(best) >= k else np.inf
-    waiting = [(0.0, 0, None)]
+    exact, z = space.exact(q), space.queries(q)
+    square = (z * z).sum(1)
+    limit = space.limits(best[:, -1], ids[:, -1] != _NONE, square)
+    every = np.arange(len(q))
+    waiting = [(0.0, 0, every, np.zeros(len(q)), None)]
     while waiting:
-        least, page, own = heapq.heappop(waiting)
-        if least > limit:
+        least, page, rows, low, own = heapq.heappop(waiting)
+        if least > limit.max():
             break
+        wanted = low <= limit[rows]
+        rows = rows[wanted]
+        if not len(rows):
+            continue
         leaf, child, vectors, radius, up, lengths = tree[page]
-        near = np.arange(len(child)) if own is None else np.flatnonzero(np.abs(own - up) - radius <= limit)
+        cols = np.arange(len(child))
+        if own is not None:
+            near = np.abs(own[wanted][:, None] - up[None, :]) - radius[None, :] <= limit[rows][:, None]
+            cols, rows = np.flatnonzero(near.any(0)), rows[near.any(1)]
         if seen is not None:
-            seen["pages"] += 1
-            seen["computed"] += len(near)
-            seen["entries"] += len(child)
-        if not len(near):
+            seen.update(pages=len(rows), entries=len(rows) * len(child), computed=len(rows) * len(cols))
+        if not len(cols):
             continue
+        part = vectors if len(cols) == len(child) else vectors[cols]
         if leaf:
-            score = space.scores(vectors[near], exact)
-            if len(best) >= k:
-                some = np.flatnonzero(score >= best[0][0])
-            else:
-                some = np.arange(len(near))
-            if len(some) > k:
-                cut = np.sort(score[some])[-k]
-                some = some[score[some] >= cut]
-            for s, c in zip(score[some].tolist(), child[near[some]].tolist(), strict=True):
-                entry = (int(s), -c)
-                if len(best) < k:
-                    if entry not in best:
-                        heapq.heappush(best, entry)
-                elif entry > best[0] and entry not in best:
-                    heapq.heapreplace(best, entry)
-            if len(best) >= k:
-                limit = space.distance_of(best[0][0], square)
+            score, k = space.scores(exact[rows], part.T), best.shape[1]
+            floor = best[rows, -1]
+            if len(cols) > k:
+                floor = np.maximum(floor, np.partition(score, -k, axis=1)[:, -k])
+            r, c = np.nonzero(score >= floor[:, None])
+            if len(r):
+                _merged(rows[r], score[r, c], child[cols[c]], best, ids)
+                limit[rows] = space.limits(best[rows, -1], ids[rows, -1] != _NONE, square[rows])
         else:
-            d = np.sqrt(np.maximum(0.0, square + lengths[near] - 2.0 * (vectors[near] @ z)))
-            low = np.maximum(0.0, d - radius[near] - space.slack)
-            for bound, c, distance in zip(low.tolist(), child[near].tolist(), d.tolist(), strict=True):
-                if bound <= limit:
-                    heapq.heappush(waiting, (bound, c, distance))
-    return sorted(best, reverse=True)
+            d = np.sqrt(np.maximum(0.0, square[rows][:, None] + lengths[cols][None, :] - 2.0 * (z[rows] @ part.T)))
+            low = np.maximum(0.0, d - radius[cols][None, :] - space.slack)
+            near = low <= limit[rows][:, None]
+            for j in np.flatnonzero(near.any(0)).tolist():
+                ask = near[:, j]
+                heapq.heappush(waiting, (float(low[ask, j].min()), int(child[cols[j]]), rows[ask], low[ask, j], d[ask, j]))
 
 
 # jobs
@@ -232,13 +250,23 @@ def _pages(centres, space: Space):
 
 
 _VISIT = "qid long, v array<long>, cell int, known array<struct<s:long,c:long>>"
+_KNOWN = pa.list_(pa.struct([("s", pa.int64()), ("c", pa.int64())]))
+
+
+def _known(lists: list, space: Space, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of {s, c} as arrays of scores and numbers."""
+    best, ids = space.unknown(len(lists), k)
+    rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    if len(rows):
+        _merged(rows, np.array([e["s"] for x in lists for e in x], best.dtype), np.array([e["c"] for x in lists for e in x], np.int64), best, ids)
+    return best, ids
 
 
 def _visits(top, space: Space, k: int, nearest: bool):
     """The subtrees that each query must visit, by their radii and the k-th best score it knows: the nearest one, or all others."""
 
     def run(batches):
-        ids, x, o, radius, live = top.value
+        cids, x, o, radius, live = top.value
         exact = space.exact(x)
         for batch in batches:
             for low in range(0, batch.num_rows, 512):
@@ -248,42 +276,45 @@ def _visits(top, space: Space, k: int, nearest: bool):
                 d = np.where(live[None, :], Space.distances(z, o), np.inf)
                 first = d.argmin(1)
                 if nearest:
-                    # the routing objects are rows themselves: their k best scores are known at once
+                    # the routing objects are rows themselves: what they score is known at once
+                    best, ids = space.unknown(len(q), k)
                     score = space.scores(space.exact(q), exact.T)
-                    known = [[{"s": int(score[r, c]), "c": int(ids[c])} for c in sorted(_largest(score[r], ids, k))] for r in range(len(q))]
+                    floor = np.partition(score, -min(k, len(cids)), axis=1)[:, -min(k, len(cids))]
+                    r, c = np.nonzero(score >= floor[:, None])
+                    _merged(r, score[r, c], cids[c], best, ids)
+                    known = [[{"s": int(s), "c": int(i)} for s, i in zip(*p, strict=True) if i != _NONE] for p in zip(best.tolist(), ids.tolist(), strict=True)]
                     rows, cells = np.arange(len(q)), first
                 else:
                     known = part.column("known").to_pylist()
-                    limit = np.array([space.distance_of(min(e["s"] for e in e_), float(zz @ zz)) if len(e_) >= k else np.inf for e_, zz in zip(known, z, strict=True)])
-                    far = d - radius[None, :] <= limit[:, None]
+                    best, ids = _known(known, space, k)
+                    limit = space.limits(best[:, -1], ids[:, -1] != _NONE, (z * z).sum(1))
+                    far = (d - radius[None, :] <= limit[:, None]) & live[None, :]
                     far[np.arange(len(q)), first] = False
-                    rows, cells = np.nonzero(far & live[None, :])
-                yield pa.RecordBatch.from_arrays([part.column("qid").take(pa.array(rows)), part.column("v").take(pa.array(rows)), pa.array(cells, pa.int32()), pa.array([known[r] for r in rows], pa.list_(pa.struct([("s", pa.int64()), ("c", pa.int64())])))], names=["qid", "v", "cell", "known"])
+                    rows, cells = np.nonzero(far)
+                yield pa.RecordBatch.from_arrays([part.column("qid").take(pa.array(rows)), part.column("v").take(pa.array(rows)), pa.array(cells, pa.int32()), pa.array([known[r] for r in rows], _KNOWN)], names=["qid", "v", "cell", "known"])
 
     return run
 
 
-def _largest(score: np.ndarray, ids: np.ndarray, k: int) -> list[int]:
-    """Places of the k largest scores, ties to the smaller id."""
-    if len(score) > 4 * k:
-        some = np.flatnonzero(score >= np.partition(score, -k)[-k])
-    else:
-        some = np.arange(len(score))
-    return sorted(some.tolist(), key=lambda c: (-score[c], ids[c]))[:k]
-
-
 _FOUND = pa.schema([("qid", pa.int64()), ("cid", pa.int64()), ("score", pa.int64())])
 
 
 def _answers(space: Space, k: int, dim: int):
     def run(pages: pa.Table, queries: pa.Table) -> pa.Table:
-        out: list[tuple] = []
+        out = [(np.zeros(0, np.int64),) * 3]
         if pages.num_rows and queries.num_rows:
             cols = [pages.column(c).to_pylist() for c in ("page", "leaf", "child", "v", "radius", "up")]
             tree = opened(list(zip(*cols, strict=True)), space, dim)
-            for qid, q, known in zip(queries.column("qid").to_pylist(), _dense(queries.column("v")), queries.column("known").to_pylist(), strict=True):
-                out += ((qid, -c, s) for s, c in searched(tree, space, q, k, [(e["s"], -e["c"]) for e in known]))
-        return pa.Table.from_arrays([pa.array([r[j] for r in out], pa.int64()) for j in range(3)], schema=_FOUND)
+            qid, q = queries.column("qid").to_numpy(), _dense(queries.column("v"))
+            # queries alike go together: in the order of their distance to the tree's routing object
+            order = np.argsort(Space.distances(space.queries(q), tree[0][2])[:, 0], kind="stable")
+            for low in range(0, len(q), ASKED):
+                some = order[low : low + ASKED]
+                best, ids = _known(queries.column("known").take(pa.array(some)).to_pylist(), space, k)
+                searched(tree, space, q[some], best, ids)
+                r, c = np.nonzero(ids != _NONE)
+                out.append((qid[some[r]], ids[r, c], best[r, c].astype(np.int64)))
+        return pa.Table.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], schema=_FOUND)
 
     return run
 

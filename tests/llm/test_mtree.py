@@ -78,9 +78,11 @@ def test_stored_bounds_save_computations():
     tree = mtree.opened(mtree.paged(np.arange(5000), x, space, space.rows(x[:1])[0]), space, 4)
     leaves = [p for p in tree.values() if p[0]]
     assert sorted(c for p in leaves for c in p[1].tolist()) == list(range(5000)) and max(len(p[1]) for p in leaves) <= mtree.PAGE
-    seen = Counter()
-    for q in range(0, 5000, 50):
-        got = mtree.searched(tree, space, x[q], 6, [], seen)
-        score = x @ x[q]
-        assert got == sorted(((int(s), -i) for i, s in enumerate(score)), reverse=True)[:6]
+    seen, asked = Counter(), np.arange(0, 5000, 50)
+    for some in np.array_split(asked, 100):
+        best, ids = space.unknown(len(some), 6)
+        mtree.searched(tree, space, x[some], best, ids, seen)
+        for q, s, c in zip(some, best, ids, strict=True):
+            want = sorted((-int(v), i) for i, v in enumerate(x @ x[q]))[:6]
+            assert [(-int(v), int(i)) for v, i in zip(s, c, strict=True)] == want
     assert seen["computed"] < 0.5 * seen["entries"] and seen["entries"] < 0.5 * 100 * 5000
