@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import difflib
 import re
 from collections.abc import Callable
 
@@ -42,20 +41,6 @@ def regex_replace(x: Column, pattern: str, replacement: str) -> Column:
     return F.regexp_replace(x, pattern, re.sub(r"\\(\d)", r"$\1", replacement.replace("$", r"\$")))
 
 
-def closest(words: list[str], cutoff: float):
-    """A function from a name to (score, word) of the most alike of words, by difflib's ratio; null under the cutoff. The larger word wins a tie."""
-
-    @pandas_udf("score double, word string")
-    def run(s: pd.Series) -> pd.DataFrame:
-        known = {}
-        for w in s.dropna().unique():
-            best = (difflib.get_close_matches(w, words, 1, cutoff) or [None])[0]
-            known[w] = (None, None) if best is None else (difflib.SequenceMatcher(None, best, w).ratio(), best)
-        return pd.DataFrame([known.get(w, (None, None)) for w in s], columns=["score", "word"])
-
-    return run
-
-
 @transformer("strip_trailing_space")
 def _strip_trailing(text: str) -> str:
     return "\n".join(line.rstrip() for line in text.split("\n"))
@@ -63,12 +48,3 @@ def _strip_trailing(text: str) -> str:
 
 def collapse_blank_lines(x: Column) -> Column:
     return F.regexp_replace(x, "\n{3,}", "\n\n")
-
-
-def unified_diff(before: Column, after: Column) -> Column:
-    @pandas_udf("string")
-    def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        pairs = zip(a.fillna(""), b.fillna(""), strict=True)
-        return pd.Series(["\n".join(difflib.unified_diff(p.split("\n"), q.split("\n"), lineterm="")) for p, q in pairs])
-
-    return run(before, after)

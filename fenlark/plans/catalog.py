@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import analytics, code, connectors, documents, errors, extraction, fixes, markdown, records, resolver, rules, snippets, sources, state  # noqa: F401  they register their queries
+from . import analytics, code, connectors, documents, errors, extraction, fixes, markdown, matching, records, resolver, rules, snippets, sources, state  # noqa: F401  they register their queries
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

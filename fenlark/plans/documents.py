@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as x
-from ..operators import blocks, rewrite, tabular
+from ..operators import blocks, fuzzy, rewrite, tabular
 from ..operators.nearest import nearest
 from ..operators.scratch import written
 from .base import query, read
@@ -138,21 +138,20 @@ def mine_using_patterns(spark, sf_dir):
     return read(spark, sf_dir, "part").groupBy("p_type").agg(F.sort_array(F.collect_set("p_brand")).alias("brands"), F.min("p_partkey").alias("first"))
 
 
-CATALOGUE = 1 << 20  # bytes of names in one function; a larger catalogue is matched in blocks
+# the longest block of a word that a name holds, its first place in the word, and its first place in the name
+_BLOCK = "list_filter(flatten(list_transform(range(length(x), 0, -1), lambda k: list_transform(range(1, length(x) - k + 2), lambda i: [k, i, position(substr(x, i, k) IN y)]))), lambda t: t[3] > 0)[1]"
 
 
-@query()
+@query(f"""WITH RECURSIVE w AS (SELECT DISTINCT p_brand AS word FROM part WHERE p_brand IS NOT NULL), n AS (SELECT DISTINCT replace(p_brand, 'Brand', 'Brnad') AS name FROM part WHERE p_brand IS NOT NULL),
+r(word, name, x, y) AS (SELECT word, name, word, name FROM w, n UNION ALL SELECT word, name, c[1], c[2] FROM (SELECT word, name, unnest([[substr(x, 1, t[2] - 1), substr(y, 1, t[3] - 1)], [substr(x, t[2] + t[1]), substr(y, t[3] + t[1])]]) AS c
+ FROM (SELECT word, name, x, y, {_BLOCK} AS t FROM r WHERE x <> '' AND y <> '') WHERE t IS NOT NULL)),
+s AS (SELECT word, name, 2.0 * sum(coalesce({_BLOCK}[1], 0)) / (length(word) + length(name)) AS score FROM r GROUP BY 1, 2), m AS (SELECT name, max([score::VARCHAR, word]) AS best FROM s WHERE score >= 0.7 GROUP BY 1)
+SELECT p_partkey, replace(p_brand, 'Brand', 'Brnad') AS name, best[2] AS match FROM part LEFT JOIN m ON m.name = replace(p_brand, 'Brand', 'Brnad')""")
 def fuzzy_match(spark, sf_dir):
-    """Closest brand name by sequence matching, for misspelt names; not SQL."""
-    p = read(spark, sf_dir, "part").select("p_brand").where("p_brand is not null").distinct()
-    blocks = max(1, -(-(p.agg(F.sum(F.octet_length("p_brand"))).first()[0] or 0) // CATALOGUE))
+    """The brand most alike by matching blocks, for misspelt names."""
     bad = read(spark, sf_dir, "part").select("p_partkey", F.regexp_replace("p_brand", "Brand", "Brnad").alias("name"))
-    best = F.lit(None).cast("struct<score: double, word: string>")
-    for i in range(blocks):
-        some = p.where(F.pmod(F.xxhash64("p_brand"), F.lit(blocks)) == i)
-        found = rewrite.closest(sorted(r["p_brand"] for r in some.collect()), 0.7)(F.col("name"))
-        best = F.greatest(best, F.when(found["word"].isNotNull(), found))
-    return bad.withColumn("match", best["word"])
+    found = fuzzy.closest(bad.select("name"), read(spark, sf_dir, "part").select(F.col("p_brand").alias("name")), 0.7)
+    return bad.join(found.select("name", F.col("word").alias("match")), "name", "left").select("p_partkey", "name", "match")
 
 
 @query("SELECT user_id, event_id, kind, ref FROM (SELECT user_id, event_id, unnest(['event_type', 'props']) AS kind, unnest([event_type, props]) AS ref FROM events) WHERE ref IS NOT NULL AND ref <> ''")

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from fenlark.functions import errors, markdown
-from fenlark.operators import blocks, rewrite, tabular
+from fenlark.operators import blocks, diff, rewrite, tabular
 from fenlark.sources import files, sinks
 from fenlark.streaming import windows
 
@@ -30,7 +30,7 @@ def test_registered_transformers_and_diffs(spark):
     spark.createDataFrame([("a  \nb\t",), (None,)], "t string").createOrReplaceTempView("t")
     assert [r[0] for r in spark.sql("select strip_trailing_space(t) from t").collect()] == ["a\nb", None]
     d = spark.createDataFrame([("x\ny", "x\nz"), ("same", "same"), (None, "new")], "a string, b string")
-    found = [r[0] for r in d.select(rewrite.unified_diff(F.col("a"), F.col("b"))).collect()]
+    found = [r[0] for r in d.select(diff.unified_diff(F.col("a"), F.col("b"))).collect()]
     assert found[0].split("\n")[2:] == ["@@ -1,2 +1,2 @@", " x", "-y", "+z"] and found[1] == "" and "+new" in found[2]
     assert d.limit(1).select(rewrite.collapse_blank_lines(F.lit("a\n\n\n\nb"))).first()[0] == "a\n\nb"
 

@@ -4,8 +4,8 @@ import difflib
 
 import numpy as np
 
-from fenlark.operators import blocks, nearest
-from fenlark.plans import catalog, documents
+from fenlark.operators import blocks, fuzzy, nearest
+from fenlark.plans import catalog
 
 
 def save(spark, folder, name, rows, schema):
@@ -73,10 +73,10 @@ def test_boost_keeps_every_row(spark, tmp_path):
     assert [r["user_id"] for r in found] == sorted(range(60), key=lambda u: (-(u % 3), u))
 
 
-def test_large_catalogues_match_in_blocks(spark, tmp_path, monkeypatch):
+def test_keys_of_many_words_match_in_blocks(spark, tmp_path, monkeypatch):
     names = [f"Brand#{i:04d}" for i in range(1300)]
     sf = save(spark, tmp_path, "part", [(0, None), *((i, names[i]) for i in range(1, 1300, 1))], "p_partkey long, p_brand string")
-    monkeypatch.setattr(documents, "CATALOGUE", 5000)
+    monkeypatch.setattr(fuzzy, "SHARERS", 50)
     last = {r["p_partkey"]: r["match"] for r in catalog.QUERIES["fuzzy_match"](spark, sf).where("p_partkey in (0, 5, 1299)").collect()}
     near = {i: difflib.get_close_matches(f"Brnad#{i:04d}", names[1:], 1, 0.7)[0] for i in (5, 1299)}
     assert last == {0: None, **near}
