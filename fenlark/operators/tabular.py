@@ -23,22 +23,41 @@ def newest(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> D
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("_n") <= n).drop("_n")
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: list[str], keep: list[str] = ()) -> DataFrame:
-    """Rows of new replace those of old with equal keys; columns in keep stay as they were."""
-    out = old.join(new.select(keys), keys, "left_anti").unionByName(_kept(old, new, keys, list(keep)))
+def latest(df: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+    """One row a key, the last by order; the greatest row where that doesn't decide. Null is a key like any other; columns are of orderable types."""
+    rest = [c for c in df.columns if c != order]
+    last = F.max(F.struct(*([order] if order else []), *rest)).alias("_row")
+    return df.groupBy(*keys).agg(last).select(*(F.col(f"_row.{c}").alias(c) for c in df.columns))
+
+
+def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
+    """Equal keys, null equal to null."""
+    out = F.lit(True)
+    for k in keys:
+        out = out & a[k].eqNullSafe(b[f"_{k}"])
     return out
 
 
+def upsert(old: DataFrame, new: DataFrame, keys: list[str], keep: list[str] = (), order: str | None = None) -> DataFrame:
+    """Rows of new replace those of old with equal keys (null equals null); columns in keep stay as they were.
+    Of new rows that repeat a key the last by order counts, the greatest row where that doesn't decide."""
+    new = latest(new, keys, order)
+    named = new.select(*(F.col(k).alias(f"_{k}") for k in keys))
+    return old.join(named, _same(old, named, keys), "left_anti").unionByName(_kept(old, new, keys, list(keep)))
+
+
 def _kept(old: DataFrame, new: DataFrame, keys: list[str], keep: list[str]) -> DataFrame:
     if not keep:
         return new.select(old.columns)
-    was = old.select(*keys, *(F.col(c).alias(f"_{c}") for c in keep))
-    return new.join(was, keys, "left").select(*(F.coalesce(f"_{c}", c).alias(c) if c in keep else F.col(c) for c in old.columns))
+    was = old.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(*(F.max(c).alias(f"_was_{c}") for c in keep))
+    return new.join(was, _same(new, was, keys), "left").select(*(F.coalesce(f"_was_{c}", c).alias(c) if c in keep else new[c] for c in old.columns))
 
 
 def insert_ignore(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """old, and of new the rows whose keys old lacks."""
-    return old.unionByName(new.join(old.select(keys), keys, "left_anti").select(old.columns))
+    """old, and of new a row a key that old lacks (null equals null); of repeated keys the greatest row."""
+    named = old.select(*(F.col(k).alias(f"_{k}") for k in keys)).distinct()
+    new = latest(new, keys)
+    return old.unionByName(new.join(named, _same(new, named, keys), "left_anti").select(old.columns))
 
 
 def quantiles(df: DataFrame, group: str, value: str, shares: dict[str, float]) -> DataFrame:
