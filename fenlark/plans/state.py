@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..operators import blocks
 from ..operators import tabular as t
+from ..operators.scratch import folder
+from ..store import Store
 from ..streaming import windows
 from .base import query, read
 
@@ -96,12 +98,15 @@ def tumbling_counts(spark, sf_dir):
     return windows.tumbling(read(spark, sf_dir, "events"), "1 hour").select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
 
 
-@query("""
-WITH v AS (SELECT coalesce(max(event_id), 0) AS version FROM events)
-SELECT event_type, version, count(*) AS n FROM events, v WHERE event_id <= version GROUP BY 1, 2
-""")
+@query("SELECT event_type, count(*) FILTER (WHERE event_id % 2 = 0) AS n, count(*) FILTER (WHERE event_id % 2 = 1) AS later FROM events GROUP BY 1")
 def pattern_snapshot(spark, sf_dir):
-    """What a reader pinned to a version sees: rows up to the highest id at the moment of capture."""
-    e = read(spark, sf_dir, "events")
-    v = e.agg(F.coalesce(F.max("event_id"), F.lit(0)).alias("version"))
-    return e.crossJoin(F.broadcast(v)).where("event_id <= version").groupBy("event_type", "version").agg(F.count("*").alias("n"))
+    """What a reader pinned to a version sees after two more writes (n), and what the last version holds (later): rows
+    with even ids, then all upserted, then the even ones deleted."""
+    e = read(spark, sf_dir, "events").select(F.col("event_id").alias("signature_id"), "event_type")
+    store = Store(spark, folder(spark))
+    store.write("semantic_signature", e.where("signature_id % 2 = 0"))
+    pinned = store.versions("semantic_signatures")[-1]
+    store.write("semantic_signature", e.withColumn("event_type", F.when(F.col("signature_id") % 2 == 0, "changed").otherwise(F.col("event_type"))))
+    store.delete("semantic_signatures", F.col("signature_id") % 2 == 0)
+    both = store.table("semantic_signatures", pinned).select("event_type", F.lit(1).alias("n"), F.lit(0).alias("later")).unionByName(store.table("semantic_signatures").select("event_type", F.lit(0).alias("n"), F.lit(1).alias("later")))
+    return both.groupBy("event_type").agg(F.sum("n").alias("n"), F.sum("later").alias("later"))

@@ -64,6 +64,7 @@ WRITES = {
     "failure_detail": ("failure_details", "append", [], []),
     "markdown_edit": ("markdown_edits", "append", [], []),
     "commit_record": ("commit_records", "append", [], []),
+    "phase_timing": ("phase_timings", "append", [], []),
     "telemetry_event": ("telemetry_events", "append", [], []),
     "drift_rejection": ("drift_rejections", "append", [], []),
     "authority_decision": ("authority_decisions", "append", [], []),
