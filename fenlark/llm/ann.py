@@ -15,7 +15,7 @@ TARGET = 0.96  # share of these neighbours that the probes must find
 BUCKET = 16  # rows of a bucket, by which the number of concatenated axes grows with the table
 GROUP = 16_384  # rows of the buckets that are dealt together; each group a query visits sends its k best
 BLOCK = 20_000  # rows of a group, or queries of it, in one task's block
-MOST = 1 << 14  # probes a table
+MOST = 1 << 14  # probes a table; where they don't find TARGET, there are fewer and larger buckets
 SPLIT = 500_000  # rows (some 20 MB) of the table of split groups up to which it is broadcast
 
 
@@ -94,12 +94,12 @@ class Rotations:
         return out
 
 
-def fit_probes(rotations: Rotations, asked: np.ndarray, near: list[np.ndarray], target: float = TARGET) -> int:
-    """The fewest probes a table that find the target share of the vectors near[i] of each query asked[i]."""
+def fit_probes(rotations: Rotations, asked: np.ndarray, near: list[np.ndarray], target: float = TARGET, most: int | None = None) -> int | None:
+    """The fewest probes a table that find the target share of the vectors near[i] of each query asked[i]; null if `most` (MOST) are not enough."""
     sizes = [len(x) for x in near]
     if not sum(sizes):
         return 1
-    most = min(MOST, rotations.buckets)
+    most = min(most or MOST, rotations.buckets)
     rank = np.full(sum(sizes), most)
     query, rows = rotations.padded(asked, True), rotations.padded(np.concatenate([x for x in near if len(x)]), False)
     at = np.cumsum([0, *sizes])
@@ -115,7 +115,18 @@ def fit_probes(rotations: Rotations, asked: np.ndarray, near: list[np.ndarray],
                 place[good] = hit[found[good]]
                 rank[some] = np.minimum(rank[some], place)
     share = np.cumsum(np.bincount(rank, minlength=most + 1)[:most]) / len(rank)
-    return min(most, int(np.searchsorted(share, target)) + 1)
+    return int(np.searchsorted(share, target)) + 1 if share[-1] >= target or most == rotations.buckets else None
+
+
+def fitted(dim: int, low: float, high: float, rows: int, tables: int, trial) -> tuple[Rotations, int]:
+    """Rotations and probes that find TARGET of the trial's neighbours: buckets grow until MOST probes are
+    enough; of the largest, one an axis and sign, as many are visited as it takes, at most all."""
+    while True:
+        rotations = Rotations(dim, low, high, rows, tables)
+        probes = fit_probes(rotations, *trial, most=rotations.buckets if rows < BUCKET else MOST) if trial else 1
+        if probes is not None:
+            return rotations, probes
+        rows //= 4
 
 
 def _matrix(column) -> np.ndarray:
@@ -264,7 +275,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, tables: int = TABL
     any row), so copies are never paired. Every point is stored once a table, in the bucket of its
     nearest signed axes; how many axes are concatenated grows with the table. A query visits the
     likeliest buckets, as many as it takes to find TARGET of the neighbours of TRIALS queries, which
-    are compared with all rows. Groups of buckets and their queries are dealt in blocks of bounded
+    are compared with all rows; where more than MOST a table would be needed, buckets are larger. Groups of buckets and their queries are dealt in blocks of bounded
     size, a query's vector once a group; each block sends k candidates a query.
     """
     spark = vectors.sparkSession
@@ -282,9 +293,7 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, tables: int = TABL
     points = written(points.select(F.col("ids")[0].alias("cid"), "v", "ids", "asks"))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     low, high, many = points.agg(F.min(norm), F.max(norm), F.count("*")).first()
-    rotations = Rotations(length["n"], low, high, many, tables)
-    trial = _trials(points, k)
-    probes = fit_probes(rotations, *trial) if trial else 1
+    rotations, probes = fitted(length["n"], low, high, many, tables, _trials(points, k))
     width = 1
     while width < rotations.buckets // 2 and 2 * width * many <= GROUP * rotations.buckets:
         width *= 2
