@@ -10,14 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import MARKS, U, chunks, mix, smallest, table, texts_of, words
+from .common import MARKS, U, chunks, dropped, mix, smallest, table, texts_of, words, written
 
 SAMPLE = 4000  # documents, those of smallest hash, on which the scorers are fitted
+BYTES = 256 << 20  # of their columns that reach the driver; with more, the first documents by hash are the sample
 SIZE = 1 << 17  # hashed features of each family
 FOLDS, LOST = 4, 0.01  # of the good ones held out in so many folds, the share that may be judged bad
 HEAD = 4  # bytes of a word's beginning
-# Words that insult.
-INSULTS = ["moron", "loser", "pathetic", "worthless", "scum", "idiot", "clown", "disgusting", "trash", "stupid"]
+# Words that insult, in the languages of the documents.
+INSULTS = [
+    "moron", "loser", "pathetic", "worthless", "scum", "idiot", "clown", "disgusting", "trash", "stupid",
+    "asshole", "bastard", "bitch", "cretin", "dickhead", "dimwit", "dipshit", "dumbass", "fuckwit", "halfwit", "imbecile", "jackass", "nitwit", "scumbag", "shithead", "wanker",
+    "abschaum", "arschloch", "dreckskerl", "dummkopf", "hurensohn", "idioten", "missgeburt", "schwachkopf", "trottel", "vollidiot", "vollpfosten", "wichser",
+    "abruti", "connard", "connasse", "crétin", "enculé", "imbécile", "minable", "ordure", "salaud", "salope",
+    "cabrón", "capullo", "cretino", "escoria", "estúpido", "gilipollas", "imbécil", "malnacido", "pendejo", "subnormal",
+]
 _CLASS = np.zeros(256, np.int64)
 for _i in range(256):
     _c = chr(_i)
@@ -184,6 +191,7 @@ def train(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE
     """Votes are counted over all documents; a row for each pattern of votes (at most 3 ** 8) reaches the
     driver. The posteriors label a bounded sample, whose sparse hashed features fit the scorers there.
 
+    The sample is one row a doc_id (of repeated ones the least text), and BYTES of columns at most.
     labels(doc_id, toxic) is optional: with it, the sample is of labelled documents, and what people said
     of these counts as one more labeller of the toxic head, since no list holds the insults of every
     language. Posteriors alone train both heads. Without documents, all weights are 0.
@@ -202,7 +210,7 @@ def train(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE
             row, column, _ = hashed(*m)
             order = np.argsort(row, kind="stable")
             cut = np.searchsorted(row[order], np.arange(batch.num_rows + 1))
-            out = all_votes(m, batch.column("truth"))
+            out = {"doc_id": batch.column("doc_id")} | all_votes(m, batch.column("truth"))
             out["columns"] = pa.array([np.unique(column[order[a:b]]).astype(np.int32).tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())
             yield pa.RecordBatch.from_pydict(out)
 
@@ -218,7 +226,12 @@ def train(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE
     counts: dict[str, dict] = {name: {} for name in HEADS}
     for r in told.select("text", "truth").mapInArrow(patterns, "head string, votes string, n long").groupBy("head", "votes").agg(F.sum("n").alias("n")).collect():
         counts[r["head"]][tuple(map(int, r["votes"]))] = r["n"]
-    rows = some.select("text", "truth").mapInArrow(features, ", ".join(f"{name} string" for name in HEADS) + ", columns binary").collect()
+    some = some.groupBy("doc_id", "truth").agg(F.min("text").alias("text"))  # a row a document, however often it comes
+    held = written(some.mapInArrow(features, f"doc_id {some.schema['doc_id'].dataType.simpleString()}, " + ", ".join(f"{name} string" for name in HEADS) + ", columns binary"))
+    sizes = held.select("doc_id", F.octet_length("columns").alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()  # `sample` rows at most
+    fits = [r["doc_id"] for r, total in zip(sizes, np.cumsum([r["n"] for r in sizes]), strict=True) if total <= BYTES]
+    rows = sorted((held if len(fits) == len(sizes) else held.where(F.col("doc_id").isin(fits))).collect(), key=lambda r: r["doc_id"])
+    dropped(docs.sparkSession, held)
     sparse = [np.frombuffer(r["columns"], np.int32) for r in rows]
     model = Model({}, {})
     for name in HEADS:
@@ -273,6 +286,7 @@ def good(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents that the classifier keeps, with their scores."""
+    """The documents that the classifier keeps, with their scores. Null and wordless texts are kept, repeated rows get
+    equal scores, an empty table gives none, other columns are ignored."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return scored(docs, train(docs, table(spark, sf_dir, "labels"))).where("kept").select("doc_id", "quality", "clean", "kept")

@@ -416,3 +416,69 @@ def test_windows_of_equal_polynomial_hash_stay(spark, monkeypatch, crowd):
     assert len(one) == len(two) == 164 and not grams(one) & grams(two)
     rows = suffix_dedup.remove_repeats(spark.createDataFrame([(1, one), (2, two), (3, one)], "doc_id long, text string"), False).collect()
     assert {r["doc_id"]: (r["n_removed"], r["n_spans"]) for r in rows} == {1: (0, 0), 2: (0, 0), 3: (164, 1)}
+
+
+def _recall(rows, k=20, every=20):
+    x = np.array([v for _, v in rows])
+    score = x @ x.T
+    np.fill_diagonal(score, -np.inf)
+    return {i: set(np.argsort(-score[i], kind="stable")[:k].tolist()) for i in range(0, len(rows), every)}
+
+
+@pytest.mark.parametrize("kind", ["clustered", "random"])
+def test_recall_holds_where_probes_run_out(spark, monkeypatch, kind):
+    """With few probes allowed, buckets grow until they are enough; on clustered and on random vectors."""
+    r = np.random.default_rng(3)
+    middle = r.normal(size=(30, 16))
+    x = middle[r.integers(0, 30, 3000)] + 0.3 * r.normal(size=(3000, 16)) if kind == "clustered" else r.normal(size=(3000, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(x / np.linalg.norm(x, axis=1)[:, None])]
+    monkeypatch.setattr(ann, "MOST", 3)
+    got: dict = {}
+    for q in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+        got.setdefault(q["query_id"], set()).add(q["vec_id"])
+    want = _recall(rows)
+    assert np.mean([len(got[i] & want[i]) / 20 for i in want]) >= 0.9
+
+
+def test_probes_that_are_not_enough_say_so(monkeypatch):
+    r = np.random.default_rng(1)
+    x = r.normal(size=(2000, 16))
+    trial = x[:50], [x[np.argsort(-(x @ q))[1:21]] for q in x[:50]]
+    rotations = ann.Rotations(16, 1.0, 9.0, 200_000, 2)
+    monkeypatch.setattr(ann, "MOST", 2)
+    assert ann.fit_probes(rotations, *trial) is None
+    coarse, probes = ann.fitted(16, 1.0, 9.0, 200_000, 2, trial)
+    assert coarse.buckets < rotations.buckets and probes <= coarse.buckets
+
+
+def test_a_document_that_comes_very_often_is_one_of_the_sample(spark, monkeypatch):
+    texts = ["one fine day in the quiet old town by the sea", "### $$$ %%% *** ||| ### $$$", "you pathetic moron and worthless scum"]
+    rows = [(i, texts[i % 3] + f" number {i}") for i in range(60)] + [(7, texts[0] + f" again {i}") for i in range(5000)] + [(None, "x")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = []
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda r, y, *a, **b: (seen.append((len(r), sum(map(len, r)))), fit(r, y, *a, **b))[1])
+    quality.train(docs)
+    assert max(n for n, _ in seen) == 60
+    most = max(size for _, size in seen)
+    seen.clear()
+    monkeypatch.setattr(quality, "BYTES", 4 * most // 2)
+    quality.train(docs)
+    assert 0 < max(n for n, _ in seen) < 60 and 4 * max(size for _, size in seen) <= 4 * most // 2
+
+
+def test_scores_equal_the_formula(spark):
+    """Each text alone, feature by feature."""
+    r = random.Random(4)
+    texts = [" ".join(r.choice(["sea", "Town", "###", "MORON", "a|b", "é", "12", "fine."]) for _ in range(r.randint(1, 40))) for _ in range(80)] + ["", None, "  "]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = quality.train(docs)
+    model.weights = {k: np.random.default_rng(i).normal(size=len(w)) for i, (k, w) in enumerate(model.weights.items())}
+    for row in quality.scored(docs, model).collect():
+        t = (texts[row["doc_id"]] or "").encode()
+        m = quality.measures([t])
+        column = set(zip(*(x.tolist() for x in quality.hashed(*m)[1:]), strict=True))
+        for name, p in (("quality", row["quality"]), ("clean", row["clean"])):
+            w = model.weights["quality" if name == "quality" else "toxic"]
+            z = sum(w[c] * v for c, v in column) + w[-1]
+            assert p == pytest.approx(1.0 if not t.split() else 1 / (1 + math.exp(-max(-30, min(30, z)))))
