@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from .scratch import written
 
 HEAD = 5  # leading lines that stand for a block whose signature is not found
-PARTS = 64  # rows at most to which equal keys collapse before a join
 SHARERS = 1000  # documents with a unit in common that one task pairs with all others
 
 
@@ -66,11 +65,10 @@ def _bare(text: Column) -> Column:
 
 
 def _held(rows: DataFrame, blocks: DataFrame, key: str) -> DataFrame:
-    """rows with n, the number of blocks with the same key. Rows of a hot key collapse to PARTS at most before they are joined."""
-    others = [c for c in rows.columns if c != key]
-    groups = rows.groupBy(key, F.pmod(F.xxhash64(*others), F.lit(PARTS)).alias("part")).agg(F.collect_list(F.struct(*others)).alias("members"))
+    """rows with n, the number of blocks with the same key. There is one count a key, so that the rows of a hot
+    key can be split among tasks by the adaptive skew join; none are gathered."""
     n = blocks.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    return groups.join(n, key, "left").select(F.coalesce("n", F.lit(0)).alias("n"), F.inline("members"))
+    return rows.join(n, key, "left").select(F.coalesce("n", F.lit(0)).alias("n"), *(c for c in rows.columns if c != key))
 
 
 def resolve(targets: DataFrame, blocks: DataFrame, key: str, text: str) -> DataFrame:

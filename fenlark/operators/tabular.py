@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -112,3 +115,26 @@ def as_of(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: s
     w = Window.partitionBy(key).orderBy("_t", "_s").rowsBetween(Window.unboundedPreceding, 0)
     both = a.unionByName(b, allowMissingColumns=True).withColumn("_v", F.last("_v", ignorenulls=True).over(w))
     return both.where("_s = 1").select(*left.columns, *(F.col(f"_v.{v}").alias(v) for v in values))
+
+
+def ordered_hash(df: DataFrame, group: str, key: str, into: str = "hash") -> DataFrame:
+    """(group, hash): SHA-256 of each group's keys in byte order, a line feed between them, as the keys stream by:
+    no group is held, however large. group is a long; null keys don't count."""
+
+    def run(batches):
+        last = state = None
+        for batch in batches:
+            done = []
+            for g, k in zip(batch.column("g").to_pylist(), batch.column("k").to_pylist(), strict=True):
+                if state is None or g != last:
+                    if state is not None:
+                        done.append((last, state.hexdigest()))
+                    last, state = g, hashlib.sha256(k.encode())
+                else:
+                    state.update(b"\n" + k.encode())
+            yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.int64()), pa.array([d[1] for d in done], pa.string())], names=["g", "h"])
+        if state is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([last], pa.int64()), pa.array([state.hexdigest()], pa.string())], names=["g", "h"])
+
+    rows = df.select(F.col(group).cast("long").alias("g"), F.col(key).cast("string").alias("k")).where("k is not null")
+    return rows.repartition("g").sortWithinPartitions("g", "k").mapInArrow(run, "g long, h string").select(F.col("g").cast(df.schema[group].dataType).alias(group), F.col("h").alias(into))

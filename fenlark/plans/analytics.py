@@ -279,6 +279,6 @@ def history_boost(spark, sf_dir):
 
 @query("SELECT o_custkey % 100 AS run, sha256(string_agg(CAST(o_orderkey AS VARCHAR), chr(10) ORDER BY CAST(o_orderkey AS VARCHAR))) AS selection_hash, count(*) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY 1")
 def selection_hash(spark, sf_dir):
-    """One hash of each run's selection, whatever its order. A run's keys meet in one row by definition; runs are many."""
-    keys = F.sort_array(F.collect_list(F.col("o_orderkey").cast("string")))
-    return read(spark, sf_dir, "orders").where("o_orderstatus = 'P'").groupBy((F.col("o_custkey") % 100).alias("run")).agg(F.sha2(F.array_join(keys, "\n"), 256).alias("selection_hash"), F.count("*").alias("n"))
+    """One hash of each run's selection, whatever its order."""
+    o = read(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select((F.col("o_custkey") % 100).alias("run"), F.col("o_orderkey").cast("string").alias("key"))
+    return t.ordered_hash(o, "run", "key", "selection_hash").join(o.groupBy("run").agg(F.count("*").alias("n")), "run")

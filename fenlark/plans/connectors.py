@@ -10,7 +10,6 @@ from ..sources import files, sinks
 from ..store import Store
 from ..streaming import windows
 from .base import query, read
-from .samples import ARTICLES, quoted
 
 
 @query("SELECT p_partkey, p_name, p_brand, p_type FROM part")
@@ -34,23 +33,15 @@ def append_and_replace(spark, sf_dir):
     return back.groupBy("event_type").agg(F.count("*").alias("n"), F.count_if(F.col("part") == "old").alias("old"))
 
 
-_FILES = {f"guide{i:02d}.md": a for i, a in enumerate(ARTICLES)} | {"notes.txt": "no", "draft_guide.md": "# Draft"}
-
-
-@query("SELECT * FROM (VALUES " + ", ".join(f"({quoted(k)}, CAST({len(v.encode())} AS BIGINT), {len(v.split(chr(10)))})" for k, v in sorted(_FILES.items()) if v and k.endswith(".md") and not k.startswith("draft")) + ") t(name, bytes, lines)")
+@query("SELECT concat('page', page_id, '.md') AS name, CAST(strlen(coalesce(html, '')) + 1 AS BIGINT) AS bytes, CAST(len(string_split(coalesce(html, ''), chr(10))) + 1 AS INTEGER) AS lines FROM pages WHERE page_id % 5 <> 0")
 def file_scan(spark, sf_dir):
-    """Articles found below a folder by pattern, drafts left out, read whole. Empty files hold nothing and don't come."""
+    """Pages written as files, a folder each, and found again by pattern, drafts left out, read whole."""
     path = folder(spark)
-    rows = spark.createDataFrame([(k, v.encode()) for k, v in _FILES.items()], "name string, content binary")
-    fs = spark.sparkContext._jvm.org.apache.hadoop.fs
-    root = fs.Path(path)
-    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for r in rows.collect():  # the fixture's files, ten at most
-        out = system.create(fs.Path(f"{path}/deep/{r['name']}"))
-        out.write(bytearray(r["content"]))
-        out.close()
-    found = files.text_files(spark, path, "*.md", r"/draft_[^/]*$")
-    name = F.element_at(F.split("path", "/"), -1)
+    name = F.concat(F.when(F.col("page_id") % 5 == 0, "draft_").otherwise("page"), F.col("page_id").cast("string"), F.lit(".md"))
+    pages = read(spark, sf_dir, "pages").select(F.coalesce("html", F.lit("")).alias("value"), name.alias("name"))
+    pages.repartition("name").write.partitionBy("name").text(path)
+    found = files.text_files(spark, path, "*.txt", r"/name=draft_[^/]*/")
+    name = F.regexp_extract("path", "/name=([^/]+)/", 1)
     return found.select(name.alias("name"), F.octet_length("text").cast("long").alias("bytes"), F.size(F.split("text", "\n")).alias("lines"))
 
 

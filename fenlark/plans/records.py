@@ -5,9 +5,6 @@ events stand for failures and attempts, orders for runs, conversations for revie
 
 from __future__ import annotations
 
-import hashlib
-import json
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -108,13 +105,14 @@ def baseline_from_best_run(spark, sf_dir):
     return j.groupBy("family", "run").agg(n.alias("discovered"), F.count_if(x == "N").alias("verified"), F.count_if(x == "R").alias("failed"), F.round(100.0 * F.count_if(x == "N") / n, 1).alias("rate"))
 
 
-CONFIG = {"family": {"name": "docs", "roots": ["a", "b"]}, "cli_overrides": {"limit": 5}, "global": {"retries": 3, "drift": 0.3}}
-
-
-@query(f"SELECT sha256({quoted(json.dumps(CONFIG, sort_keys=True))}) AS config_hash")
+@query("""SELECT s_suppkey, sha256(concat('{"cli_overrides": {"limit": ', s_suppkey, '}, "family": {"name": ', to_json(s_name), ', "roots": ["a", "', s_nationkey, '"]}, "global": {"positive": ', CASE WHEN s_acctbal > 0 THEN 'true' ELSE 'false' END, ', "retries": 3}}')) AS config_hash FROM supplier""")
 def config_hash(spark, sf_dir):
-    """SHA-256 of the effective configuration, its three sections side by side and all keys sorted; made on the driver, where it lives."""
-    return spark.range(1).select(F.lit(hashlib.sha256(json.dumps(CONFIG, sort_keys=True).encode()).hexdigest()).alias("config_hash"))
+    """SHA-256 of each supplier's effective configuration, its three sections side by side and all keys sorted."""
+    text = lambda *x: F.concat(*(F.lit(v) if isinstance(v, str) else v.cast("string") for v in x))
+    name = F.get_json_object(F.to_json(F.struct(F.array("s_name").alias("n"))), "$.n")
+    family = text('{"name": ', F.substr(name, F.lit(2), F.length(name) - 2), ', "roots": ["a", "', F.col("s_nationkey"), '"]}')
+    whole = text('{"cli_overrides": {"limit": ', F.col("s_suppkey"), '}, "family": ', family, ', "global": {"positive": ', F.when(F.col("s_acctbal") > 0, "true").otherwise("false"), ', "retries": 3}}')
+    return read(spark, sf_dir, "supplier").select("s_suppkey", F.sha2(whole, 256).alias("config_hash"))
 
 
 @query("SELECT event_type AS pattern, count(*) AS applied, count(*) FILTER (value > 20) AS succeeded, round((count(*) FILTER (value > 20) / count(*))::DOUBLE, 6) AS rate, max(ts) AS last_used FROM events GROUP BY 1")
@@ -512,8 +510,8 @@ def results_summary(spark, sf_dir):
     o = read(spark, sf_dir, "orders").select((F.col("o_custkey") % 40).alias("run"), F.col("o_orderkey").cast("string").alias("key"), F.col("o_orderstatus").alias("status"))
     c = o.groupBy("run", "status").agg(F.count("*").alias("n"))
     told = c.groupBy("run").agg(F.array_sort(F.collect_list(F.struct("status", F.concat_ws("=", "status", F.col("n").cast("string")).alias("s")))).alias("s"))
-    g = o.groupBy("run").agg(F.count("*").alias("total"), F.sha2(F.array_join(F.sort_array(F.collect_list("key")), "\n"), 256).alias("selection_hash"), F.round(F.avg((F.col("status") == "F").cast("double")), 4).alias("rate"))
-    return g.join(told, "run").select("run", "total", "selection_hash", F.array_join(F.transform("s", lambda x: x["s"]), ",").alias("statuses"), "rate")
+    g = o.groupBy("run").agg(F.count("*").alias("total"), F.round(F.avg((F.col("status") == "F").cast("double")), 4).alias("rate"))
+    return g.join(told, "run").join(t.ordered_hash(o, "run", "key", "selection_hash"), "run").select("run", "total", "selection_hash", F.array_join(F.transform("s", lambda x: x["s"]), ",").alias("statuses"), "rate")
 
 
 @query("""WITH e AS (SELECT user_id, event_type AS phase, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS done FROM events)

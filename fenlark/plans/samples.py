@@ -1,6 +1,8 @@
-"""Texts that stand in for what the tables lack: messages, code and articles, one for each row's id.
+"""Texts for what the tables lack: messages, code and articles, one for each row.
 
-A row's text is picked by its id, so that every query runs over its whole table and SQL can do the same.
+A frame is picked by the row's id; what it holds of the row's own is taken from the table: an article goes on
+with the document's whole text, code has comments and strings of its words, a message names its file, place and
+value. So every query runs over its whole table and reads its text, and SQL can do the same.
 """
 
 from __future__ import annotations
@@ -96,19 +98,40 @@ def pick_sql(values: list[str], key: str) -> str:
     return f"([{', '.join(map(quoted, values))}])[CAST(({key}) % {len(values)} AS INTEGER) + 1]"
 
 
+def _placed(message: Column) -> Column:
+    """A message with the row's own file, line and value."""
+    name = F.concat(F.lit("User"), F.col("user_id").cast("string"), F.lit(".cs("), F.floor("value").cast("string"))
+    return F.replace(message, F.lit("Program.cs(3"), name)
+
+
+def _placed_sql(message: str) -> str:
+    return f"replace({message}, 'Program.cs(3', concat('User', user_id, '.cs(', CAST(floor(value) AS BIGINT)))"
+
+
 def failures(spark, sf_dir) -> DataFrame:
     """events with message, errors (one or two messages), attempt and retries."""
     k = F.col("event_id")
-    one, two = pick(MESSAGES, k), pick(MESSAGES, F.floor(k / len(MESSAGES)))
+    one, two = _placed(pick(MESSAGES, k)), _placed(pick(MESSAGES, F.floor(k / len(MESSAGES))))
     errors = F.when(k % 3 == 0, F.array(one)).when(k % 7 == 0, F.array().cast("array<string>")).otherwise(F.array(one, two))
     return read(spark, sf_dir, "events").withColumns({"message": one, "errors": errors, "attempt": (k % 6).cast("long"), "retries": (F.col("user_id") % 4).cast("long")})
 
 
-FAILURES = f"""(SELECT *, {pick_sql(MESSAGES, 'event_id')} AS message,
- CASE WHEN event_id % 3 = 0 THEN [{pick_sql(MESSAGES, 'event_id')}] WHEN event_id % 7 = 0 THEN CAST([] AS VARCHAR[]) ELSE [{pick_sql(MESSAGES, 'event_id')}, {pick_sql(MESSAGES, f'event_id // {len(MESSAGES)}')}] END AS errors,
+_ONE, _TWO = _placed_sql(pick_sql(MESSAGES, "event_id")), _placed_sql(pick_sql(MESSAGES, f"event_id // {len(MESSAGES)}"))
+FAILURES = f"""(SELECT *, {_ONE} AS message,
+ CASE WHEN event_id % 3 = 0 THEN [{_ONE}] WHEN event_id % 7 = 0 THEN CAST([] AS VARCHAR[]) ELSE [{_ONE}, {_TWO}] END AS errors,
  CAST(event_id % 6 AS BIGINT) AS attempt, CAST(user_id % 4 AS BIGINT) AS retries FROM events)"""
 
 
+def _own() -> Column:
+    """What a document says, as a comment and a string of code: its first words."""
+    words = F.regexp_replace(F.substring(F.coalesce("text", F.lit("")), 1, 120), "[^A-Za-z0-9 .,]", "")
+    return F.concat(F.lit("\n// "), words, F.lit("\nvar note"), F.col("doc_id").cast("string"), F.lit(" = \""), words, F.lit("\";"))
+
+
+_WORDS = "regexp_replace(substr(coalesce(text, ''), 1, 120), '[^A-Za-z0-9 .,]', '', 'g')"
+_OWN = f"concat(chr(10), '// ', {_WORDS}, chr(10), 'var note', doc_id, ' = \"', {_WORDS}, '\";')"
+
+
 def snippets(spark, sf_dir) -> DataFrame:
     """documents with code and with fixed, another version of it."""
     k = F.col("doc_id")
@@ -116,7 +139,8 @@ def snippets(spark, sf_dir) -> DataFrame:
     fixed = F.concat(pick(CODE, k + F.floor(k / 7) % 2), pick(TAILS, F.floor(k / len(CODE)) + k % 3))
     for old, new in RENAMED:
         fixed = F.when(k % 4 == 1, F.replace(fixed, F.lit(old), F.lit(new))).otherwise(fixed)
-    return read(spark, sf_dir, "documents").select("doc_id", "source", "lang", code.alias("code"), fixed.alias("fixed"))
+    more = F.when(k % 2 == 0, _own()).otherwise("")
+    return read(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.concat(code, more).alias("code"), F.concat(fixed, F.when(k % 6 == 0, F.upper(more)).otherwise(more)).alias("fixed"))
 
 
 _FIXED = f"concat({pick_sql(CODE, 'doc_id + (doc_id // 7) % 2')}, {pick_sql(TAILS, f'doc_id // {len(CODE)} + doc_id % 3')})"
@@ -128,15 +152,17 @@ def _renamed(x: str) -> str:
     return x
 
 
-SNIPPETS = f"""(SELECT doc_id, source, lang, concat({pick_sql(CODE, 'doc_id')}, {pick_sql(TAILS, f'doc_id // {len(CODE)}')}) AS code,
- CASE WHEN doc_id % 4 = 1 THEN {_renamed(_FIXED)} ELSE {_FIXED} END AS fixed FROM documents)"""
+_MORE = f"CASE WHEN doc_id % 2 = 0 THEN {_OWN} ELSE '' END"
+SNIPPETS = f"""(SELECT doc_id, source, lang, concat(code, more) AS code, concat(fixed, CASE WHEN doc_id % 6 = 0 THEN upper(more) ELSE more END) AS fixed FROM (SELECT doc_id, source, lang, concat({pick_sql(CODE, 'doc_id')}, {pick_sql(TAILS, f'doc_id // {len(CODE)}')}) AS code,
+ CASE WHEN doc_id % 4 = 1 THEN {_renamed(_FIXED)} ELSE {_FIXED} END AS fixed, {_MORE} AS more FROM documents))"""
 
 
 def articles(spark, sf_dir) -> DataFrame:
-    """documents with md: an article, with the document's first line as its opening every fifth time."""
-    k = F.col("doc_id")
-    md = F.when(k % 5 == 0, F.concat(F.substring_index("text", "\n", 1), F.lit("\n"), pick(ARTICLES, k))).otherwise(pick(ARTICLES, k))
+    """documents with md: an article that goes on with the document's text; every fifth time its first line is the opening."""
+    k, text = F.col("doc_id"), F.coalesce("text", F.lit(""))
+    md = F.when(k % 5 == 0, F.concat(F.substring_index(text, "\n", 1), F.lit("\n"), pick(ARTICLES, k))).when(k % 5 == 1, pick(ARTICLES, k)).otherwise(F.concat(pick(ARTICLES, k), F.lit("\n"), text))
     return read(spark, sf_dir, "documents").select("doc_id", "source", md.alias("md"))
 
 
-MARKDOWN = f"""(SELECT doc_id, source, CASE WHEN doc_id % 5 = 0 THEN concat(string_split(text, chr(10))[1], chr(10), {pick_sql(ARTICLES, 'doc_id')}) ELSE {pick_sql(ARTICLES, 'doc_id')} END AS md FROM documents)"""
+_ARTICLE = pick_sql(ARTICLES, "doc_id")
+MARKDOWN = f"""(SELECT doc_id, source, CASE doc_id % 5 WHEN 0 THEN concat(string_split(coalesce(text, ''), chr(10))[1], chr(10), {_ARTICLE}) WHEN 1 THEN {_ARTICLE} ELSE concat({_ARTICLE}, chr(10), coalesce(text, '')) END AS md FROM documents)"""
