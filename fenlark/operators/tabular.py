@@ -107,14 +107,45 @@ def unpivot_refs(df: DataFrame, keys: list[str], refs: list[str]) -> DataFrame:
     return df.unpivot(keys, refs, "kind", "ref").where("ref is not null and ref <> ''")
 
 
+def _dealt(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """df with _p, its range of (key, order): a key of very many rows lies in many ranges, one after the other."""
+    return written(df.repartitionByRange(key, *order).withColumn("_p", F.spark_partition_id()))
+
+
+def _brought(ends: DataFrame, key: str, carry: Column) -> DataFrame:
+    """(_p, _k, _b): what the ranges before bring to each range but the first of a key, carry over a row a range. Only
+    keys on a border have any, so that these are fewer than the ranges, and fit to be broadcast."""
+    ends = ends.withColumn("_first", F.min("_p").over(Window.partitionBy(key)))
+    return F.broadcast(ends.withColumn("_b", carry).where("_p > _first").select("_p", F.col(key).alias("_k"), "_b"))
+
+
 def as_of(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, values: list[str]) -> DataFrame:
-    """For each left row the latest right row of its key at or before it, by one sort of the union and no range join."""
-    a = left.select("*", F.col(left_ts).alias("_t"), F.lit(1).alias("_s"), F.lit(None).cast("boolean").alias("_r"))
-    pack = F.struct(*(F.col(v) for v in values))
-    b = right.select(F.col(key), F.col(right_ts).alias("_t"), F.lit(0).alias("_s"), pack.alias("_v"))
-    w = Window.partitionBy(key).orderBy("_t", "_s").rowsBetween(Window.unboundedPreceding, 0)
-    both = a.unionByName(b, allowMissingColumns=True).withColumn("_v", F.last("_v", ignorenulls=True).over(w))
-    return both.where("_s = 1").select(*left.columns, *(F.col(f"_v.{v}").alias(v) for v in values))
+    """For each left row the latest right row of its key at or before it (of several at one time the greatest values),
+    by ranges of the sorted union and no range join: a key of very many rows is many tasks' work. A left row
+    without a time has none; null is a key like any other."""
+    a = left.select("*", F.col(left_ts).alias("_t"), F.lit(1).alias("_s"))
+    b = right.select(F.col(key), F.col(right_ts).alias("_t"), F.lit(0).alias("_s"), F.struct(*values).alias("_v")).where("_t is not null")
+    both = _dealt(a.unionByName(b, allowMissingColumns=True), key, ["_t", "_s"])
+    w = Window.partitionBy("_p", key).orderBy("_t", "_s", "_v").rowsBetween(Window.unboundedPreceding, 0)
+    ends = both.groupBy("_p", key).agg(F.max(F.when(F.col("_v").isNotNull(), F.struct("_t", "_v")))["_v"].alias("_v"))
+    before = F.last("_v", ignorenulls=True).over(Window.partitionBy(key).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
+    found = both.withColumn("_v", F.last("_v", ignorenulls=True).over(w)).where("_s = 1").alias("x")
+    found = found.join(_brought(ends, key, before).alias("y"), (F.col("x._p") == F.col("y._p")) & F.col(f"x.{key}").eqNullSafe(F.col("_k")), "left")
+    last = F.when(F.col("_t").isNotNull(), F.coalesce("_v", "_b"))
+    return found.select(*(F.col(f"x.{c}") for c in left.columns), *(last[v].alias(v) for v in values))
+
+
+def running_count(df: DataFrame, key: str, order: list[str], hit: Column, into: str) -> DataFrame:
+    """df with the number of rows up to each one, in the order of its key, that hit is true of. Ranges are counted apart
+    and the counts of those before added, so that a key of very many rows is many tasks' work. Null is a key like
+    any other; order is a total one."""
+    rows = _dealt(df.withColumn("_h", F.when(hit, 1).otherwise(0).cast("long")), key, order)
+    up = F.sum("_h").over(Window.partitionBy("_p", key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    ends = rows.groupBy("_p", key).agg(F.sum("_h").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(key).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn(into, up).alias("x")
+    found = rows.join(_brought(ends, key, before).alias("y"), (F.col("x._p") == F.col("y._p")) & F.col(f"x.{key}").eqNullSafe(F.col("_k")), "left")
+    return found.select(*(F.col(f"x.{c}") for c in df.columns), (F.col(into) + F.coalesce("_b", F.lit(0))).alias(into))
 
 
 def ordered_hash(df: DataFrame, group: str, key: str, into: str = "hash") -> DataFrame:

@@ -86,9 +86,10 @@ SELECT user_id, island, count(*) AS n FROM (SELECT user_id, event_type, row_numb
 WHERE event_type = 'error' GROUP BY 1, 2 HAVING count(*) >= 2
 """)
 def consecutive_failures(spark, sf_dir):
-    at = ["ts", "event_id"]
-    a, b = Window.partitionBy("user_id").orderBy(*at), Window.partitionBy("user_id", "event_type").orderBy(*at)
-    e = read(spark, sf_dir, "events").select("user_id", "event_type", (F.row_number().over(a) - F.row_number().over(b)).cast("long").alias("island"))
+    """Failures in a row share the number of other calls before them."""
+    e = read(spark, sf_dir, "events").select("user_id", "event_type", "ts", "event_id")
+    other = ~F.col("event_type").eqNullSafe("error")
+    e = t.running_count(e, "user_id", ["ts", "event_id"], other, "island")
     return e.where("event_type = 'error'").groupBy("user_id", "island").agg(F.count("*").alias("n")).where("n >= 2")
 
 
