@@ -48,6 +48,16 @@ READS = {
     "drift_rejections": ("drift_rejections", ["example_id", "run_id"], ["created_at-"]),
     "semantic_signatures": ("semantic_signatures", ["example_id", "run_id"], ["created_at-"]),
     "run_manifest": ("run_manifests", ["run_id"], []),
+    "issues_of_review": ("review_issues", ["review_id"], ["created_at", "issue_id"]),
+    "learned_patterns": ("learned_patterns", ["family", "pattern_id"], ["pattern_id"]),
+}
+# Named reads of two tables, as (table, other, columns both have, how, key columns, order).
+JOINS = {
+    "run_examples": ("example_run_state", "example_records", ["example_id"], "inner", ["run_id", "status", "family"], ["file_path", "example_id"]),
+    "run_states_by_family": ("example_run_state", "example_records", ["example_id"], "inner", ["run_id", "status", "family"], ["example_key", "example_id"]),
+    "states_in_context": ("example_run_state", "example_records", ["example_id"], "left", ["run_id", "status", "app_context"], []),
+    "states_of_runs": ("example_run_state", "run_records", ["run_id"], "inner", ["run_id", "family"], []),
+    "pattern_results": ("learned_patterns", "pattern_performance", ["pattern_id"], "left", ["family", "pattern_id"], []),
 }
 # Named writes, as (table, verb, key columns, columns that keep their first value).
 WRITES = {
@@ -71,6 +81,9 @@ WRITES = {
     "status_transition": ("status_transitions", "append", [], []),
     "work_item": ("work_queue", "insert_ignore", ["work_id"], []),
     "gist": ("gists", "upsert", ["gist_id"], ["created_at"]),
+    "review_issue": ("review_issues", "upsert", ["issue_id"], []),
+    "learned_pattern": ("learned_patterns", "upsert", ["pattern_id"], []),
+    "pattern_result": ("pattern_performance", "upsert", ["pattern_id"], []),
     "migration": ("schema_migrations", "insert_ignore", ["version"], []),
 }
 
@@ -235,6 +248,19 @@ class Store:
             df = df.orderBy(*_ordered(order))
         return df if limit is None else df.limit(limit)
 
+    def joined(self, name: str, **keys) -> DataFrame:
+        """A named read of two tables: rows with the given keys (None: any), in the read's order. Keys are told before the
+        tables meet where one of them alone has the column; columns that both have are the first one's."""
+        table, other, on, how, columns, order = JOINS[name]
+        a, b = self.table(table), self.table(other)
+        b = b.select(*on, *(c for c in b.columns if c not in a.columns))
+        df = a.join(b, on, how)
+        for k in columns:
+            if keys.get(k) is not None:
+                v = keys[k]
+                df = df.where(F.col(k).isin(list(v)) if isinstance(v, (list, tuple, set)) else F.col(k) == v)
+        return df.orderBy(*_ordered(order)) if order else df
+
     def newest(self, name: str, keys: list[str], order: str) -> DataFrame:
         """The last row of each key: one max_by, no sort."""
         return tabular.latest(self.table(name), keys, order)
@@ -331,6 +357,31 @@ class Store:
 
     # schema
 
+    def tables(self) -> list[str]:
+        """The names of the tables that have a version."""
+        fs, path = self._fs()
+        if not fs.exists(path(self.root)):
+            return []
+        return sorted(n for s in fs.listStatus(path(self.root)) if self.exists(n := s.getPath().getName()))
+
+    def empty(self) -> bool:
+        """Whether no run and no example was ever recorded; other tables may hold what they like."""
+        return all(not self.exists(n) or self.table(n).isEmpty() for n in ("run_records", "example_records"))
+
+    def verify(self, expected: dict[str, list[str]], forbidden: dict[str, list[str]] | None = None) -> None:
+        """A ValueError that names every table and column that is missing, and every column that should be gone."""
+        wrong, there = [], set(self.tables())
+        for name, columns in expected.items():
+            if name not in there:
+                wrong.append(f"no table {name}")
+            elif lack := [c for c in columns if c not in self.columns(name)]:
+                wrong.append(f"{name} lacks {', '.join(lack)}")
+        for name, columns in (forbidden or {}).items():
+            if name in there and (left := [c for c in columns if c in self.columns(name)]):
+                wrong.append(f"{name} still has {', '.join(left)}")
+        if wrong:
+            raise ValueError("; ".join(wrong))
+
     def add_column(self, name: str, column: str, kind: str, default=None) -> None:
         """Adds a column; nothing happens where it is there. Without a default no data is written."""
 

@@ -167,3 +167,29 @@ def test_a_lost_race_starts_anew(spark, store, monkeypatch):
     monkeypatch.setattr(Store, "_publish", late)
     store.write("example_run_state", rows(spark, ("r", "c", "OK", 3)))
     assert sorted(r["example_id"] for r in store.table("example_run_state").collect()) == ["a", "b", "c"]
+
+
+def test_reads_of_two_tables(spark, tmp_path):
+    s = Store(spark, str(tmp_path))
+    s.write("example", spark.createDataFrame([("a", "f", "x", "k2"), ("b", "g", "y", "k1"), ("c", "f", "z", "k0")], "example_id string, family string, file_path string, example_key string"))
+    states = [("1", "a", "VERIFIED", "own"), ("1", "b", "VERIFIED", None), ("1", "gone", "VERIFIED", None), ("2", "c", "FAILED", None), (None, "c", "VERIFIED", None)]
+    s.write("example_run_state", spark.createDataFrame(states, "run_id string, example_id string, status string, file_path string"))
+    assert [(r["example_id"], r["family"]) for r in s.joined("run_states_by_family", run_id="1").collect()] == [("b", "g"), ("a", "f")]
+    assert [r["example_id"] for r in s.joined("run_states_by_family", status=["VERIFIED", "FAILED"], family="f").collect()] == ["c", "c", "a"]
+    assert {(r["example_id"], r["file_path"]) for r in s.joined("run_examples", run_id="1").collect()} == {("a", "own"), ("b", None)}
+    s.add_column("example_records", "app_context", "string", "console")
+    assert {(r["example_id"], r["app_context"]) for r in s.joined("states_in_context", run_id="1").collect()} == {("a", "console"), ("b", "console"), ("gone", None)}
+    assert s.joined("states_in_context", app_context="mvc").count() == 0
+
+
+def test_a_schema_is_verified_by_name(spark, tmp_path):
+    s = Store(spark, str(tmp_path / "store"))
+    assert s.tables() == [] and s.empty()
+    s.create("run_records", "run_id string, family string", ["run_id"])
+    s.write("commit_record", spark.createDataFrame([("a", 1)], "family string, timestamp int"))
+    assert s.tables() == ["commit_records", "run_records"] and s.empty()
+    s.verify({"run_records": ["run_id", "family"]}, {"commit_records": ["old"], "never": ["x"]})
+    with pytest.raises(ValueError, match="run_records lacks started_at, status; no table example_records; commit_records still has timestamp"):
+        s.verify({"run_records": ["started_at", "family", "status"], "example_records": []}, {"commit_records": ["timestamp"]})
+    s.write("run", spark.createDataFrame([("1", "f", 2)], "run_id string, family string, started_at int"))
+    assert not s.empty()
