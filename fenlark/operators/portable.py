@@ -9,6 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.code import insert_using
+
 Step = Callable[[Column], Column]
 
 # Passwords of examples and the one of the test files; names that stand for a folder; archives that
@@ -117,9 +119,29 @@ def save_async(x: Column) -> Column:
     return F.when(waited != x, waited).otherwise(F.regexp_replace(x, r"\.SaveAsync\s*\(", ".Save("))
 
 
+def archive_password(x: Column) -> Column:
+    """The first archive that is given a password takes it in its options; their namespace is added behind the last using line, if there is one."""
+    new = F.regexp_replace(x, r'(?s)^(.*?)new\s+RarArchive\s*\(\s*("(?:[^"\\]|\\.)*")\s*,\s*("(?:[^"\\]|\\.)*")\s*\)', "$1new RarArchive($2, new RarArchiveLoadOptions() { DecryptionPassword = $3 })")
+    named = F.coalesce(insert_using(new, F.lit("using Acme.Zip.Rar;"), F.lit("RarArchiveLoadOptions")), new)
+    return F.when(new == x, x).when(new.rlike(r"(?m)^\s*using [^\n]*;\s*$"), named).otherwise(new)
+
+
+def low_code(x: Column) -> Column:
+    """The namespace that was renamed."""
+    return F.regexp_replace(x, r"\bAcme\.(\w+)\.Plugins\b", "Acme.$1.LowCode")
+
+
 #: Repairs in their order, with what is said of them.
 RUNTIME: dict[str, Step] = {"passwords": passwords, "folders": folders, "absolute_paths": absolute, "archives": archives, "level_parameter": level_parameter, "levels": levels, "settings": settings, "entries": entries, "save_async": save_async}
 
+#: Repairs of product families, in their order; other families have none.
+FAMILIES: dict[str, dict[str, Step]] = {
+    "zip": {"archive_password": archive_password, "entries": entries, "archives": archives, "level_parameter": level_parameter, "levels": levels, "settings": settings, "save_async": save_async},
+    "words": {"low_code": low_code},
+    "cells": {"low_code": low_code},
+    "slides": {"low_code": low_code},
+}
+
 #: Transformers that learned patterns may name.
 TRANSFORMERS: dict[str, Step] = dict(RUNTIME)
 
@@ -129,15 +151,28 @@ def register(name: str, step: Step) -> None:
     TRANSFORMERS[name] = step
 
 
-def runtime_repairs(df: DataFrame, code: str = "code") -> DataFrame:
-    """df with fixed and fixes: code after all run-time repairs in their order, and the names of those that changed it."""
+def _in_turn(df: DataFrame, code: str, steps: list[tuple[str, Step, Column | None]]) -> DataFrame:
+    """df with fixed and fixes: code after the steps, each where its condition holds; a projection each, so that code isn't computed again for each use."""
     df = df.withColumn("fixed", F.col(code)).withColumn("fixes", F.array().cast("array<string>"))
-    for name, step in RUNTIME.items():
-        df = df.withColumn("_new", step(F.col("fixed")))
+    for name, step, where in steps:
+        new = step(F.col("fixed"))
+        df = df.withColumn("_new", new if where is None else F.when(where, new).otherwise(F.col("fixed")))
         df = df.withColumn("fixes", F.when(F.col("_new") != F.col("fixed"), F.concat("fixes", F.array(F.lit(name)))).otherwise(F.col("fixes"))).withColumn("fixed", F.col("_new"))
     return df.drop("_new")
 
 
+def runtime_repairs(df: DataFrame, code: str = "code") -> DataFrame:
+    """df with fixed and fixes: code after all run-time repairs in their order, and the names of those that changed it."""
+    return _in_turn(df, code, [(name, step, None) for name, step in RUNTIME.items()])
+
+
+def family_repairs(df: DataFrame, family: str = "family", code: str = "code") -> DataFrame:
+    """df with fixed and fixes: code after the repairs registered for each row's family, which is told in any case. A null
+    family and one without repairs leave it as it is."""
+    name = F.lower(family)
+    return _in_turn(df, code, [(n, step, name == known) for known, steps in FAMILIES.items() for n, step in steps.items()])
+
+
 def transformed(df: DataFrame, name: str, code: str = "code") -> DataFrame:
     """df with fixed, applied and note: code after the transformer that each row names, one of many a row. A null name
     and one that isn't registered leave it as it is, and the note says so."""

@@ -100,6 +100,30 @@ def learned_transforms(spark, sf_dir):
     return p.transformed(_code(spark, sf_dir), "name").select("doc_id", "name", "fixed", "applied", "note")
 
 
+KINDS = ["Zip", "words", "CELLS", "pdf"]
+_RAR = r"""new\s+RarArchive\s*\(\s*("(?:[^"\\]|\\.)*")\s*,\s*("(?:[^"\\]|\\.)*")\s*\)"""
+_ROWS = "string_split(x, chr(10))"
+_LAST = f"list_max(list_filter(range(1, len({_ROWS}) + 1), lambda i: starts_with(trim({_ROWS}[i]), 'using ') AND ends_with(trim({_ROWS}[i]), ';')))"
+_ZIP = ["entries", "archives", "level_parameter", "levels", "settings", "save_async"]
+_ZIPPED = ", ".join(f"z{i + 1} AS (SELECT *, CASE WHEN zip THEN {_STEPS[name](f'z{i}')} ELSE z{i} END AS z{i + 1} FROM z{i})" for i, name in enumerate(_ZIP))
+_ZIP_DONE = ", ".join(f"CASE WHEN z{i + 1} <> z{i} THEN '{name}' END" for i, name in enumerate(_ZIP))
+_MORE = 'concat(\'using Acme.Words.Plugins;\', chr(10), code, chr(10), \'Open(new RarArchive("\', lang, doc_id, \'.rar", "\', source, \'"), Acme.Zip.Plugins.Run);\')'
+
+
+@query(f"""WITH c AS (SELECT c.doc_id, {pick_sql(KINDS, 'c.doc_id // 3')} AS family, CASE WHEN c.doc_id % 3 = 0 THEN c.code ELSE {_MORE.replace('doc_id', 'c.doc_id')} END AS code FROM {_CODE} c JOIN (SELECT doc_id AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents) d ON d.id = c.doc_id),
+a AS (SELECT *, lower(family) = 'zip' AS zip, regexp_replace(code, {quoted(_RAR)}, 'new RarArchive(\\1, new RarArchiveLoadOptions() {{ DecryptionPassword = \\2 }})') AS x FROM c),
+z0 AS (SELECT *, CASE WHEN NOT zip OR x = code THEN code WHEN {_LAST} IS NULL OR contains(x, 'using Acme.Zip.Rar;') THEN x ELSE array_to_string(list_concat({_ROWS}[1:{_LAST}], ['using Acme.Zip.Rar;'], {_ROWS}[{_LAST} + 1:]), chr(10)) END AS z0 FROM a), {_ZIPPED},
+f AS (SELECT *, CASE WHEN lower(family) IN ('words', 'cells', 'slides') THEN regexp_replace(code, '\\bAcme\\.(\\w+)\\.Plugins\\b', 'Acme.\\1.LowCode', 'g') ELSE z{len(_ZIP)} END AS fixed FROM z{len(_ZIP)})
+SELECT doc_id, family, fixed, list_filter([CASE WHEN z0 <> code THEN 'archive_password' END, {_ZIP_DONE}, CASE WHEN NOT zip AND fixed <> code THEN 'low_code' END], lambda z: z IS NOT NULL) AS fixes FROM f""")
+def family_repairs(spark, sf_dir):
+    """Code after the repairs registered for its product family."""
+    d = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"))
+    k, c = F.col("doc_id"), _code(spark, sf_dir)
+    more = F.concat(F.lit("using Acme.Words.Plugins;\n"), F.col("code"), F.lit('\nOpen(new RarArchive("'), "lang", k.cast("string"), F.lit('.rar", "'), "source", F.lit('"), Acme.Zip.Plugins.Run);'))
+    c = c.join(d, F.col("id") == k).select("doc_id", pick(KINDS, F.floor(k / 3)).alias("family"), F.when(k % 3 == 0, F.col("code")).otherwise(more).alias("code"))
+    return p.family_repairs(c).select("doc_id", "family", "fixed", "fixes")
+
+
 _MAIN = r"(?s)^.*?static\s+(?:async\s+)?(?:void|Task|int)\s+Main\s*\([^)]*\)\s*\{"
 _USING = r"(?s)^.*using\s+[\w.]+\s*;"
 

@@ -51,6 +51,22 @@ def test_transformers_are_named_by_rows_and_may_be_added(spark, monkeypatch):
     ]
 
 
+def test_repairs_of_families(spark):
+    rar = 'x\nusing A;\nnew RarArchive("a.rar", "p\\"w"); new RarArchive("b", "c");'
+    fixed = 'x\nusing A;\nusing Acme.Zip.Rar;\nnew RarArchive("a.rar", new RarArchiveLoadOptions() { DecryptionPassword = "p\\"w" }); new RarArchive("b", "c");'
+    plain = 'new RarArchive("a", "b"); CompressionLevel.Low'
+    rows = [
+        ("ZIP", rar, fixed, ["archive_password"]),
+        ("zip", plain, 'new RarArchive("a", new RarArchiveLoadOptions() { DecryptionPassword = "b" }); CompressionLevel.Fastest', ["archive_password", "levels"]),
+        ("Words", "Acme.Words.Plugins.X Acme.Plugins", "Acme.Words.LowCode.X Acme.Plugins", ["low_code"]),
+        ("pdf", "Acme.Pdf.Plugins", "Acme.Pdf.Plugins", []),
+        (None, rar, rar, []),
+        ("zip", None, None, []),
+    ]
+    d = spark.createDataFrame([(i, *r[:2]) for i, r in enumerate(rows)], "id int, family string, code string")
+    assert [(r["fixed"], r["fixes"]) for r in p.family_repairs(d).orderBy("id").collect()] == [r[2:] for r in rows]
+
+
 SPACES = {"Acme.Saving": ["Settings"]}
 QUICK = [
     ('class P { static void Main() { Save("my_folder"); Read("a/output/b", "old_dir.zip"); } }', ["DirectoryNotFoundException"], 'class P { static void Main() {\n        Directory.CreateDirectory(@"a/output/b");\n        Directory.CreateDirectory(@"my_folder");\n Save("my_folder"); Read("a/output/b", "old_dir.zip"); } }', ["directory_create_injection"]),
