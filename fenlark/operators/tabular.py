@@ -98,7 +98,8 @@ def bins(value: Column, edges: list[float]) -> Column:
 
 def direction(first: Column, last: Column) -> Column:
     """up, down or stable (under 5 %, or from 0)."""
-    change = (last - first) / first * 100
+    # shared by two branches, it may be worked out before the test for 0
+    change = F.try_divide(last - first, first) * 100
     return F.when((first == 0) | (F.abs(change) < 5), "stable").when(change > 0, "up").otherwise("down")
 
 

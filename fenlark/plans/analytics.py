@@ -206,7 +206,8 @@ SELECT user_id, CASE WHEN f = 0 OR abs((l - f) / f * 100) < 5 THEN 'stable' WHEN
 FROM (SELECT user_id, arg_min(value, (ts, event_id)) AS f, arg_max(value, (ts, event_id)) AS l FROM events GROUP BY 1)
 """)
 def trend_direction(spark, sf_dir):
-    at = F.struct("ts", "event_id")
+    """From a user's first value to the last one; events without a value don't count."""
+    at = F.when(F.col("value").isNotNull(), F.struct("ts", "event_id"))
     g = read(spark, sf_dir, "events").groupBy("user_id").agg(F.min_by("value", at).alias("f"), F.max_by("value", at).alias("l"))
     return g.select("user_id", t.direction(F.col("f"), F.col("l")).alias("trend"))
 

@@ -21,3 +21,11 @@ def _rows(df):
 def test_a_score_tells_the_category_once(spark):
     plan = catalog.QUERIES["tier_histogram"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract") < 10
+
+
+def test_trends_from_zero_and_from_missing_values(spark, tmp_path):
+    rows = [(1, 1, 0.0, 1), (2, 1, 5.0, 2), (3, 2, 10.0, 1), (4, 2, 20.0, 2), (5, 3, 0.0, 1), (6, 4, None, 1), (7, 4, 3.0, 2), (8, 5, None, 1)]
+    spark.createDataFrame(rows, "event_id long, user_id long, value double, ts long").write.parquet(f"{tmp_path}/events.parquet")
+    found = _rows(catalog.QUERIES["trend_direction"](spark, str(tmp_path)))
+    assert found == _sql("trend_direction", events=f"{tmp_path}/events.parquet/*.parquet")
+    assert found == [(1, "stable"), (2, "up"), (3, "stable"), (4, "stable"), (5, "down")]
