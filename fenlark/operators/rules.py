@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LEAST = 3  # characters of a literal that is worth looking for
-BYTES = 8 << 20  # bytes of literals in one automaton; more rules are looked for in several passes
+BYTES = 8 << 20  # bytes of rules that are sent to the texts at once; more rules are looked for in several passes
 _LOWER = {i: i + 32 for i in range(65, 91)}
 FIELDS = "id string, severity string, issue string, code string, missing string, required string, intent array<string>, context array<string>, types array<string>"
 
@@ -72,36 +72,57 @@ def _machine(keys: dict[str, list[int]]):
     return machine
 
 
-def candidates(docs: DataFrame, rules: list, bound: int = BYTES) -> DataFrame:
-    """docs (id, text, blob, further columns) with rule, the number of each rule that isn't ruled out by a literal.
-
-    A rule with code needs that pattern's longest literal in the text; one with required code speaks only
-    where one of its intent words is in blob. Rules without a literal of LEAST characters are tried on all
-    texts. Rules are a table of configuration, read by the caller; their literals go out in automata of
-    `bound` bytes at most, one after the other.
-    """
-    spark, always, blocks, size = docs.sparkSession, [], [({}, {})], 0
+def _blocks(rules: list, bound: int) -> list[tuple[dict, dict, list[int], list[int]]]:
+    """Rules in blocks of `bound` bytes: literals of code and words of intent with the rules' numbers, the numbers of
+    the rules that are tried everywhere, and all of the block's numbers."""
+    blocks, size = [({}, {}, [], [])], 0
     for n, r in enumerate(rules):
         keys = [w.translate(_LOWER) for w in r["intent"] or [] if w] if r["required"] is not None else [literal(r["code"])] if r["code"] is not None else []
+        size += _bytes(r)
+        if size > bound and blocks[-1][3]:
+            blocks.append(({}, {}, [], []))
+            size = _bytes(r)
+        code, words, always, numbers = blocks[-1]
+        numbers.append(n)
         if r["required"] is None and keys and len(keys[0]) < LEAST or r["required"] is not None and len(keys) < len(r["intent"] or []):
             always.append(n)
             continue
-        size += sum(map(len, keys))
-        if size > bound:
-            blocks.append(({}, {}))
-            size = sum(map(len, keys))
         for k in keys:
-            blocks[-1][r["required"] is not None].setdefault(k, []).append(n)
-    docs = docs.select("id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("blob", F.lit("")).alias("blob"), *(c for c in docs.columns if c not in ("id", "text", "blob")))
+            (code if r["required"] is None else words).setdefault(k, []).append(n)
+    return blocks
+
+
+def _bytes(rule) -> int:
+    """About what a rule takes, its patterns and words."""
+    return sum(len(x) if isinstance(x, str) else sum(map(len, filter(None, x))) for x in rule.values() if x)
+
+
+def _plain(docs: DataFrame) -> DataFrame:
+    return docs.select("id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("blob", F.lit("")).alias("blob"), *(c for c in docs.columns if c not in ("id", "text", "blob")))
+
+
+def _tried(docs: DataFrame, block: tuple) -> DataFrame:
+    """docs with rule, the number of each rule of a block that isn't ruled out by a literal."""
+    code, words, always, _ = block
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", rules array<int>"
-    out = None
-    for code, words in blocks:
-        sent = spark.sparkContext.broadcast((_machine(code), _machine(words)))
-        found = docs.mapInArrow(_hits(sent), kinds)
-        found = found.select(*docs.columns, F.explode("rules").alias("rule"))
+    sent = docs.sparkSession.sparkContext.broadcast((_machine(code), _machine(words)))
+    found = docs.mapInArrow(_hits(sent), kinds)
+    every = F.concat("rules", F.array(*map(F.lit, always))) if always else F.col("rules")
+    return found.select(*docs.columns, F.explode(every).alias("rule"))
+
+
+def candidates(docs: DataFrame, rules: list, bound: int = BYTES) -> DataFrame:
+    """docs (id, text, blob, further columns) with rule, the number of each rule that isn't ruled out by a literal.
+
+    A rule with code needs that pattern's longest literal in the text; one with required code speaks only
+    where one of its intent words is in blob. Rules without a literal of LEAST characters are tried on all
+    texts. Rules are a table of configuration, read by the caller; they go out in blocks of `bound` bytes at
+    most, one after the other.
+    """
+    docs, out = _plain(docs), None
+    for block in _blocks(rules, bound):
+        found = _tried(docs, block)
         out = found if out is None else out.unionByName(found)
-    if always:
-        out = out.unionByName(docs.select(*docs.columns, F.explode(F.array(*map(F.lit, always))).alias("rule")))
     return out
 
 
@@ -112,14 +133,18 @@ def findings(docs: DataFrame, rules: DataFrame, bound: int = BYTES) -> DataFrame
     intent and one of its context words are in blob (no words: always); one with required code where that is
     absent and an intent word is there. A rule with types speaks of these alone. Patterns are multi-line, dots
     match line feeds; matched is the first 120 characters of the match. Null texts are empty; empty tables
-    give an empty result.
+    give an empty result. Texts stay where they are read: a block's rules, `bound` bytes at most, are sent to
+    them, so that no text is shuffled or written for a rule.
     """
     listed = [r.asDict() for r in rules.select(*(c.split(" ")[0] for c in FIELDS.split(", "))).orderBy("id").collect()]
-    spark = docs.sparkSession
-    table = spark.createDataFrame([(n, *r.values()) for n, r in enumerate(listed)], "rule int, " + FIELDS.replace("id string", "name string", 1))
-    docs = docs.select("id", "text", "blob", "type")
-    x = candidates(docs, listed, bound).join(table, "rule").where((F.size(F.coalesce("types", F.array().cast("array<string>"))) == 0) | F.array_contains("types", F.col("type")))
-    return x.where(speaks()).select("id", F.col("name").alias("rule"), "severity", "issue", F.when(F.col("required").isNull(), F.substring(F.regexp_substr("text", _flags("code")), 1, 120)).alias("matched"))
+    spark, out = docs.sparkSession, None
+    docs = _plain(docs.select("id", "text", "blob", "type"))
+    for block in _blocks(listed, bound):
+        table = F.broadcast(spark.createDataFrame([(n, *listed[n].values()) for n in block[3]], "rule int, " + FIELDS.replace("id string", "name string", 1)))
+        x = _tried(docs, block).join(table, "rule").where((F.size(F.coalesce("types", F.array().cast("array<string>"))) == 0) | F.array_contains("types", F.col("type")))
+        x = x.where(speaks()).select("id", F.col("name").alias("rule"), "severity", "issue", F.when(F.col("required").isNull(), F.substring(F.regexp_substr("text", _flags("code")), 1, 120)).alias("matched"))
+        out = x if out is None else out.unionByName(x)
+    return out
 
 
 def _flags(k: str) -> Column:

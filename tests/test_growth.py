@@ -1,7 +1,9 @@
 """Queries whose work grew faster than their input, or that failed on rows that small tables lack."""
 
 import duckdb
+from pyspark.sql import functions as F
 
+from fenlark.operators import rules
 from fenlark.plans import catalog
 
 SF = "/root/testdata/sf0.001"
@@ -29,3 +31,12 @@ def test_trends_from_zero_and_from_missing_values(spark, tmp_path):
     found = _rows(catalog.QUERIES["trend_direction"](spark, str(tmp_path)))
     assert found == _sql("trend_direction", events=f"{tmp_path}/events.parquet/*.parquet")
     assert found == [(1, "stable"), (2, "up"), (3, "stable"), (4, "stable"), (5, "down")]
+
+
+def test_texts_are_not_dealt_out_to_rules(spark):
+    docs = spark.range(5).select(F.col("id"), F.lit("some abc text").alias("text"), F.lit("b").alias("blob"), F.lit("kb").alias("type"))
+    listed = [(f"r{i}", "e", "x", w, None, None, [], [], []) for i, w in enumerate(["abc", "[st]", "zzz", "text$"])]
+    found = rules.findings(docs, spark.createDataFrame(listed, rules.FIELDS), 5)
+    assert sorted((r["id"], r["rule"]) for r in found.collect()) == [(i, f"r{k}") for i in range(5) for k in (0, 1, 3)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
