@@ -98,14 +98,39 @@ def _best(pairs: DataFrame, keys: list[str], cutoff: float) -> DataFrame:
     return scored.groupBy(*keys).agg(F.max(F.struct("score", "word")).alias("m")).select(*keys, "m.score", "m.word")
 
 
+def _less(name: Column) -> Column:
+    """The name without one of its characters, each way once."""
+    at = F.sequence(F.lit(1), F.length(name))
+    return F.array_distinct(F.transform(at, lambda i: F.concat(F.substr(name, F.lit(1), i - 1), F.substr(name, i + 1))))
+
+
+def _next(names: DataFrame, words: DataFrame) -> DataFrame:
+    """(name, word): all pairs that are equal or in which one has a single character more, by equal strings."""
+    more = words.select(F.explode(_less(F.col("word"))).alias("name"), "word").join(names, "name")
+    less = names.select("name", F.explode(F.array_append(_less(F.col("name")), F.col("name"))).alias("word")).join(words, "word")
+    return more.select("name", "word").unionByName(less.select("name", "word"))
+
+
 def closest(names: DataFrame, words: DataFrame, cutoff: float) -> DataFrame:
     """(name, score, word) for every distinct name that a word is like: what difflib.get_close_matches(name, words, 1, cutoff) gives.
 
     names and words have a column name; nulls and empty names match nothing, repeats count once, an empty
     side gives an empty result. Meant for cutoffs of 0.5 and more: the lower, the more candidates. So names
-    with a word of ratio NEAR are done first: what is nearer still is among the same candidates. No side is
+    with a word that lacks or adds a single character are done first: any other word leaves two characters
+    of both unmatched, so that its ratio with a name of n is n / (n + 1) at most. Of the rest, those
+    with a word of ratio NEAR come next: what is nearer still is among the same candidates. No side is
     gathered anywhere.
     """
+    names, words = (written(x.where(F.length("name") > 0).select("name").distinct()) for x in (names, words))
+    n = F.length("name")
+    pairs = _next(names, words.withColumnRenamed("name", "word"))
+    alike = written(_best(pairs, ["name"], cutoff).where(F.col("score") > n / (n + 1) + 1e-9))
+    names = written(names.join(alike, "name", "left_anti"))
+    return alike if names.isEmpty() else alike.unionByName(_far(names, words, cutoff))
+
+
+def _far(names: DataFrame, words: DataFrame, cutoff: float) -> DataFrame:
+    """closest() by rare characters."""
     if cutoff >= NEAR:
         return _best(candidates(names, words, cutoff), ["name"], cutoff)
     near = written(_best(candidates(names, words, NEAR), ["name"], NEAR))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.code import insert_using, lines
 from . import fuzzy
-from .scratch import written
+from .scratch import spread, written
 
 # An error's number, the pattern that reads it, and what is read (the name's last part counts).
 READS = [
@@ -172,4 +172,4 @@ def repaired(cases: DataFrame, types: DataFrame, members: DataFrame, constructor
     each = found.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("rank", "pos", "kind", "a", "b", "c", "note", "other"))).cast(_EDIT).alias("edits"))
     start = F.struct(F.col("code"), F.array().cast("array<string>").alias("fixes"))
     after = F.aggregate(F.coalesce("edits", F.array().cast(_EDIT)), start, _applied)
-    return cases.select("id", "code").join(each, "id", "left").select("id", after.alias("r")).select("id", F.col("r.code").alias("fixed"), F.col("r.fixes").alias("fixes"))
+    return spread(cases.select("id", "code").join(each, "id", "left"), "id").select("id", after.alias("r")).select("id", F.col("r.code").alias("fixed"), F.col("r.fixes").alias("fixes"))

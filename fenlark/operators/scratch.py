@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL: dict[str, str] = {}
 
@@ -25,3 +26,9 @@ def written(df: DataFrame) -> DataFrame:
     spark, path = df.sparkSession, folder(df.sparkSession)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """df by keys in as many partitions as a shuffle has: for rows of few bytes and much work, which would be put in a few
+    tasks by their size. By a hash of the keys, as a table that a join has dealt by the keys themselves would stay as it is."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(*keys))

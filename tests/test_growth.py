@@ -1,9 +1,11 @@
 """Queries whose work grew faster than their input, or that failed on rows that small tables lack."""
 
+import difflib
+
 import duckdb
 from pyspark.sql import functions as F
 
-from fenlark.operators import rules
+from fenlark.operators import fuzzy, rules, scratch
 from fenlark.plans import catalog
 
 SF = "/root/testdata/sf0.001"
@@ -40,3 +42,19 @@ def test_texts_are_not_dealt_out_to_rules(spark):
     assert sorted((r["id"], r["rule"]) for r in found.collect()) == [(i, f"r{k}") for i in range(5) for k in (0, 1, 3)]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_names_of_one_character_more_or_less_meet_few_words(spark):
+    words = [f"LongPartName{i}" for i in range(10_000, 12_000)]
+    asked = [w + "s" for w in words[:50]] + [w[:3] + w[4:] for w in words[50:100]] + ["LongPartXame1100", "nothing alike", "", None, words[7]]
+    a, b = spark.createDataFrame([(x,) for x in asked], "name string"), spark.createDataFrame([(x,) for x in words], "name string")
+    found = {r["name"]: r["word"] for r in fuzzy.closest(a, b, 0.7).collect()}
+    assert found == {x: m[0] for x in asked if x and (m := difflib.get_close_matches(x, words, 1, 0.7))}
+    near = fuzzy._next(a.where("length(name) > 0"), b.withColumnRenamed("name", "word"))
+    assert near.select("name").distinct().count() >= 101 and near.count() < 1000
+
+
+def test_small_rows_of_much_work_are_spread(spark):
+    d = spark.range(50).withColumn("k", F.col("id") % 7)
+    both = scratch.spread(d.join(d.groupBy("k").count().hint("merge"), "k"), "id")
+    assert both.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
