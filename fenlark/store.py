@@ -202,9 +202,10 @@ class Store:
         return F.pmod(F.xxhash64(*(F.col(k).cast("string") for k in keys)), F.lit(n)).cast("int") if keys else F.lit(0)
 
     def _put(self, name: str, df: DataFrame, keys: list[str], n: int) -> dict[str, list[str]]:
-        """Writes rows, a folder a bucket; gives the folders by bucket."""
-        data = f"data/{uuid.uuid4().hex}"
-        df.withColumn("_b", self._bucket(keys, n)).repartition(F.col("_b")).write.partitionBy("_b").parquet(f"{self.root}/{name}/{data}")
+        """Writes rows, a folder a bucket; gives the folders by bucket. Rows without keys are written where they are, large
+        buckets by several tasks."""
+        data, df = f"data/{uuid.uuid4().hex}", df.withColumn("_b", self._bucket(keys, n))
+        (df.hint("rebalance", "_b") if keys else df).write.partitionBy("_b").parquet(f"{self.root}/{name}/{data}")
         fs, path = self._fs()
         found = [s.getPath().getName() for s in fs.listStatus(path(f"{self.root}/{name}/{data}")) if s.isDirectory()]
         return {f.removeprefix("_b="): [f"{data}/{f}"] for f in found if f.startswith("_b=")}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fenlark.operators import fuzzy, rules, scratch
 from fenlark.plans import catalog
+from fenlark.store import Store
 
 SF = "/root/testdata/sf0.001"
 
@@ -58,3 +59,9 @@ def test_small_rows_of_much_work_are_spread(spark):
     d = spark.range(50).withColumn("k", F.col("id") % 7)
     both = scratch.spread(d.join(d.groupBy("k").count().hint("merge"), "k"), "id")
     assert both.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_appended_rows_are_written_where_they_are(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    store.write("compile_attempt", spark.range(0, 1000, 1, 5).select(F.col("id").alias("attempt_id"), F.lit("r").alias("run_id")))
+    assert store.table("compile_attempts").groupBy(F.input_file_name()).count().count() == 5
