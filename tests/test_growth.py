@@ -3,9 +3,10 @@
 import difflib
 
 import duckdb
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from fenlark.operators import fuzzy, rules, scratch
+from fenlark.operators import diff, fuzzy, rules, scratch
 from fenlark.plans import catalog
 from fenlark.store import Store
 
@@ -65,3 +66,11 @@ def test_appended_rows_are_written_where_they_are(spark, tmp_path):
     store = Store(spark, str(tmp_path / "store"))
     store.write("compile_attempt", spark.range(0, 1000, 1, 5).select(F.col("id").alias("attempt_id"), F.lit("r").alias("run_id")))
     assert store.table("compile_attempts").groupBy(F.input_file_name()).count().count() == 5
+
+
+def test_a_batch_of_texts_is_not_held_as_objects(monkeypatch):
+    sizes, texts = [], pa.array([f"a\n{i}" if i % 5 else None for i in range(1000)])
+    real = pa.array
+    monkeypatch.setattr(diff.pa, "array", lambda x, *more: sizes.append(len(x)) or real(x, *more))
+    patches = diff._each(diff.unified, texts, texts[::-1])
+    assert max(sizes) <= diff.TOGETHER and diff._each(diff.patched, texts, patches).to_pylist() == [x or "" for x in texts[::-1].to_pylist()]
