@@ -1,12 +1,13 @@
 """Queries whose work grew faster than their input, or that failed on rows that small tables lack."""
 
 import difflib
+import random
 
 import duckdb
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from fenlark.operators import diff, fuzzy, rules, scratch
+from fenlark.operators import blocks, diff, fuzzy, rules, scratch
 from fenlark.plans import catalog
 from fenlark.store import Store
 
@@ -74,3 +75,37 @@ def test_a_batch_of_texts_is_not_held_as_objects(monkeypatch):
     monkeypatch.setattr(diff.pa, "array", lambda x, *more: sizes.append(len(x)) or real(x, *more))
     patches = diff._each(diff.unified, texts, texts[::-1])
     assert max(sizes) <= diff.TOGETHER and diff._each(diff.patched, texts, patches).to_pylist() == [x or "" for x in texts[::-1].to_pylist()]
+
+
+def _pairs(held, least):
+    out = []
+    for a in held:
+        for b in held:
+            common, n = len(held[a] & held[b]), min(len(held[a]), len(held[b]))
+            if a < b and common and common / n >= least:
+                out.append((a, b, common, round(common / n, 6)))
+    return sorted(out, key=repr)
+
+
+def test_pairs_of_short_and_long_documents_in_cells(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "SHARERS", 3)
+    monkeypatch.setattr(blocks, "HOLDERS", 5)
+    r = random.Random(5)
+    held = {i: {"common"} | {f"u{i}"} for i in range(12)} | {i: {"common"} for i in range(12, 16)}
+    held |= {i: {f"w{int(r.random() ** 2 * 40)}" for _ in range(r.randint(1, 12))} for i in range(16, 80)}
+    held |= {i: {f"l{k}" for k in range(i - 80, 100)} | {f"s{i}-{k}" for k in range(i)} for i in range(80, 90)} | {90: {"l99", "common"}, 91: {f"l{k}" for k in range(40, 104)}, 92: {f"l{k}" for k in range(120)}}
+    units = spark.createDataFrame([(k, u) for k, us in held.items() for u in us for _ in range(2)], "doc long, unit string")
+    for least in (0.5, 0.6, 0.55, 1.0):
+        assert _rows(blocks.overlap(units, "doc", "unit", least)) == _pairs(held, least)
+
+
+def test_a_share_just_over_a_whole_number_loses_no_pair(spark):
+    held = {1: {f"c{k}" for k in range(55)} | {f"a{k}" for k in range(45)}, 2: {f"c{k}" for k in range(55)} | {f"b{k}" for k in range(45)}}
+    held |= {3: {f"c{k}" for k in range(11)} | {f"d{k}" for k in range(9)}, 4: {f"a{k}" for k in range(45)}}
+    units = spark.createDataFrame([(k, u) for k, us in held.items() for u in us], "doc long, unit string")
+    assert _rows(blocks.overlap(units, "doc", "unit", 0.55)) == _pairs(held, 0.55)
+
+
+def test_pairs_are_not_shuffled(spark):
+    plan = catalog.QUERIES["prose_overlap"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan.split("SortMergeJoin")[0]
