@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -142,40 +143,45 @@ def breaker_changes(calls: DataFrame, failures: int = 3, rest_s: float = 60.0, l
 # token buckets
 
 
-def _refilled(pieces: np.ndarray, more: int, full: int) -> np.ndarray:
-    """Pieces (low, high, shift, fixed) of a function of the first credit, after `more` credit came in: what reaches the brim is the brim."""
-    low, high, shift, fixed = pieces.T
-    brim = np.where(fixed >= 0, np.where(np.minimum(full, fixed + more) >= full, low, high), np.clip(full - more - shift, low, high))
-    open_ = np.column_stack((low, brim, np.where(fixed >= 0, 0, shift + more), np.where(fixed >= 0, fixed + more, -1)))
-    closed = np.column_stack((brim, high, np.zeros_like(low), np.full_like(low, full)))
-    out = np.concatenate((open_[open_[:, 0] < open_[:, 1]], closed[closed[:, 0] < closed[:, 1]]))
-    out = out[np.argsort(out[:, 0], kind="stable")]
-    # neighbours that do the same are one
-    same = (out[1:, 2] == out[:-1, 2]) & (out[1:, 3] == out[:-1, 3])
-    first = np.concatenate(([True], ~same))
-    out, ends = out[first].copy(), out[np.append(np.flatnonzero(first)[1:] - 1, len(out) - 1), 1]
-    out[:, 1] = ends
+def _after(pieces: list[tuple], more: int, cost: int, full: int) -> list[tuple]:
+    """Pieces (low, high, at, slope) of a function of the first credit, `at` its value at low, after `more` credit came in, of
+    which what reaches the brim is the brim, and one call: where the credit is enough, its cost goes."""
+    parts = []
+    for low, high, at, slope in pieces:
+        at = min(at + more, full)
+        slope = slope if at < full else 0
+        # from the cut on, credits are at the brim, or else enough
+        for edge, to in ((full, (full - cost if full >= cost else full, 0)), (cost, (0, slope))):
+            cut = low + edge - at
+            if slope and at < edge < at + high - low:
+                parts.append((cut, high, *to))
+                high = cut
+        parts.append((low, high, at - cost if at >= cost else at, slope))
+    out = []
+    for low, high, at, slope in sorted(parts):
+        # neighbours that do the same are one
+        if out and out[-1][3] == slope and out[-1][2] + slope * (low - out[-1][0]) == at:
+            out[-1] = (out[-1][0], high, *out[-1][2:])
+        else:
+            out.append((low, high, at, slope))
     return out
 
 
-def _asked(pieces: np.ndarray, cost: int) -> np.ndarray:
-    """The same after one call: where the credit is enough, its cost goes."""
-    low, high, shift, fixed = pieces.T
-    enough = np.where(fixed >= 0, np.where(fixed >= cost, low, high), np.clip(cost - shift, low, high))
-    poor = np.column_stack((low, enough, shift, fixed))
-    rich = np.column_stack((enough, high, np.where(fixed >= 0, 0, shift - cost), np.where(fixed >= 0, fixed - cost, -1)))
-    out = np.concatenate((poor[poor[:, 0] < poor[:, 1]], rich[rich[:, 0] < rich[:, 1]]))
-    return out[np.argsort(out[:, 0], kind="stable")]
-
-
 def composed(times: np.ndarray, cost: int, full: int) -> np.ndarray:
-    """What a block of calls makes of the credit that its first call finds: intervals of credit, each with a shift or a fixed result."""
-    pieces, last = np.array([[0, full + 1, 0, -1]], np.int64), int(times[0])
-    for t in times.tolist():
-        if t > last:
-            pieces, last = _refilled(pieces, min(t - last, full), full), t
-        pieces = _asked(pieces, cost)
-    return pieces
+    """What a block of calls makes of the credit that its first call finds: intervals of credit, each with a shift or a fixed result.
+
+    While every credit is under one token and calls come within a token's time, a credit is under one token after each
+    call, so that only what came in modulo a token counts: such calls are one step.
+    """
+    wide = [*(np.flatnonzero(np.diff(times) > cost) + 1).tolist(), len(times)]
+    times = times.tolist()
+    pieces, last, i = [(0, full + 1, 0, 1)], times[0], 0
+    while i < len(times):
+        pieces, last, i = _after(pieces, min(times[i] - last, full), cost, full), times[i], i + 1
+        end = wide[bisect_left(wide, i)]
+        if end > i and 2 * cost <= full and max(at + slope * (high - low - 1) for low, high, at, slope in pieces) < cost:
+            pieces, last, i = _after(pieces, (times[end - 1] - last) % cost, cost, full), times[end - 1], end
+    return np.array([(low, high, at - low if slope else 0, -1 if slope else at) for low, high, at, slope in pieces], np.int64)
 
 
 def admitted(calls: DataFrame, capacity: int, every_s: float, block: int = BLOCK) -> DataFrame:

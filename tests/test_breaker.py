@@ -101,3 +101,21 @@ def test_composed_functions_for_every_credit():
                 credit -= cost * (credit >= cost)
             _, _, shift, fixed = pieces[np.searchsorted(pieces[:, 0], start, "right") - 1]
             assert (fixed if fixed >= 0 else start + shift) == credit
+
+
+def test_dense_calls_are_composed_in_few_steps(monkeypatch):
+    steps, after = [], breaker._after
+    monkeypatch.setattr(breaker, "_after", lambda *a: steps.append(1) or after(*a))
+    r = random.Random(7)
+    for cost, full in ((50, 200), (50, 100), (50, 50)):
+        times = np.cumsum([r.choice([0, 1, 3, 49, 50]) for _ in range(2000)] + [51] + [r.choice([0, 7]) for _ in range(500)] + [260, 0, 1])
+        steps.clear()
+        pieces = breaker.composed(times, cost, full)
+        assert len(steps) < 30 or full < 2 * cost
+        for start in range(full + 1):
+            credit, last = start, times[0]
+            for t in times:
+                credit, last = min(full, credit + t - last), t
+                credit -= cost * (credit >= cost)
+            _, _, shift, fixed = pieces[np.searchsorted(pieces[:, 0], start, "right") - 1]
+            assert (fixed if fixed >= 0 else start + shift) == credit
