@@ -12,10 +12,12 @@ def parquet_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def text_files(spark: SparkSession, folder: str, glob: str = "*.md", exclude: str | None = None) -> DataFrame:
-    """(path, text) of all files below folder that match glob and not the regular expression exclude."""
+    """(path, text) of all files below folder that match glob and not the regular expression exclude. Small files are read
+    by as many tasks as a shuffle has: Spark would make a task of some four to thirty of them, whatever their bytes."""
     files = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
     files = files.select(F.input_file_name().alias("path"), F.col("value").alias("text"))
-    return files.where(~F.col("path").rlike(exclude)) if exclude else files
+    files = files.where(~F.col("path").rlike(exclude)) if exclude else files
+    return files.coalesce(int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def json_records(spark: SparkSession, path: str, schema: StructType, multi_line: bool = True) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fenlark.operators import blocks, diff, fuzzy, rules, scratch
 from fenlark.plans import catalog
+from fenlark.sources import files
 from fenlark.store import Store
 
 SF = "/root/testdata/sf0.001"
@@ -109,3 +110,11 @@ def test_a_share_just_over_a_whole_number_loses_no_pair(spark):
 def test_pairs_are_not_shuffled(spark):
     plan = catalog.QUERIES["prose_overlap"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Exchange" not in plan.split("SortMergeJoin")[0]
+
+
+def test_many_small_files_are_few_tasks(spark, tmp_path):
+    for i in range(300):
+        (tmp_path / f"f{i}.md").write_text(f"text {i}")
+    found = files.text_files(spark, str(tmp_path), "*.md", "/f1[^/]*$")
+    assert found.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert _rows(found.select(F.regexp_extract("path", "/f([^/]+).md$", 1), "text")) == sorted([(str(i), f"text {i}") for i in range(300) if str(i)[0] != "1"], key=repr)
