@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
-from .scratch import written
+from .scratch import dealt, written
 
 TOGETHER = 3  # characters that a key holds
 SHARERS = 1000  # words of a key that one task meets with a name
@@ -84,11 +84,11 @@ def candidates(names: DataFrame, words: DataFrame, cutoff: float) -> DataFrame:
     names, words = (written(x.where(F.length("name") > 0).select("name").distinct()) for x in (names, words))
     ranks = written(words.select(F.explode(_characters(F.col("name"))).alias("c")).groupBy("c").agg(F.count("*").alias("n")))
     of_words = written(_keys(cutoff, ranks, words).withColumnRenamed("name", "word"))
-    blocks = of_words.groupBy("key").agg(F.ceil(F.count("*") / SHARERS).cast("int").alias("s"))
+    blocks = dealt(of_words.groupBy("key").agg(F.ceil(F.count("*") / SHARERS).cast("int").alias("s")))
     mine = _keys(cutoff, ranks, names).join(blocks, "key").withColumn("b", F.explode(F.sequence(F.lit(0), F.col("s") - 1))).drop("s")
     theirs = of_words.join(blocks, "key").withColumn("b", F.pmod(F.xxhash64("word"), F.col("s")).cast("int")).drop("s")
     both = F.length("name") + F.length("word")
-    pairs = mine.join(theirs, ["key", "b"]).where(2 * F.least(F.length("name"), F.length("word")) >= (cutoff - 1e-9) * both)
+    pairs = mine.join(dealt(theirs), ["key", "b"]).where(2 * F.least(F.length("name"), F.length("word")) >= (cutoff - 1e-9) * both)
     return pairs.select("name", "word").distinct().where(possible(F.col("name"), F.col("word"), cutoff))
 
 
@@ -106,8 +106,8 @@ def _less(name: Column) -> Column:
 
 def _next(names: DataFrame, words: DataFrame) -> DataFrame:
     """(name, word): all pairs that are equal or in which one has a single character more, by equal strings."""
-    more = words.select(F.explode(_less(F.col("word"))).alias("name"), "word").join(names, "name")
-    less = names.select("name", F.explode(F.array_append(_less(F.col("name")), F.col("name"))).alias("word")).join(words, "word")
+    more = words.select(F.explode(_less(F.col("word"))).alias("name"), "word").join(dealt(names), "name")
+    less = names.select("name", F.explode(F.array_append(_less(F.col("name")), F.col("name"))).alias("word")).join(dealt(words), "word")
     return more.select("name", "word").unionByName(less.select("name", "word"))
 
 
@@ -125,7 +125,7 @@ def closest(names: DataFrame, words: DataFrame, cutoff: float) -> DataFrame:
     n = F.length("name")
     pairs = _next(names, words.withColumnRenamed("name", "word"))
     alike = written(_best(pairs, ["name"], cutoff).where(F.col("score") > n / (n + 1) + 1e-9))
-    names = written(names.join(alike, "name", "left_anti"))
+    names = written(names.join(dealt(alike), "name", "left_anti"))
     return alike if names.isEmpty() else alike.unionByName(_far(names, words, cutoff))
 
 
@@ -134,12 +134,12 @@ def _far(names: DataFrame, words: DataFrame, cutoff: float) -> DataFrame:
     if cutoff >= NEAR:
         return _best(candidates(names, words, cutoff), ["name"], cutoff)
     near = written(_best(candidates(names, words, NEAR), ["name"], NEAR))
-    left = written(names.select("name").distinct().join(near, "name", "left_anti"))
+    left = written(names.select("name").distinct().join(dealt(near), "name", "left_anti"))
     return near.unionByName(_best(candidates(left, words, cutoff), ["name"], cutoff))
 
 
 def closest_within(names: DataFrame, words: DataFrame, key: str, cutoff: float) -> DataFrame:
     """(key, name, score, word): as closest, among the words of the name's key alone, for any cutoff."""
     names, words = names.select(key, "name").distinct(), words.select(key, F.col("name").alias("word")).distinct()
-    pairs = names.join(words, key).where((F.length("name") > 0) & (F.length("word") > 0) & possible(F.col("name"), F.col("word"), cutoff))
+    pairs = names.join(dealt(words), key).where((F.length("name") > 0) & (F.length("word") > 0) & possible(F.col("name"), F.col("word"), cutoff))
     return _best(pairs, [key, "name"], cutoff)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.code import insert_using, lines
 from . import fuzzy
-from .scratch import spread, written
+from .scratch import dealt, spread, written
 
 # An error's number, the pattern that reads it, and what is read (the name's last part counts).
 READS = [
@@ -47,7 +47,7 @@ def edits(errors: DataFrame, types: DataFrame, members: DataFrame, constructors:
     """(id, rank, pos, kind, a, b, c, note, other): what is to be done, from types (type, namespace), members (type,
     member, member_kind) and constructors (type, params). Of a type's namespaces the first by name counts."""
     e = written(read(errors))
-    spaces = types.groupBy(F.col("type").alias("t")).agg(F.min("namespace").alias("namespace"))
+    spaces = dealt(types.groupBy(F.col("type").alias("t")).agg(F.min("namespace").alias("namespace")))
     using = F.concat(F.lit("using "), F.col("namespace"), F.lit(";"))
     of = lambda number: e.where(F.col("number") == number)
 
@@ -75,20 +75,20 @@ def edits(errors: DataFrame, types: DataFrame, members: DataFrame, constructors:
     held = held.toDF("type", "name", "value")
     asked = e.where("number in ('CS0117', 'CS1061')").select("id", "pos", "number", F.col("a").alias("type"), F.col("b").alias("name"))
     best = fuzzy.closest_within(asked.where("number = 'CS0117'"), held.where("value"), "type", MEMBER)
-    wrong = asked.where("number = 'CS0117'").join(best, ["type", "name"])
+    wrong = asked.where("number = 'CS0117'").join(dealt(best), ["type", "name"])
     out = out.unionByName(rows(wrong, "value", said("", "type", ".", "name"), said("", "type", ".", "word"), "", said("CS0117: Replaced '", "type", ".", "name", "' with catalog-matched valid member")))
-    apart = asked.where("number = 'CS1061'").join(held.where("not value").select("type", "name").distinct(), ["type", "name"], "left_anti")
-    wrong = apart.join(fuzzy.closest_within(apart, held.where("not value"), "type", MEMBER), ["type", "name"])
+    apart = asked.where("number = 'CS1061'").join(dealt(held.where("not value").select("type", "name").distinct()), ["type", "name"], "left_anti")
+    wrong = apart.join(dealt(fuzzy.closest_within(apart, held.where("not value"), "type", MEMBER)), ["type", "name"])
     out = out.unionByName(rows(wrong, "member", said(".", "name"), said(".", "word"), "", said("CS1061: Fuzzy-matched '", "type", ".", "name", "' to catalog member")))
 
     unknown = missing.where("namespace is null").select("id", "pos", F.col("a").alias("name"))
-    low = types.groupBy(F.lower("type").alias("low")).agg(F.min("type").alias("cased"))
+    low = dealt(types.groupBy(F.lower("type").alias("low")).agg(F.min("type").alias("cased")))
     cased = unknown.withColumn("low", F.lower("name")).join(low, "low", "left")
     alike = fuzzy.closest(cased.where("cased is null").select("name"), types.select(F.col("type").alias("name")), TYPE)
-    right = cased.join(alike, "name", "left").withColumn("word", F.coalesce("cased", "word")).where("word is not null").join(spaces, F.col("word") == F.col("t"))
+    right = cased.join(dealt(alike), "name", "left").withColumn("word", F.coalesce("cased", "word")).where("word is not null").join(spaces, F.col("word") == F.col("t"))
     out = out.unionByName(rows(right, "spelling", F.col("name"), F.col("word"), using, said("CS0246: Fuzzy-matched type '", "name", "' -> '", "word", "' (catalog lookup)")))
 
-    shown = constructors.select(F.col("type").alias("b"), "params")
+    shown = dealt(constructors.select(F.col("type").alias("b"), "params"))
     options = shown.withColumn("option", F.regexp_extract("params", r"(?:^|,)\s*(\w*(?:Options|Settings)\w*)\??", 1)).where("option <> ''").groupBy("b").agg(F.min("option").alias("option"))
     wrong = of("CS1503").join(options, "b")
     prop = F.when(F.contains("option", F.lit("Load")), "DecryptionPassword").when(F.contains("option", F.lit("Sav")), "Password").otherwise("DecryptionPassword")
@@ -172,4 +172,4 @@ def repaired(cases: DataFrame, types: DataFrame, members: DataFrame, constructor
     each = found.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("rank", "pos", "kind", "a", "b", "c", "note", "other"))).cast(_EDIT).alias("edits"))
     start = F.struct(F.col("code"), F.array().cast("array<string>").alias("fixes"))
     after = F.aggregate(F.coalesce("edits", F.array().cast(_EDIT)), start, _applied)
-    return spread(cases.select("id", "code").join(each, "id", "left"), "id").select("id", after.alias("r")).select("id", F.col("r.code").alias("fixed"), F.col("r.fixes").alias("fixes"))
+    return spread(cases.select("id", "code").join(dealt(each), "id", "left"), "id").select("id", after.alias("r")).select("id", F.col("r.code").alias("fixed"), F.col("r.fixes").alias("fixes"))

@@ -28,6 +28,12 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """df for a join that deals both sides out: none is gathered by the driver. Spark tells a side's size by its files, which
+    may be compressed a hundredfold, and leaves out what explode() adds."""
+    return df.hint("merge")
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """df by keys in as many partitions as a shuffle has: for rows of few bytes and much work, which would be put in a few
     tasks by their size. By a hash of the keys, as a table that a join has dealt by the keys themselves would stay as it is."""

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import catalogue, repairs
-from ..operators.scratch import spread, written
+from ..operators.scratch import dealt, spread, written
 from .base import query, read
 
 
@@ -26,7 +26,7 @@ def _sources(spark, sf_dir) -> DataFrame:
     p = _parts(spark, sf_dir)
     base = p.select((F.col("p_partkey") + 7).alias("p_partkey"), F.col("type").alias("base"))
     d = read(spark, sf_dir, "documents").groupBy(F.col("doc_id").alias("p_partkey")).agg(F.min("text").alias("doc"))
-    p = spread(p.join(base, "p_partkey", "left").join(d, "p_partkey", "left"), "p_partkey")
+    p = spread(p.join(dealt(base), "p_partkey", "left").join(dealt(d), "p_partkey", "left"), "p_partkey")
     bases = F.when((F.col("p_partkey") % 49 >= 7) & F.col("base").isNotNull(), F.concat("base", F.lit(", ITagged"))).otherwise("ITagged")
     doc = F.coalesce("doc", F.lit(""))
     text = F.concat(

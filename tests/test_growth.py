@@ -7,8 +7,8 @@ import duckdb
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from fenlark.operators import blocks, diff, fuzzy, rules, scratch
-from fenlark.plans import catalog
+from fenlark.operators import blocks, catalogue, diff, fuzzy, repairs, rules, scratch
+from fenlark.plans import catalog, sources
 from fenlark.sources import files
 from fenlark.store import Store
 
@@ -118,3 +118,16 @@ def test_many_small_files_are_few_tasks(spark, tmp_path):
     found = files.text_files(spark, str(tmp_path), "*.md", "/f1[^/]*$")
     assert found.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert _rows(found.select(F.regexp_extract("path", "/f([^/]+).md$", 1), "text")) == sorted([(str(i), f"text {i}") for i in range(300) if str(i)[0] != "1"], key=repr)
+
+
+def test_a_catalogue_is_not_gathered_by_the_driver(spark):
+    read = sources._sources(spark, SF)
+    d = scratch.written(catalogue.declarations(read))
+    types, members = d.where("member is null").select("type", "namespace"), d.where("member is not null").select("type", "member", "member_kind")
+    cases = scratch.written(sources._cases(spark, SF))
+    names = cases.select(F.concat("code", F.lit("s")).alias("name"))
+    words = scratch.written(types.select(F.col("type").alias("word")))
+    for df in (read, fuzzy._next(names, words), fuzzy.candidates(names, words.toDF("name"), 0.7), repairs.repaired(cases, types, members, d.where("member_kind = 'constructor'").select("type", "params"))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        # that of characters is no larger than the alphabet
+        assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") == plan.count("BroadcastHashJoin [c#")
