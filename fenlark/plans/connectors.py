@@ -35,14 +35,12 @@ def append_and_replace(spark, sf_dir):
 
 @query("SELECT concat('page', page_id, '.md') AS name, CAST(strlen(coalesce(html, '')) + 1 AS BIGINT) AS bytes, CAST(len(string_split(coalesce(html, ''), chr(10))) + 1 AS INTEGER) AS lines FROM pages WHERE page_id % 5 <> 0")
 def file_scan(spark, sf_dir):
-    """Pages written as files, a folder each, and found again by pattern, drafts left out, read whole."""
-    path = folder(spark)
-    name = F.concat(F.when(F.col("page_id") % 5 == 0, "draft_").otherwise("page"), F.col("page_id").cast("string"), F.lit(".md"))
-    pages = read(spark, sf_dir, "pages").select(F.coalesce("html", F.lit("")).alias("value"), name.alias("name"))
-    pages.repartition("name").write.partitionBy("name").text(path)
-    found = files.text_files(spark, path, "*.txt", r"/name=draft_[^/]*/")
-    name = F.regexp_extract("path", "/name=([^/]+)/", 1)
-    return found.select(name.alias("name"), F.octet_length("text").cast("long").alias("bytes"), F.size(F.split("text", "\n")).alias("lines"))
+    """Pages written as files and found again by pattern, drafts left out, read whole."""
+    name = F.concat_ws("", F.when(F.col("page_id") % 5 != 0, "page").otherwise("draft_"), F.col("page_id").cast("string"), F.lit(".md"))
+    folders = sinks.text_files(read(spark, sf_dir, "pages").select(name.alias("name"), F.col("html").alias("text")), folder(spark))
+    name = F.regexp_extract("path", r"/(?:name=)?([^/=]+\.md)(?:/[^/]+)?$", 1)
+    told = lambda found: found.select(name.alias("name"), F.octet_length("text").cast("long").alias("bytes"), F.size(F.split("text", "\n")).alias("lines"))
+    return files.scanned(spark, folders, told, "*.{md,txt}", r"/(name=)?draft_[^/]*")
 
 
 @query("""WITH o AS (SELECT CAST(o_custkey % 50 AS VARCHAR) AS run_id, CAST(o_orderkey AS VARCHAR) AS example_id, CASE WHEN o_orderkey % 3 = 0 THEN 'VERIFIED' WHEN o_orderkey % 3 = 1 THEN 'COMPILE_FAILED' ELSE 'DISCOVERED' END AS status FROM orders)

@@ -1,15 +1,17 @@
 """Queries whose work grew faster than their input, or that failed on rows that small tables lack."""
 
 import difflib
+import pathlib
 import random
 
 import duckdb
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from fenlark.operators import blocks, catalogue, diff, fuzzy, repairs, rules, scratch
 from fenlark.plans import catalog, sources
-from fenlark.sources import files
+from fenlark.sources import files, sinks
 from fenlark.store import Store
 
 SF = "/root/testdata/sf0.001"
@@ -131,3 +133,22 @@ def test_a_catalogue_is_not_gathered_by_the_driver(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         # that of characters is no larger than the alphabet
         assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") == plan.count("BroadcastHashJoin [c#")
+
+
+@pytest.mark.parametrize("local", [True, False])
+def test_files_are_listed_in_rounds(spark, tmp_path, monkeypatch, local):
+    seen, real = [], files.text_files
+    monkeypatch.setattr(files, "text_files", lambda s, folders, *more: seen.append(sum(f.is_file() and f.suffix in (".md", ".txt") for x in folders for f in pathlib.Path(x).rglob("*"))) or real(s, folders, *more))
+    monkeypatch.setattr(files, "FOLDERS", 2)
+    monkeypatch.setattr(sinks, "FILES", 5)
+    rows = [(i, None if i % 7 == 0 else f"é{i}\n" * (i % 4)) for i in range(60)] + [(None, "no id"), (-3, "x")]
+    if local:
+        rows += [(8, "again"), (8, "again")]
+    else:
+        monkeypatch.setattr(sinks, "_local", lambda path: None)
+    spark.createDataFrame(rows, "page_id long, html string").repartition(3).write.parquet(f"{tmp_path}/pages.parquet")
+    found = _rows(catalog.QUERIES["file_scan"](spark, str(tmp_path)))
+    assert found == _sql("file_scan", pages=f"{tmp_path}/pages.parquet/*.parquet")
+    assert sum(seen) == len(rows) and len(seen) > 3 and max(seen) <= (10 if local else 30)
+    spark.createDataFrame([], "page_id long, html string").write.parquet(f"{tmp_path}/none/pages.parquet")
+    assert _rows(catalog.QUERIES["file_scan"](spark, f"{tmp_path}/none")) == []
