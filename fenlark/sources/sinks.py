@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import os
-from urllib.parse import unquote, urlparse
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -28,9 +27,11 @@ def replace_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...])
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
-def _local(path: str) -> str | None:
+def _local(spark: SparkSession, path: str) -> str | None:
     """The path where a task's own open() reaches it: a shared folder of the local file system."""
-    return unquote(urlparse(path).path) if urlparse(path).scheme in ("", "file") else None
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    uri = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toUri()
+    return uri.getPath() if uri.getScheme() == "file" else None
 
 
 def text_files(df: DataFrame, path: str) -> list[str]:
@@ -42,7 +43,7 @@ def text_files(df: DataFrame, path: str) -> list[str]:
     local file system Hadoop starts a process for each of a file's four modes.
     """
     df = df.select("name", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
-    local, most = _local(path), FILES
+    local, most = _local(df.sparkSession, path), FILES
     if local is None:
         at = F.pmod(F.xxhash64("name"), F.lit(df.count() // most + 1)).alias("at")
         dealt = df.select(F.col("text").cast("string").alias("value"), at, "name")

@@ -145,7 +145,7 @@ def test_files_are_listed_in_rounds(spark, tmp_path, monkeypatch, local):
     if local:
         rows += [(8, "again"), (8, "again")]
     else:
-        monkeypatch.setattr(sinks, "_local", lambda path: None)
+        monkeypatch.setattr(sinks, "_local", lambda spark, path: None)
     spark.createDataFrame(rows, "page_id long, html string").repartition(3).write.parquet(f"{tmp_path}/pages.parquet")
     found = _rows(catalog.QUERIES["file_scan"](spark, str(tmp_path)))
     assert found == _sql("file_scan", pages=f"{tmp_path}/pages.parquet/*.parquet")
